@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The warehouse this package rebuilds is batch only - every mart is rebuilt
+in full on each run, and there is no stream, watermark, incremental model,
+snapshot or state anywhere in it - so there is no streaming operator to
+provide.  The staging projection is a plain ``select`` and works unchanged
+on a streaming DataFrame should raw order lines arrive as a stream; the
+dimensions, which number a whole relation, are batch by nature.
+"""
