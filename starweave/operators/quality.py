@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import PRIMARY_KEYS, columns
-from .joins import DEFAULT_BROADCAST_BYTES, lookup_join
+from .joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, lookup_join
 
 REPORT_COLUMNS = ("test", "relation", "column_name", "failures")
 
@@ -71,20 +71,37 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
                  max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``count(*)`` of ``fact`` inner-joined to every ``(dim, key)``.
 
-    The fact is first reduced to its distinct key tuples with counts, and
-    each dimension to one row per key with its multiplicity, so the joins
-    never multiply rows: the count is ``sum(n * m1 * m2 * ...)``, equal to
-    the count of the row-level inner joins even when a dimension key repeats.
+    Each dimension is reduced to one row per key with its multiplicity, so
+    no join multiplies rows: every fact row carries a weight, the product of
+    the multiplicities it meets, and the count is the sum of the weights -
+    equal to the row-level inner joins even when a dimension key repeats.
+
+    Dimensions that fit the broadcast bound are applied first, streaming the
+    fact through hash lookups with no shuffle.  Before each remaining
+    (shuffled) join the fact is summed down to its distinct remaining keys,
+    a map-side partial aggregate, so a hot key or a pile of copies crosses
+    the network as one row per task.
     """
-    keys = [k for _, k in dims]
-    acc = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    weight = F.col("_n")
-    for i, (dim, key) in enumerate(dims):
-        m = f"_m{i}"
-        counts = dim.groupBy(key).agg(F.count(F.lit(1)).alias(m))
-        acc = lookup_join(acc, counts, [key], "inner", max_bytes=max_broadcast_bytes)
-        weight = weight * F.col(m)
-    return acc.agg(F.coalesce(F.sum(weight), F.lit(0)).cast("long").alias("n"))
+    counted = []
+    for dim, key in dims:
+        counts = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
+        counted.append((counts, key, fits_broadcast(counts, max_broadcast_bytes)))
+    acc = fact.select(*[k for _, k in dims], F.lit(1).cast("long").alias("_w"))
+    for counts, key, small in counted:
+        if small:
+            acc = lookup_join(acc, counts, [key], "inner", broadcast=True) \
+                .select(*[c for c in acc.columns if c != "_w"],
+                        (F.col("_w") * F.col("_m")).alias("_w"))
+    remaining = [key for _, key, small in counted if not small]
+    for counts, key, small in counted:
+        if small:
+            continue
+        acc = acc.groupBy(*remaining).agg(F.sum("_w").alias("_w"))
+        acc = lookup_join(acc, counts, [key], "inner", broadcast=False) \
+            .select(*[k for k in remaining if k != key],
+                    (F.col("_w") * F.col("_m")).alias("_w"))
+        remaining.remove(key)
+    return acc.agg(F.coalesce(F.sum("_w"), F.lit(0)).cast("long").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -118,7 +135,9 @@ def run_checks(relations: dict[str, DataFrame], checks: Iterable[Check],
 
 def _numeric_misfit(c: Column, precision: int, scale: int) -> Column:
     """True when a value does not fit NUMERIC(p, s) once rounded to s digits."""
-    limit = F.lit(10 ** (precision - scale)).cast("decimal(38,0)")
+    # The bound carries the value's scale: compared with a decimal(38,0)
+    # Spark would widen to scale 0 and round 99999.9999 up to 100000.
+    limit = F.lit(str(10 ** (precision - scale))).cast(f"decimal(38,{scale})")
     d = c.try_cast("decimal(38,18)")  # NULL when even this is too narrow
     return c.isNotNull() & (d.isNull() | (F.abs(F.round(d, scale)) >= limit))
 

@@ -14,7 +14,7 @@ from .checks import (
 from .dims import customer_dim, geo_dim, people_dim, product_dim, shipping_dim
 from .facts import FACT_COLUMNS, sales_fact
 from .marts import mart_avg_shipping_duration
-from .project import Warehouse, build, test
+from .project import Warehouse, build, run_tests
 from .staging import STAGING_COLUMNS, stg_orders
 
 __all__ = [
@@ -37,6 +37,6 @@ __all__ = [
     "shipping_dim",
     "star_integrity",
     "stg_orders",
-    "test",
+    "run_tests",
     "warehouse_constraints",
 ]

@@ -79,7 +79,7 @@ def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
     return wh
 
 
-def test(wh: Warehouse, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def run_tests(wh: Warehouse, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """The declared tests over the written tables (one row per test)."""
     names = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "sales_fact")
     return declared_tests({n: wh.table(n) for n in names}, max_broadcast_bytes)

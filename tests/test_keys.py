@@ -1,0 +1,100 @@
+"""Surrogate keys: the parallel form equals the single-task window."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starweave.operators.keys import sort_order, surrogate_key
+
+SCHEMA = T.StructType([
+    T.StructField("code", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("n", T.IntegerType()),
+])
+
+
+def _rows(seed=7, n=500):
+    rnd = random.Random(seed)
+    rows = set()
+    while len(rows) < n:
+        code = rnd.choice([None, "a", "b", "c", "d", "e"] + [f"k{i}" for i in range(40)])
+        name = rnd.choice([None, "x", "y", "z", "w"])
+        rows.add((code, name, rnd.randint(0, 3)))
+    rows = list(rows)
+    rnd.shuffle(rows)
+    return rows
+
+
+def _keyed(df, **kw):
+    return sorted(tuple(r) for r in surrogate_key(df, "sk", ["code"], **kw).collect())
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 3, 8, 17])
+def test_parallel_equals_window(spark, partitions):
+    df = spark.createDataFrame(_rows(), SCHEMA).repartition(5)
+    want = _keyed(df, method="window")
+    got = _keyed(df, method="parallel", partitions=partitions)
+    assert got == want
+
+
+def test_default_partitions_equal_window(spark):
+    df = spark.createDataFrame(_rows(3, 900), SCHEMA).repartition(7)
+    assert _keyed(df) == _keyed(df, method="window")
+
+
+def test_keys_are_dense_from_base(spark):
+    df = spark.createDataFrame(_rows(11, 300), SCHEMA)
+    keys = [r["sk"] for r in surrogate_key(df, "sk", ["code"], base=100).collect()]
+    assert sorted(keys) == list(range(101, 401))
+    keys0 = [r["sk"] for r in surrogate_key(df, "sk", ["code"], base=0).collect()]
+    assert sorted(keys0) == list(range(1, 301))
+
+
+def test_order_is_nulls_last_and_ties_broken_by_other_columns(spark):
+    rows = [("b", "y", 1), (None, "a", 1), ("a", "z", 1), ("a", None, 1), ("a", "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [tuple(r) for r in surrogate_key(df, "sk", ["code"], partitions=3)
+           .orderBy("sk").collect()]
+    assert got == [(101, "a", "x", 1), (102, "a", "z", 1), (103, "a", None, 1),
+                   (104, "b", "y", 1), (105, None, "a", 1)]
+
+
+def test_result_does_not_depend_on_input_order(spark):
+    rows = _rows(5, 400)
+    a = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    b = spark.createDataFrame(list(reversed(rows)), SCHEMA).repartition(9)
+    assert _keyed(a, partitions=4) == _keyed(b, partitions=6)
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    out = surrogate_key(df, "sk", ["code"])
+    assert out.columns == ["sk", "code", "name", "n"]
+    assert out.count() == 0
+
+
+def test_sort_order_appends_remaining_columns(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert sort_order(df, ["name"]) == ["name", "code", "n"]
+
+
+def test_parallel_plan_has_no_single_partition_exchange(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    plan = surrogate_key(df, "sk", ["code"], partitions=4)._jdf.queryExecution() \
+        .executedPlan().toString()
+    # Only the per-partition offsets (one row per partition) may be gathered.
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    window_plan = surrogate_key(df, "sk", ["code"], method="window")._jdf \
+        .queryExecution().executedPlan().toString()
+    assert "SinglePartition" in window_plan
+
+
+def test_checkpoint_cuts_lineage(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA).withColumn("m", F.col("n") * 2)
+    out = surrogate_key(df, "sk", ["code"], partitions=4)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "LocalRelation" not in plan
