@@ -2,14 +2,22 @@
 
 A dimension is broadcast only after its size has been measured: one
 aggregate over the dimension returns its row count and the bytes of its
-columns.  Within the bound the join is a broadcast hash join (the large side
-is never shuffled, and a hot key costs nothing extra); beyond it the join is
-pinned to a sort-merge join, where adaptive execution splits skewed
-partitions of the large side.
+columns.  Within the bound the join is a broadcast hash join: the large side
+is never shuffled, so a hot key costs nothing extra.
+
+Beyond the bound the join is a sort-merge join, and hot keys are split off
+first.  A sample of the large side finds the keys that each hold at least
+``hot_share`` of its rows (at most ``1 / hot_share`` of them, so the set is
+bounded); their rows skip the shuffle and meet a broadcast of just their
+slice of the dimension, while all other rows take the sort-merge join.  Both
+branches are exact, so the sample only decides which way a row travels and
+never what it joins to.  Adaptive execution's skew-join splitting still
+covers whatever the sample did not flag.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,8 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 # Default bound on what we broadcast: measured bytes of the dimension rows.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# A key holding at least this share of the large side's rows is hot.
+DEFAULT_HOT_SHARE = 1e-3
+# Rows sampled from the large side to find hot keys.
+HOT_SAMPLE_ROWS = 1_000_000
+HOT_SAMPLE_SEED = 17
 
 
 @dataclass(frozen=True)
@@ -55,18 +70,67 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> b
     return measure(df).bytes <= max_bytes
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = DEFAULT_HOT_SHARE,
+             sample_rows: int = HOT_SAMPLE_ROWS, seed: int = HOT_SAMPLE_SEED
+             ) -> DataFrame | None:
+    """The keys of ``df`` holding at least ``share`` of its rows, estimated
+    from a sample of about ``sample_rows`` rows; ``None`` when there are
+    none.  At most ``1 / share`` keys can qualify, so the result is small; it
+    is fixed as a local relation so a re-run can never pick other keys."""
+    on = list(on)
+    n = df.count()
+    if n == 0:
+        return None
+    fraction = min(1.0, sample_rows / n)
+    threshold = max(2.0, share * n * fraction)
+    not_null = F.lit(True)
+    for c in on:
+        not_null = not_null & F.col(c).isNotNull()
+    sampled = df.select(*on) if fraction >= 1.0 else \
+        df.select(*on).sample(fraction=fraction, seed=seed)
+    rows = (sampled.where(not_null).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= threshold).select(*on).collect())
+    if not rows:
+        return None
+    log.info("hot keys on %s: %d", on, len(rows))
+    return df.sparkSession.createDataFrame(rows, df.select(*on).schema)
+
+
 def lookup_join(
     left: DataFrame,
     dim: DataFrame,
-    on: Sequence[str] | Column,
+    on: Sequence[str],
     how: str = "left",
     broadcast: bool | None = None,
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
+    hot_share: float | None = DEFAULT_HOT_SHARE,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``left`` to ``dim``: broadcast ``dim`` when it is measured to fit
-    ``max_bytes`` (or when ``broadcast`` says so after an outside check),
-    else a sort-merge join."""
+    """Join ``left`` to ``dim`` on the named columns.
+
+    ``dim`` is broadcast when it is measured to fit ``max_bytes`` (or when
+    ``broadcast`` says so after an outside check).  Otherwise it is a
+    sort-merge join, with hot keys of ``left`` split off to a broadcast of
+    their dimension slice (``hot_share=None`` turns that off).  Hot keys
+    are found on ``hot_from`` when given - a cheaper relation with the same
+    keys, such as the input of earlier joins - else on ``left``.
+    """
+    on = list(on)
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_bytes)
-    right = F.broadcast(dim) if broadcast else dim.hint("merge")
-    return left.join(right, on, how)
+    if broadcast:
+        return left.join(F.broadcast(dim), on, how)
+    if hot_share is None or how not in ("left", "inner", "left_semi", "left_anti"):
+        return left.join(dim.hint("merge"), on, how)
+    hot = hot_keys(left if hot_from is None else hot_from, on, hot_share)
+    if hot is None:
+        return left.join(dim.hint("merge"), on, how)
+    hot = F.broadcast(hot)
+    dim_hot = dim.join(hot, on, "left_semi")
+    if not fits_broadcast(dim_hot, max_bytes):
+        log.warning("hot keys on %s have too many dimension rows to broadcast; "
+                    "leaving them to adaptive skew handling", on)
+        return left.join(dim.hint("merge"), on, how)
+    hot_rows = left.join(hot, on, "left_semi").join(F.broadcast(dim_hot), on, how)
+    cold_rows = left.join(hot, on, "left_anti").join(dim.hint("merge"), on, how)
+    return hot_rows.unionByName(cold_rows)

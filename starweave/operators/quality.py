@@ -63,7 +63,9 @@ def relationships(child: DataFrame, relation: str, column: str,
     keys = (child.where(F.col(column).isNotNull())
             .groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
     parents = parent.select(F.col(field).alias("_k")).distinct()
-    orphans = lookup_join(keys, parents, ["_k"], "left_anti", max_bytes=max_broadcast_bytes)
+    # Both sides hold each key once: no hot keys to look for.
+    orphans = lookup_join(keys, parents, ["_k"], "left_anti", max_bytes=max_broadcast_bytes,
+                          hot_share=None)
     return _row(orphans.agg(F.sum("_n")), "relationships", relation, column)
 
 
@@ -97,7 +99,8 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
         if small:
             continue
         acc = acc.groupBy(*remaining).agg(F.sum("_w").alias("_w"))
-        acc = lookup_join(acc, counts, [key], "inner", broadcast=False) \
+        acc = lookup_join(acc, counts, [key], "inner", broadcast=False,
+                          max_bytes=max_broadcast_bytes, hot_from=fact) \
             .select(*[k for k in remaining if k != key],
                     (F.col("_w") * F.col("_m")).alias("_w"))
         remaining.remove(key)

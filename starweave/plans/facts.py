@@ -10,7 +10,9 @@ the bound, so the fact is streamed once through hash lookups with no
 shuffle.  A dimension beyond the bound is joined with a sort-merge join and
 is joined *first*, before the broadcast lookups, so the order lines are
 shuffled before any fan-out multiplies them.  Independent left joins
-commute, so the order does not change the result.
+commute, so the order does not change the result.  Hot business keys of a
+shuffled lookup (found on a sample of the staging rows) bypass the shuffle
+through a broadcast of their dimension slice.
 """
 
 from __future__ import annotations
@@ -49,7 +51,8 @@ def sales_fact(stg: DataFrame, customer: DataFrame, product: DataFrame,
     lookups.sort(key=lambda x: x[2])  # shuffled joins first, broadcasts after
     out = stg
     for dim, on, small in lookups:
-        out = lookup_join(out, dim, on, "left", broadcast=small)
+        out = lookup_join(out, dim, on, "left", broadcast=small,
+                          max_bytes=max_broadcast_bytes, hot_from=stg)
     return out.select(
         "cust_id",
         "prod_id",

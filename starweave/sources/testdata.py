@@ -71,11 +71,14 @@ def raw_orders_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("o_custkey").alias("c_custkey")),
         customers, ["c_custkey"], "inner",
     )
-    lines = t["lineitem"].select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        F.col("l_partkey").alias("p_partkey"),
-        "l_shipdate", "l_quantity", "l_discount", "l_extendedprice",
-    ).join(orders.hint("merge"), ["o_orderkey"], "inner")
+    lines = lookup_join(
+        t["lineitem"].select(
+            F.col("l_orderkey").alias("o_orderkey"),
+            F.col("l_partkey").alias("p_partkey"),
+            "l_shipdate", "l_quantity", "l_discount", "l_extendedprice",
+        ),
+        orders, ["o_orderkey"], "inner",
+    )
     rows = lookup_join(
         lines,
         t["part"].select("p_partkey", "p_name", "p_brand", "p_type"),

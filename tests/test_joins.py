@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starweave.operators.joins import fits_broadcast, lookup_join, measure
+from starweave.operators.joins import fits_broadcast, hot_keys, lookup_join, measure
 
 
 def _plan(df):
@@ -32,3 +32,31 @@ def test_dimension_over_the_bound_is_merge_joined(spark):
     plan = _plan(out)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert out.count() == 10000
+
+
+def _skewed(spark):
+    # Key 7 holds a third of the rows; NULL keys must survive a left join.
+    rows = [(7, i) for i in range(3000)] + [(i % 500, i) for i in range(6000)] \
+        + [(None, i) for i in range(50)]
+    left = spark.createDataFrame(rows, "k long, v long")
+    dim = spark.range(500).selectExpr("id AS k", "concat('name-', id) AS w") \
+        .union(spark.createDataFrame([(7, "second row for seven")], "k long, w string"))
+    return left, dim
+
+
+def test_hot_keys_found_on_a_sample(spark):
+    left, _ = _skewed(spark)
+    hot = hot_keys(left, ["k"], share=0.05, sample_rows=2000)
+    assert [r["k"] for r in hot.collect()] == [7]
+    assert hot_keys(spark.range(1000).selectExpr("id AS k"), ["k"], share=0.05) is None
+
+
+def test_hot_keys_split_off_from_the_merge_join(spark):
+    left, dim = _skewed(spark)
+    want = sorted(map(tuple, left.join(dim, ["k"], "left").collect()), key=str)
+    out = lookup_join(left, dim, ["k"], "left", max_bytes=2000, hot_share=0.05)
+    plan = _plan(out)
+    assert "Union" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+    assert sorted(map(tuple, out.collect()), key=str) == want
+    inner = lookup_join(left, dim, ["k"], "inner", max_bytes=2000, hot_share=0.05)
+    assert inner.count() == left.join(dim, ["k"], "inner").count()

@@ -104,8 +104,8 @@ def test_fact_row_count_is_sum_of_match_products(spark):
     """Fact rows = sum over staging rows of prod(max(1, matches per dimension))."""
     rnd = random.Random(1)
     rows = []
-    for i in range(200):
-        cust = f"C{rnd.randint(0, 9)}"
+    for i in range(300):
+        cust = "C0" if i % 3 == 0 else f"C{rnd.randint(1, 9)}"  # C0: a third of the rows
         rows.append(raw_row(
             order_id=f"O{i}", customer_id=cust,
             customer_name=rnd.choice(["A", "B"]) if cust == "C0" else "N" + cust,
@@ -127,10 +127,12 @@ def test_fact_row_count_is_sum_of_match_products(spark):
                  * max(1, gm[(r["postal_code"], r["city"], r["state"])])
                  for r in srows)
     assert fact.count() == expect
-    # The shuffle-join path (nothing broadcast) gives the same rows.
-    *_, fact_smj = _star(stg, max_broadcast_bytes=0)
-    assert sorted(map(tuple, fact_smj.collect()), key=str) == \
-        sorted(map(tuple, fact.collect()), key=str)
+    # The shuffle-join paths give the same rows: nothing broadcast (0), and
+    # dimensions over the bound with the hot customer's slice under it (200).
+    want = sorted(map(tuple, fact.collect()), key=str)
+    for bound in (0, 200):
+        *_, fact_smj = _star(stg, max_broadcast_bytes=bound)
+        assert sorted(map(tuple, fact_smj.collect()), key=str) == want, bound
 
 
 def test_fact_date_keys_and_mart_average(spark):
