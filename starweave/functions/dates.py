@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Lower-case three-letter day names, Sunday first (the order of
+# Spark's dayofweek, 1 = Sunday).
+DAY_NAMES = ("sun", "mon", "tue", "wed", "thu", "fri", "sat")
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,8 +43,12 @@ def date_from_key(k: Column | str) -> Column:
 
 
 def day_name(d: Column | str) -> Column:
-    """``to_char(d, 'dy')``: lower-case three-letter day name (``wed``)."""
-    return F.lower(F.date_format(_col(d), "E"))
+    """``to_char(d, 'dy')``: lower-case three-letter day name (``wed``).
+
+    Looked up from the day of the week, so no date formatter, locale or
+    session time zone is involved."""
+    names = F.array(*[F.lit(n) for n in DAY_NAMES])
+    return F.element_at(names, F.dayofweek(_col(d)))
 
 
 def days_between(end: Column | str, start: Column | str) -> Column:

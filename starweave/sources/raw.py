@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.partitioning import spread
 from .schemas import PEOPLE_SCHEMA, RAW_ORDERS_SCHEMA
 
 
 def read_raw_orders(spark: SparkSession, path: str | None = None, table: str | None = None,
-                    fmt: str = "parquet") -> DataFrame:
+                    fmt: str = "parquet", min_partitions: int | None = None) -> DataFrame:
     """The raw order lines, from a catalog table or from files read with the
-    declared schema (no inference)."""
+    declared schema (no inference).  Spread over ``min_partitions`` (default:
+    the session's parallelism) when stored in too few files; 1 turns that
+    off."""
     if table is not None:
-        return spark.table(table)
-    if path is None:
+        df = spark.table(table)
+    elif path is not None:
+        df = spark.read.schema(RAW_ORDERS_SCHEMA).format(fmt).load(path)
+    else:
         raise ValueError("give a table name or a path")
-    return spark.read.schema(RAW_ORDERS_SCHEMA).format(fmt).load(path)
+    return spread(df, min_partitions)
 
 
 def read_people(spark: SparkSession, path: str | None = None, table: str | None = None,

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
+from ..operators.partitioning import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -72,7 +73,7 @@ def raw_orders_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         customers, ["c_custkey"], "inner",
     )
     lines = lookup_join(
-        t["lineitem"].select(
+        spread(t["lineitem"]).select(
             F.col("l_orderkey").alias("o_orderkey"),
             F.col("l_partkey").alias("p_partkey"),
             "l_shipdate", "l_quantity", "l_discount", "l_extendedprice",
