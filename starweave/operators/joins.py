@@ -66,7 +66,19 @@ def measure(df: DataFrame) -> Size:
     return Size(int(r["rows"]), int(r["bytes"]))
 
 
+_MIN_VALUE_BYTES = 8  # every value counts at least this much in ``measure``
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is measured to fit ``max_bytes``.
+
+    A row count comes first - it reads no column data - and already proves
+    a large relation too big (every value takes at least 8 bytes), so the
+    byte-measuring pass only ever runs over relations that might fit.
+    """
+    floor = _MIN_VALUE_BYTES * max(1, len(df.columns))
+    if df.count() * floor > max_bytes:
+        return False
     return measure(df).bytes <= max_bytes
 
 

@@ -7,6 +7,7 @@ from .series import date_series
 from .tables import (
     DEFAULT_TARGET_SCHEMA,
     STAGING_SCHEMA,
+    create_declared_tables,
     create_schema,
     create_view,
     declared_ddl,
@@ -23,6 +24,7 @@ __all__ = [
     "RAW_ORDERS_SCHEMA",
     "STAGING_SCHEMA",
     "columns",
+    "create_declared_tables",
     "create_schema",
     "create_view",
     "date_series",

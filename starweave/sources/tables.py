@@ -46,6 +46,27 @@ def recreate_declared_table(spark: SparkSession, schema: str, table: str,
     return qualified
 
 
+# Where the declared tables live.  The raw layer is its own
+# schema, the intermediate layer (orders, returns, people) the default schema,
+# and the warehouse tables a warehouse schema.
+RAW_LAYER = ("orders",)
+INTERMEDIATE_LAYER = (("rd_orders", "orders"), ("returns", "returns"), ("people", "people"))
+WAREHOUSE_LAYER = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "calendar_dim",
+                   "people_dim", "sales_fact")
+
+
+def create_declared_tables(spark: SparkSession, staging: str = STAGING_SCHEMA,
+                           warehouse: str = "dw", default: str = "default") -> list[str]:
+    """Lay out every declared table afresh (schemas created if missing,
+    tables dropped and created empty); returns the qualified names."""
+    create_schema(spark, staging)
+    create_schema(spark, warehouse)
+    made = [recreate_declared_table(spark, staging, t) for t in RAW_LAYER]
+    made += [recreate_declared_table(spark, default, t, name) for t, name in INTERMEDIATE_LAYER]
+    made += [recreate_declared_table(spark, warehouse, t) for t in WAREHOUSE_LAYER]
+    return made
+
+
 def write_table(df: DataFrame, schema: str, name: str, fmt: str = "parquet") -> str:
     """Materialise a model as a table, rebuilt in full on every run."""
     qualified = f"`{schema}`.`{name}`"

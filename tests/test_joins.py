@@ -60,3 +60,19 @@ def test_hot_keys_split_off_from_the_merge_join(spark):
     assert sorted(map(tuple, out.collect()), key=str) == want
     inner = lookup_join(left, dim, ["k"], "inner", max_bytes=2000, hot_share=0.05)
     assert inner.count() == left.join(dim, ["k"], "inner").count()
+
+
+def test_row_count_alone_rules_out_a_large_dimension(spark):
+    dim = spark.range(10000).selectExpr("id AS k", "repeat('x', 100) AS w")
+    # 10,000 rows x 2 values x 8 bytes > 100 KB: decided without measuring bytes.
+    assert not fits_broadcast(dim, 100_000)
+    assert fits_broadcast(dim, 10_000 * (8 + 100 + 8))
+    assert not fits_broadcast(dim, 10_000 * (8 + 100 + 8) - 1)
+
+
+def test_spread_only_touches_under_split_scans(spark):
+    from starweave.operators.partitioning import spread
+    one = spark.range(0, 1000, 1, 1)
+    assert spread(one, 6).rdd.getNumPartitions() == 6
+    many = spark.range(0, 1000, 1, 12)
+    assert spread(many, 6) is many

@@ -56,3 +56,15 @@ def test_build_with_window_keys_matches_parallel(spark):
     for n in ("product_dim", "sales_fact"):
         assert sorted(map(tuple, a.table(n).collect()), key=str) == \
             sorted(map(tuple, b.table(n).collect()), key=str)
+
+
+def test_create_declared_tables_lays_out_every_layer(spark):
+    from starweave.sources import create_declared_tables
+    made = create_declared_tables(spark, staging="stg_ddl", warehouse="dw_ddl")
+    assert len(made) == 11
+    raw = spark.table("`stg_ddl`.`orders`")
+    assert raw.columns[:3] == ["row_id", "order_id", "order_date"]
+    assert dict(spark.table("`default`.`orders`").dtypes)["postal_code"] == "int"
+    fact = spark.table("`dw_ddl`.`sales_fact`")
+    assert dict(fact.dtypes)["profit"] == "decimal(21,16)"
+    assert all(spark.table(t).count() == 0 for t in made)
