@@ -33,7 +33,7 @@ from starweave.plans import (
     stg_orders,
     warehouse_constraints,
 )
-from starweave.session import ensure_checkpoint_dir
+from starweave.session import stored
 from starweave.sources import columns, people_from_tpch, raw_orders_from_tpch
 from starweave.sources.schemas import PRIMARY_KEYS
 
@@ -47,8 +47,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging over the adapter, with the adapter's six-way join written
     once to the checkpoint folder (the raw table of a real deployment)."""
-    ensure_checkpoint_dir(spark)
-    return stg_orders(raw_orders_from_tpch(spark, sf_dir).checkpoint(eager=True))
+    return stg_orders(stored(raw_orders_from_tpch(spark, sf_dir)))
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -60,8 +59,8 @@ def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "shipping_dim": shipping_dim(stg),
         "geo_dim": geo_dim(stg),
     }
-    m["sales_fact"] = sales_fact(stg, m["customer_dim"], m["product_dim"],
-                                 m["shipping_dim"], m["geo_dim"]).checkpoint(eager=True)
+    m["sales_fact"] = stored(sales_fact(stg, m["customer_dim"], m["product_dim"],
+                                        m["shipping_dim"], m["geo_dim"]))
     return m
 
 

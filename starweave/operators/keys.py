@@ -6,14 +6,15 @@ SinglePartition``).  The default here is a two-pass form that stays
 parallel:
 
 1. range-partition the rows on the full sort order and sort inside each
-   partition; cut lineage with a reliable ``checkpoint`` so the range bounds
-   (taken from a sample) can never be recomputed differently;
-2. count rows per partition (one small row per partition) and turn the
-   counts into running offsets with a window over those few rows;
-3. ``key = base + offset[partition] + position inside the partition``,
-   the position coming from ``monotonically_increasing_id`` over the sorted
-   checkpoint.  The offsets table is bounded by the partition count and is
-   broadcast.
+   partition; tag every row with its partition and its position in that
+   partition (``monotonically_increasing_id`` right after the sort) and write
+   the result as a parquet table under the session's checkpoint folder.
+   This cuts lineage: range bounds come from a sample, and a recomputation
+   after a lost executor must never see other partitions;
+2. count rows per partition - a scan of one column, one row per partition -
+   and turn the counts into running offsets with a window over those rows;
+3. ``key = base + offset[partition] + position``; the offsets table is
+   bounded by the partition count and is broadcast.
 
 The sort order is the model's columns first, then every other column as a
 tie-breaker, all ascending with NULLs last (the database's default).  The
@@ -28,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import stored
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition id << 33 | row
 
@@ -68,20 +69,17 @@ def surrogate_key(
     if method != "parallel":
         raise ValueError(f"unknown method {method!r}")
 
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions
         else df.repartitionByRange(*order)
     ).sortWithinPartitions(*order)
-    ranged = ranged.checkpoint(eager=True)
-
-    positioned = ranged.select(
+    positioned = stored(ranged.select(
         F.monotonically_increasing_id().alias("_pos"), *cols
     ).select(
         F.shiftright("_pos", _POSITION_BITS).alias("_part"),
         (F.col("_pos").bitwiseAND((1 << _POSITION_BITS) - 1)).alias("_row"),
         *cols,
-    )
+    ))
     # One row per partition; the running sum over them is a tiny window.
     sizes = positioned.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(

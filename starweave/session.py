@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -67,3 +68,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set: point it at a shared folder "
         "(HDFS/S3/ABFS) that every executor can reach"
     )
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet under the session's checkpoint folder and read
+    it back.
+
+    A lineage cut that survives lost executors (the files are on shared
+    storage and committed atomically) and, unlike an RDD checkpoint, a
+    columnar table later passes can prune to the columns they read.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starweave/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

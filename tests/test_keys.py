@@ -93,8 +93,10 @@ def test_parallel_plan_has_no_single_partition_exchange(spark):
     assert "SinglePartition" in window_plan
 
 
-def test_checkpoint_cuts_lineage(spark):
+def test_lineage_is_cut_at_a_stored_table(spark):
     df = spark.createDataFrame(_rows(), SCHEMA).withColumn("m", F.col("n") * 2)
     out = surrogate_key(df, "sk", ["code"], partitions=4)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "LocalRelation" not in plan
+    ckpt = spark.sparkContext.getCheckpointDir()
+    assert "Relation" in plan and "LocalRelation" not in plan and "LogicalRDD" not in plan
+    assert ckpt.split(":", 1)[-1] in out.inputFiles()[0]
