@@ -18,7 +18,6 @@ through a broadcast of their dimension slice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
 from ..operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, lookup_join

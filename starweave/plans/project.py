@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.joins import DEFAULT_BROADCAST_BYTES
 from ..sources.tables import (
     DEFAULT_TARGET_SCHEMA,
-    STAGING_SCHEMA,
     create_schema,
     create_view,
     schema_name,
@@ -51,7 +50,7 @@ class Warehouse:
 
 def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
           marts_schema: str | None = DEFAULT_TARGET_SCHEMA,
-          default_schema: str = "public", key_method: str = "parallel",
+          default_schema: str = "default", key_method: str = "parallel",
           key_partitions: int | None = None,
           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> Warehouse:
     """Run every model in dependency order and write each mart as a table."""
