@@ -1,0 +1,80 @@
+"""The physical plans have the shape the design promises."""
+
+from __future__ import annotations
+
+import os
+import re
+import tempfile
+
+import pytest
+from conftest import SF_SMALL
+
+from starweave.plans import (
+    customer_dim,
+    geo_dim,
+    mart_avg_shipping_duration,
+    product_dim,
+    sales_fact,
+    shipping_dim,
+    stg_orders,
+)
+from starweave.session import stored
+from starweave.sources import raw_orders_from_tpch, read_raw_orders
+
+
+def _plan(df, capsys) -> str:
+    df.explain(mode="formatted")
+    return capsys.readouterr().out
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="starweave-plans-"), "raw")
+    raw_orders_from_tpch(spark, SF_SMALL).write.parquet(path)
+    stg = stg_orders(read_raw_orders(spark, path, min_partitions=1))
+    # As in a build, the fact reads the written dimension tables.
+    dims = tuple(stored(d) for d in (customer_dim(stg), product_dim(stg),
+                                     shipping_dim(stg), geo_dim(stg)))
+    return stg, dims
+
+
+def _read_schemas(plan: str) -> list[str]:
+    return re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+
+
+def test_fact_is_one_streamed_pass_over_the_raw_scan(star, capsys):
+    stg, dims = star
+    plan = _plan(sales_fact(stg, *dims), capsys)
+    head = plan.split("\n\n")[0]
+    assert head.count("BroadcastHashJoin LeftOuter") == 4
+    # No exchange above the raw scan: the fact side is never shuffled.
+    assert "Exchange" not in head.replace("BroadcastExchange", "")
+    raw_scans = [s for s in _read_schemas(plan) if "order_id" in s]
+    assert len(raw_scans) == 1
+    for unused in ("customer_name", "segment", "country", "region", "category",
+                   "product_name"):
+        assert unused not in raw_scans[0]
+
+
+def test_dimension_scans_read_only_their_columns(star, capsys):
+    stg, _ = star
+    plan = _plan(stg.select("customer_id", "customer_name").distinct(), capsys)
+    assert _read_schemas(plan) == ["customer_id:string,customer_name:string"]
+
+
+def test_mart_shuffles_only_per_ship_id_partials(star, capsys):
+    stg, dims = star
+    fact = sales_fact(stg, *dims)
+    plan = _plan(mart_avg_shipping_duration(fact, dims[2]), capsys)
+    # Partial aggregation precedes the first exchange of fact rows.
+    aggs = re.findall(r"HashAggregate.*\n.*\nKeys \[1\]: \[ship_id", plan)
+    assert aggs, plan
+    assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_lookups_with_no_room_to_broadcast_are_merge_joins(star, capsys):
+    stg, dims = star
+    plan = _plan(sales_fact(stg, *dims, max_broadcast_bytes=0), capsys)
+    head = plan.split("\n\n")[0]
+    assert head.count("SortMergeJoin LeftOuter") == 4
+    assert "BroadcastHashJoin LeftOuter" not in head
