@@ -150,3 +150,15 @@ def test_fact_date_keys_and_mart_average(spark):
     mart = mart_avg_shipping_duration(fact, s).collect()
     assert [(r["ship_mode"], str(r["avg_shipping_days"])) for r in mart] == \
         [("M", "2.50"), ("N", "-9.00")]
+
+
+def test_staging_casts_text_dates_like_the_database(spark):
+    from pyspark.sql import functions as F
+    base = raw_frame(spark, [raw_row()]).drop("order_date", "ship_date")
+    ok = base.withColumn("order_date", F.lit("2016-11-08")) \
+        .withColumn("ship_date", F.lit("2016-11-10"))
+    row = stg_orders(ok).first()
+    assert row["order_date"] == dt.date(2016, 11, 8) and row["ship_date"] == dt.date(2016, 11, 10)
+    bad = ok.withColumn("order_date", F.lit("11/8/2016"))
+    with pytest.raises(Exception):
+        stg_orders(bad).collect()
