@@ -11,8 +11,9 @@ parallel:
    the result as a parquet table under the session's checkpoint folder.
    This cuts lineage: range bounds come from a sample, and a recomputation
    after a lost executor must never see other partitions;
-2. count rows per partition - a scan of one column, one row per partition -
-   and turn the counts into running offsets with a window over those rows;
+2. count rows per partition - a scan of one column, one row per partition,
+   so only as many numbers as there are partitions reach the driver - and
+   turn the counts into running offsets;
 3. ``key = base + offset[partition] + position``; the offsets table is
    bounded by the partition count and is broadcast.
 
@@ -80,18 +81,20 @@ def surrogate_key(
         (F.col("_pos").bitwiseAND((1 << _POSITION_BITS) - 1)).alias("_row"),
         *cols,
     ))
-    # One row per partition; the running sum over them is a tiny window.
-    sizes = positioned.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_part",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    return positioned.join(F.broadcast(offsets), "_part").select(
+    # One row per partition (the count reads only the partition column); the
+    # running offsets are fixed once here, so later evaluations of the result
+    # are a scan and a hash lookup with no further job.
+    sizes = sorted(tuple(r) for r in positioned.groupBy("_part").count().collect())
+    if not sizes:
+        return positioned.select(F.lit(None).cast("long").alias(key), *cols)
+    offsets, total = [], 0
+    for part, n in sizes:
+        offsets.append(f"({int(part)}L, {total}L)")
+        total += n
+    # A VALUES list plans as a local relation: broadcasting it runs no job.
+    offsets_df = df.sparkSession.sql(
+        f"SELECT * FROM VALUES {', '.join(offsets)} AS t(_part, _offset)")
+    return positioned.join(F.broadcast(offsets_df), "_part").select(
         (F.lit(base + 1).cast("long") + F.col("_offset") + F.col("_row")).alias(key),
         *cols,
     )
