@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from ..session import stored
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition id << 33 | row
+# The single-task window form refuses inputs larger than this many rows.
+WINDOW_MAX_ROWS = 1_000_000
 
 
 def sort_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
@@ -52,12 +54,15 @@ def surrogate_key(
     base: int = 100,
     method: str = "parallel",
     partitions: int | None = None,
+    window_max_rows: int = WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Prepend ``key`` (bigint, ``base + 1 .. base + n``) to distinct ``df``.
 
     ``method="parallel"`` (default) is the two-pass range form above;
-    ``method="window"`` is the literal single-task window, kept for small
-    relations and as the reference point of the tests and the bench.
+    ``method="window"`` is the literal single-task window, kept as the
+    reference point of the tests and the bench.  It moves every row into one
+    task, so it first counts the input and refuses more than
+    ``window_max_rows`` rows.
     ``partitions`` fixes the range partition count; by default the session's
     shuffle partitions are used and adaptive execution may merge neighbours
     (merging keeps the ranges in order).
@@ -65,6 +70,10 @@ def surrogate_key(
     cols = df.columns
     order = _ascending(sort_order(df, order_by))
     if method == "window":
+        n = df.count()
+        if n > window_max_rows:
+            raise ValueError(f"{n} rows is too many for a single-task window; "
+                             "use method='parallel'")
         rn = F.row_number().over(Window.orderBy(*order))
         return df.select((F.lit(base).cast("long") + rn).alias(key), *cols)
     if method != "parallel":

@@ -100,3 +100,10 @@ def test_lineage_is_cut_at_a_stored_table(spark):
     ckpt = spark.sparkContext.getCheckpointDir()
     assert "LogicalRDD" not in plan  # no RDD checkpoint, no driver-side data
     assert ckpt.split(":", 1)[-1] in out.inputFiles()[0]
+
+
+def test_window_form_refuses_unbounded_input(spark):
+    df = spark.createDataFrame(_rows(9, 50), SCHEMA)
+    with pytest.raises(ValueError, match="single-task"):
+        surrogate_key(df, "sk", ["code"], method="window", window_max_rows=49)
+    assert surrogate_key(df, "sk", ["code"], method="window", window_max_rows=50).count() == 50
