@@ -20,7 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.dates import date_key
-from ..operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, lookup_join
+from ..operators.joins import (
+    DEFAULT_BROADCAST_BYTES,
+    DEFAULT_HOT_SHARE,
+    fits_broadcast,
+    lookup_join,
+)
 
 FACT_COLUMNS = (
     "cust_id", "prod_id", "ship_id", "geo_id", "order_date_id", "ship_date_id",
@@ -42,7 +47,8 @@ def dimension_lookups(customer: DataFrame, product: DataFrame, shipping: DataFra
 
 def sales_fact(stg: DataFrame, customer: DataFrame, product: DataFrame,
                shipping: DataFrame, geo: DataFrame,
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               hot_share: float | None = DEFAULT_HOT_SHARE) -> DataFrame:
     lookups = [
         (dim, on, fits_broadcast(dim, max_broadcast_bytes))
         for dim, on in dimension_lookups(customer, product, shipping, geo)
@@ -51,7 +57,8 @@ def sales_fact(stg: DataFrame, customer: DataFrame, product: DataFrame,
     out = stg
     for dim, on, small in lookups:
         out = lookup_join(out, dim, on, "left", broadcast=small,
-                          max_bytes=max_broadcast_bytes, hot_from=stg)
+                          max_bytes=max_broadcast_bytes, hot_share=hot_share,
+                          hot_from=stg)
     return out.select(
         "cust_id",
         "prod_id",

@@ -28,12 +28,6 @@ from .facts import sales_fact
 from .marts import mart_avg_shipping_duration
 from .staging import stg_orders
 
-MART_ORDER = (
-    "customer_dim", "product_dim", "shipping_dim", "geo_dim", "calendar_dim",
-    "sales_fact", "mart_avg_shipping_duration",
-)
-
-
 @dataclass
 class Warehouse:
     """Names of what a build wrote, and the session to read them with."""

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import types as T
 
 from starweave.operators.quality import (
+    REPORT_COLUMNS,
     Check,
     constraint_report,
     relationships,
@@ -34,11 +35,13 @@ def test_checks_report(spark):
     dim = spark.createDataFrame([(101, "a"), (102, "b"), (102, "c"), (None, "d")],
                                 "cust_id long, customer_id string")
     fact = spark.createDataFrame([(101,), (101,), (999,), (999,), (None,)], "cust_id long")
-    rep = _report(run_checks({"customer_dim": dim, "sales_fact": fact}, [
+    report = run_checks({"customer_dim": dim, "sales_fact": fact}, [
         Check("unique", "customer_dim", "cust_id"),
         Check("not_null", "customer_dim", "cust_id"),
         Check("relationships", "sales_fact", "cust_id", to="customer_dim", field="cust_id"),
-    ]))
+    ])
+    assert tuple(report.columns) == REPORT_COLUMNS
+    rep = _report(report)
     assert rep == {
         ("unique", "customer_dim", "cust_id"): 1,
         ("not_null", "customer_dim", "cust_id"): 1,
