@@ -48,6 +48,18 @@ def unique_violations(df: DataFrame, column: str) -> DataFrame:
             .where(F.col("n_records") > 1))
 
 
+def key_profile(df: DataFrame, column: str) -> DataFrame:
+    """One grouped pass over a key column answering both ``unique`` and
+    ``not_null``: ``duplicated`` (non-NULL values seen more than once) and
+    ``nulls`` (rows holding NULL - NULL keys form one group)."""
+    c = F.col(column)
+    groups = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(
+        F.count_if(c.isNotNull() & (F.col("_n") > 1)).alias("duplicated"),
+        F.coalesce(F.sum(F.when(c.isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
+    )
+
+
 def unique(df: DataFrame, relation: str, column: str) -> DataFrame:
     return _row(unique_violations(df, column).agg(F.count(F.lit(1))), "unique", relation, column)
 
@@ -120,11 +132,27 @@ class Check:
 
 def run_checks(relations: dict[str, DataFrame], checks: Iterable[Check],
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Evaluate ``checks`` over named relations; one report row per check."""
+    """Evaluate ``checks`` over named relations; one report row per check.
+
+    A column tested for both ``unique`` and ``not_null`` is profiled once:
+    both report rows read the same grouped count, whose shuffle Spark then
+    runs a single time (exchange reuse).
+    """
+    checks = list(checks)
+    tested = {}
+    for ch in checks:
+        tested.setdefault((ch.relation, ch.column), set()).add(ch.test)
+    profiles: dict[tuple[str, str], DataFrame] = {}
     rows = []
     for ch in checks:
         df = relations[ch.relation]
-        if ch.test == "unique":
+        key = (ch.relation, ch.column)
+        if ch.test in ("unique", "not_null") and {"unique", "not_null"} <= tested[key]:
+            if key not in profiles:
+                profiles[key] = key_profile(df, ch.column)
+            field = "duplicated" if ch.test == "unique" else "nulls"
+            rows.append(_row(profiles[key].select(field), ch.test, ch.relation, ch.column))
+        elif ch.test == "unique":
             rows.append(unique(df, ch.relation, ch.column))
         elif ch.test == "not_null":
             rows.append(not_null(df, ch.relation, ch.column))
