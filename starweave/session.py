@@ -23,6 +23,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     temporary folder is made when it is not given.
     """
     scratch = scratch or tempfile.mkdtemp(prefix="starweave-")
+    if os.environ.get("STARWEAVE_EVENT_LOG"):
+        os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -39,6 +41,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.extraJavaOptions",
                 f"-Dderby.system.home={os.path.join(scratch, 'derby')}")
     )
+    if os.environ.get("STARWEAVE_EVENT_LOG"):
+        # Per-job and per-stage timings, in the scratch folder (the UI stays off).
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", os.path.join(scratch, "events")))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
