@@ -16,7 +16,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     at scale this is a no-op.  Use it on a plain scan: asking a plan that
     contains shuffles for its partition count would run them.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if target <= 1 or df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect client cannot see partitions: leave as is
+        return df
+    if target <= 1 or current >= target:
         return df
     return df.repartition(target)

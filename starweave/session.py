@@ -59,11 +59,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster a machine-local folder would lose checkpoints with the executor,
     so we refuse instead.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect client has no context: use the setting
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set") from None
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
