@@ -68,3 +68,14 @@ def test_create_declared_tables_lays_out_every_layer(spark):
     fact = spark.table("`dw_ddl`.`sales_fact`")
     assert dict(fact.dtypes)["profit"] == "decimal(21,16)"
     assert all(spark.table(t).count() == 0 for t in made)
+
+
+def test_build_on_empty_input(spark):
+    raw = raw_frame(spark, [])
+    wh = build(spark, raw, marts_schema="dw_empty")
+    for n in ("customer_dim", "product_dim", "shipping_dim", "geo_dim", "sales_fact",
+              "mart_avg_shipping_duration"):
+        assert wh.table(n).count() == 0, n
+    assert wh.table("calendar_dim").count() == 7670
+    report = run_tests(wh).collect()
+    assert len(report) == 9 and all(r["failures"] == 0 for r in report)
