@@ -78,3 +78,10 @@ def test_lookups_with_no_room_to_broadcast_are_merge_joins(star, capsys):
     head = plan.split("\n\n")[0]
     assert head.count("SortMergeJoin LeftOuter") == 4
     assert "BroadcastHashJoin LeftOuter" not in head
+
+
+def test_filter_on_a_keyed_dimension_reaches_the_stored_scan(star, capsys):
+    stg, _ = star
+    from starweave.plans import repaired_geography
+    plan = _plan(repaired_geography(geo_dim(stg)), capsys)
+    assert "EqualTo(city,Burlington)" in plan
