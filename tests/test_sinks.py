@@ -79,3 +79,20 @@ def test_build_on_empty_input(spark):
     assert wh.table("calendar_dim").count() == 7670
     report = run_tests(wh).collect()
     assert len(report) == 9 and all(r["failures"] == 0 for r in report)
+
+
+def test_command_line_run_then_test(spark, capsys):
+    import os
+    import tempfile
+
+    from starweave.__main__ import main
+    path = os.path.join(tempfile.mkdtemp(prefix="starweave-cli-"), "raw")
+    raw_orders_from_tpch(spark, SF_SMALL).write.parquet(path)
+    assert main(["run", "--raw-path", path, "--schema", "dw_cli"]) == 0
+    assert "sales_fact\t`dw_cli`.`sales_fact`" in capsys.readouterr().out
+    assert main(["test", "--schema", "dw_cli"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert len(out) == 9 and all(line.startswith("PASS") for line in out)
+    # A planted duplicate key makes the test step fail.
+    spark.sql("INSERT INTO `dw_cli`.`shipping_dim` SELECT * FROM `dw_cli`.`shipping_dim` LIMIT 1")
+    assert main(["test", "--schema", "dw_cli"]) == 1
