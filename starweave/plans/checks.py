@@ -62,8 +62,9 @@ def star_integrity(fact: DataFrame, shipping: DataFrame, geo: DataFrame,
 
 def warehouse_constraints(relations: dict[str, DataFrame]) -> DataFrame:
     """Declared NOT NULL / VARCHAR / NUMERIC / primary-key limits of the
-    warehouse tables, checked on the built models."""
-    order = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "sales_fact")
+    warehouse tables, checked on the built models that are given."""
+    order = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "sales_fact",
+             "calendar_dim", "people_dim")
     return reduce(DataFrame.unionAll,
                   [constraint_report(relations[name], name) for name in order
                    if name in relations])

@@ -109,3 +109,14 @@ def test_constraints_find_numbers_that_do_not_fit(spark):
 def test_constraints_on_clean_rows_pass(spark):
     df = _typed(spark, [(101, "Standard Class"), (102, "First Class")])
     assert set(_report(constraint_report(df, "shipping_dim")).values()) == {0}
+
+
+def test_warehouse_constraints_cover_calendar_and_managers(spark):
+    from starweave.plans import calendar_dim, people_dim, warehouse_constraints
+    people = spark.createDataFrame([("Anna", "West"), ("A name that is too long", "East")],
+                                   "person string, region string")
+    rep = _report(warehouse_constraints({"calendar_dim": calendar_dim(spark),
+                                         "people_dim": people_dim(people)}))
+    assert rep[("primary_key", "calendar_dim", "dateid")] == 0
+    assert rep[("max_length", "people_dim", "person_name")] == 1
+    assert rep[("primary_key", "people_dim", "person_id")] == 0
