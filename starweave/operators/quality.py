@@ -11,9 +11,9 @@ Each check yields one row ``(test, relation, column_name, failures)``, where
 
 Every check is an aggregate, so a report is many small one-row results
 unioned in one job.  Heavy sides are reduced before they are shuffled: the
-child of a relationship is cut to its distinct values with counts (map-side
-partial aggregation) before it meets the parent, and the row-level checks
-of one relation share a single scan.
+child of a relationship meets a large parent as distinct values with counts
+(map-side partial aggregation), and the row-level checks of one relation
+share a single scan.
 """
 
 from __future__ import annotations
@@ -71,13 +71,24 @@ def not_null(df: DataFrame, relation: str, column: str) -> DataFrame:
 def relationships(child: DataFrame, relation: str, column: str,
                   parent: DataFrame, field: str,
                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Child rows whose non-NULL ``column`` is missing from ``parent.field``."""
-    keys = (child.where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
-    parents = parent.select(F.col(field).alias("_k")).distinct()
-    # Both sides hold each key once: no hot keys to look for.
-    orphans = lookup_join(keys, parents, ["_k"], "left_anti", max_bytes=max_broadcast_bytes,
-                          hot_share=None)
+    """Child rows whose non-NULL ``column`` is missing from ``parent.field``.
+
+    A parent key set within the broadcast bound is probed map-side by every
+    child row, and only orphans are counted: no shuffle of the child.  A
+    larger parent meets the child as distinct keys with counts, a map-side
+    partial aggregate, so a hot key crosses the network once per task.  That
+    path is an outer join plus a NULL test, because Catalyst would push an
+    anti join back below the aggregation.
+    """
+    c = F.col(column)
+    present = child.where(c.isNotNull())
+    parents = parent.select(F.col(field).alias("_k"))
+    if fits_broadcast(parents, max_broadcast_bytes):
+        orphans = present.select(c.alias("_k")).join(F.broadcast(parents), "_k", "left_anti")
+        return _row(orphans.agg(F.count(F.lit(1))), "relationships", relation, column)
+    keys = present.groupBy(c.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    found = parents.distinct().select("_k", F.lit(True).alias("_found"))
+    orphans = keys.join(found.hint("merge"), "_k", "left").where(F.col("_found").isNull())
     return _row(orphans.agg(F.sum("_n")), "relationships", relation, column)
 
 

@@ -85,3 +85,17 @@ def test_filter_on_a_keyed_dimension_reaches_the_stored_scan(star, capsys):
     from starweave.plans import repaired_geography
     plan = _plan(repaired_geography(geo_dim(stg)), capsys)
     assert "EqualTo(city,Burlington)" in plan
+
+
+def test_relationships_keeps_the_child_pre_aggregated_before_a_merge_join(spark, capsys):
+    from starweave.operators.quality import relationships
+    child = spark.range(1000).selectExpr("id % 37 AS k")
+    parent = spark.range(0, 40, 2).selectExpr("id AS k")
+    small = _plan(relationships(child, "c", "k", parent, "k"), capsys)
+    assert "BroadcastHashJoin LeftAnti" in small and "SortMergeJoin" not in small
+    large = _plan(relationships(child, "c", "k", parent, "k", max_broadcast_bytes=0), capsys)
+    head = large.split("\n\n")[0]
+    assert "SortMergeJoin LeftOuter" in head and "LeftAnti" not in head
+    # The child side of the merge join is an aggregate, not raw rows.
+    child_side = head.split("SortMergeJoin LeftOuter")[1].split(":- Sort")[1].split("+- Sort")[0]
+    assert "HashAggregate" in child_side
