@@ -13,12 +13,19 @@ it is generated from two fixed dates and reads no table (it is tested in
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starweave.operators.quality import constraint_report
-from starweave.plans import (
+# The package sits next to this file; make it importable however this file is loaded.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from starweave.operators.quality import constraint_report  # noqa: E402
+from starweave.plans import (  # noqa: E402
     business_key_tests,
     customer_dim,
     declared_tests,
@@ -33,9 +40,9 @@ from starweave.plans import (
     stg_orders,
     warehouse_constraints,
 )
-from starweave.session import stored
-from starweave.sources import columns, people_from_tpch, raw_orders_from_tpch
-from starweave.sources.schemas import PRIMARY_KEYS
+from starweave.session import stored  # noqa: E402
+from starweave.sources import columns, people_from_tpch, raw_orders_from_tpch  # noqa: E402
+from starweave.sources.schemas import PRIMARY_KEYS  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
