@@ -99,3 +99,12 @@ def test_relationships_keeps_the_child_pre_aggregated_before_a_merge_join(spark,
     # The child side of the merge join is an aggregate, not raw rows.
     child_side = head.split("SortMergeJoin LeftOuter")[1].split(":- Sort")[1].split("+- Sort")[0]
     assert "HashAggregate" in child_side
+
+
+def test_unique_and_not_null_share_one_shuffle(spark, capsys):
+    from starweave.operators.quality import Check, run_checks
+    dim = spark.range(500).selectExpr("CASE WHEN id % 50 = 0 THEN NULL ELSE id % 400 END AS k")
+    report = run_checks({"d": dim}, [Check("unique", "d", "k"), Check("not_null", "d", "k")])
+    got = {r["test"]: r["failures"] for r in report.collect()}
+    assert got == {"unique": 98, "not_null": 10}  # v and v + 400 for v < 100, v % 50 != 0
+    assert "ReusedExchange" in _plan(report, capsys)  # the final (executed) plan
