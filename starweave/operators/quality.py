@@ -110,7 +110,11 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
     counted = []
     for dim, key in dims:
         counts = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
-        counted.append((counts, key, fits_broadcast(counts, max_broadcast_bytes)))
+        # The count table has at most the dimension's rows, each a key and a
+        # long: measuring that projection bounds it without running the
+        # aggregation just to size it.
+        bound = dim.select(key, F.lit(0).cast("long").alias("_m"))
+        counted.append((counts, key, fits_broadcast(bound, max_broadcast_bytes)))
     acc = fact.select(*[k for _, k in dims], F.lit(1).cast("long").alias("_w"))
     for counts, key, small in counted:
         if small:
