@@ -1,0 +1,57 @@
+"""Checkpoint-folder resolution: never a machine-local folder on a cluster."""
+
+from __future__ import annotations
+
+import pytest
+
+from starweave.session import ensure_checkpoint_dir
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _Context:
+    def __init__(self, master, current=None):
+        self.master, self.current = master, current
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, path):
+        self.current = path
+
+
+class _Session:
+    def __init__(self, master, conf=None, current=None):
+        self.conf = _Conf(conf or {})
+        self.sparkContext = _Context(master, current)
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session("yarn"))
+
+
+def test_configured_folder_is_used():
+    s = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(s) == "hdfs:///shared/ckpt"
+
+
+def test_folder_already_set_wins():
+    s = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///a"}, current="hdfs:///b")
+    assert ensure_checkpoint_dir(s) == "hdfs:///b"
+
+
+def test_local_master_gets_a_scratch_folder():
+    s = _Session("local[4]")
+    path = ensure_checkpoint_dir(s)
+    assert path and s.sparkContext.getCheckpointDir() == path
+
+
+def test_real_session_has_a_folder(spark):
+    assert ensure_checkpoint_dir(spark)
