@@ -6,7 +6,7 @@ used to read the table and the constraint checks run before a write
 (``starweave.operators.quality.constraint_report``).
 
 Column names are lower case: the DDL is unquoted mixed case and PostgreSQL
-folds it, while the dbt models quote lower-case names.
+folds it, while the models quote lower-case names.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ PEOPLE_DDL = [
     ("region", "VARCHAR(7)", True),
 ]
 
-# Warehouse tables as declared by the DDL.  Where the dbt models name or type
+# Warehouse tables as declared by the DDL.  Where the models name or type
 # a column differently, the model's form is used (ship_mode, text leap flag,
 # no sales_id) so the declared limits can be checked against what is built.
 SHIPPING_DIM_DDL = [
