@@ -27,10 +27,15 @@ def test_query_matches_oracle_small(spark, con_small, name):
     assert r["ok"], r
 
 
-@pytest.mark.parametrize("name", ["mart_avg_shipping_duration", "declared_tests",
-                                  "product_dim", "geo_dim", "star_integrity"])
-def test_query_matches_oracle_medium(spark, name):
-    r = compare(QUERIES[name](spark, SF_MEDIUM), duck(SF_MEDIUM), ORACLES[name])
+@pytest.fixture(scope="module")
+def con_medium():
+    return duck(SF_MEDIUM)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle_medium(spark, con_medium, name):
+    """The driver's correctness gate: every query at sf0.01."""
+    r = compare(QUERIES[name](spark, SF_MEDIUM), con_medium, ORACLES[name])
     assert r["ok"], r
 
 
