@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import DEFAULT_BROADCAST_BYTES
+from ..operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_SHARE
 from ..sources.tables import (
     DEFAULT_TARGET_SCHEMA,
     create_schema,
@@ -46,8 +46,13 @@ def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
           marts_schema: str | None = DEFAULT_TARGET_SCHEMA,
           default_schema: str = "default", key_method: str = "parallel",
           key_partitions: int | None = None,
-          max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> Warehouse:
-    """Run every model in dependency order and write each mart as a table."""
+          max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+          hot_share: float | None = DEFAULT_HOT_SHARE) -> Warehouse:
+    """Run every model in dependency order and write each mart as a table.
+
+    ``max_broadcast_bytes`` bounds every broadcast; ``hot_share`` is the share
+    of the fact's rows from which a business key is split off a merge join
+    (``None`` leaves skew to adaptive execution alone)."""
     target = schema_name(marts_schema, default_schema)
     create_schema(spark, target)
     stg = create_view(stg_orders(raw), "stg_orders")
@@ -64,7 +69,7 @@ def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
     geo = save("geo_dim", geo_dim(stg, **keys))
     save("calendar_dim", calendar_dim(spark))
     fact = save("sales_fact", sales_fact(stg, customer, product, shipping, geo,
-                                         max_broadcast_bytes))
+                                         max_broadcast_bytes, hot_share))
     save("mart_avg_shipping_duration",
          mart_avg_shipping_duration(fact, shipping, max_broadcast_bytes))
     if people is not None:
