@@ -44,6 +44,13 @@ from starweave.session import stored  # noqa: E402
 from starweave.sources import columns, people_from_tpch, raw_orders_from_tpch  # noqa: E402
 from starweave.sources.schemas import PRIMARY_KEYS  # noqa: E402
 
+# The training-data operators are a separate subpackage; everything else works without it.
+try:
+    from starweave.llm import queries as llm  # noqa: E402
+    import corpus_pipeline  # noqa: E402
+except ImportError:
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -142,8 +149,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_mart_avg_shipping_duration(spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+
+
+def _llm_oracles() -> dict[str, str]:
+    if not llm:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.oracle_sql(), **pipeline}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_llm_queries(),
         "stg_orders": q_stg_orders,
         "customer_dim": q_customer_dim,
         "product_dim": q_product_dim,
@@ -342,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
     warehouse = "\nUNION ALL\n".join(
         _constraints_sql(rel, rel, cols) for rel, cols in _MODEL_COLUMNS.items())
     return {
+        **_llm_oracles(),
         "stg_orders": _with(_RAW, _STG) + " SELECT * FROM stg_orders",
         "customer_dim": _with(_RAW, _STG, _DIMS) + " SELECT * FROM customer_dim",
         "product_dim": _with(_RAW, _STG, _DIMS) + " SELECT * FROM product_dim",
