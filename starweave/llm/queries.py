@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_files
-from .common import documents
+from . import chat, decontaminate, line_dedup, near_dup, packing, quality, token_files, url_filter
+from .common import documents, take
+from .oracles import oracle_sql  # noqa: F401  (part of this module's interface)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,50 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir), shingle=4)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(take(documents(spark, sf_dir), "doc_id", "text"))
+    return judged.select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept")])
+
+
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = chat.pairs_by_opening(turns)
+
+    def mask(name: str):
+        return F.array_join(F.transform(name, lambda s: F.concat_ws(
+            ":", s["start"], s["length"], s["train"])), ",").alias(name)
+
+    return chat.format_pairs(turns, pairs).select(
+        "chosen_id", "rejected_id", "n_common", "prompt", "chosen", "rejected",
+        mask("chosen_mask"), mask("rejected_mask"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(take(documents(spark, sf_dir), "doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs = take(documents(spark, sf_dir), "doc_id", "text")
+    return decontaminate.scan(docs, benchmark).select(
+        "doc_id", "hits.n_words", "hits.n_hit",
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        (F.col("hits.n_hit") > 0).alias("contaminated"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_filter.judge_urls(pages, url_filter.rules_frame(spark))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(documents(spark, sf_dir))
     return token_files.read(spark, files).select(
@@ -27,9 +72,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op3_near_duplicates": op3_near_duplicates,
+        "op4_quality_rules": op4_quality_rules,
+        "op5_preference_format": op5_preference_format,
+        "op6_line_dedup": op6_line_dedup,
+        "op9_decontamination": op9_decontamination,
         "op8_token_files": op8_token_files,
+        "op10_url_filter": op10_url_filter,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
