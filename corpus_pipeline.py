@@ -1,10 +1,77 @@
-"""The corpus pipeline; its stages follow as the operators are written."""
+"""The corpus pipeline: from documents to packed training sequences.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
+and returns a DataFrame that is written and read again as the next stage's
+``docs``.  All but the last return the columns of ``documents``; a stage that
+changes texts sets ``n_chars`` anew.  The last returns one row per packed
+piece.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starweave.llm import decontaminate, line_dedup, near_dup, packing, quality
+from starweave.llm.common import documents, free_name, written
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass every quality rule, unchanged."""
+    judged = quality.judge(docs)
+    verdict = judged.columns[-1]
+    return judged.where(F.col(verdict)["kept"]).drop(verdict)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without long lines that several documents share (the
+    largest doc_id keeps them)."""
+    cleaned = line_dedup.dedup(docs)
+    return _counted(cleaned.drop(*cleaned.columns[-2:]))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, unchanged: the one with
+    the smallest doc_id.  Rows without a doc_id stay."""
+    found = near_dup.near_duplicates(docs)
+    lost = found.where(~F.col("kept") & F.col("doc_id").isNotNull())
+    name = free_name(docs, "lost_id")
+    return docs.join(lost.select(F.col("doc_id").alias(name)).distinct(),
+                     F.col("doc_id") == F.col(name), "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window, unchanged."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.clean_documents(docs, benchmark)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids, packed: one row per piece, with its ids."""
+    return packing.pack(docs)
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
+
+# Token ids are not expressible in SQL; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each but the last is written and reread."""
+    docs = documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)

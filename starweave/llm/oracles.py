@@ -83,14 +83,24 @@ WITH t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
   FROM conversations WHERE conv_id IS NOT NULL
+), answer AS (
+  SELECT conv_id, max(i) AS k, arg_max(text, i) AS text FROM t WHERE role = 'assistant'
+  GROUP BY conv_id
 ), opening AS (
-  SELECT conv_id, lead(conv_id) OVER (PARTITION BY role, text ORDER BY conv_id) AS other
-  FROM t WHERE i = 1
-), p AS (SELECT conv_id AS c, other AS r FROM opening WHERE other IS NOT NULL),
-turns AS (
+  SELECT conv_id, md5(role || '|' || text) AS h FROM t WHERE i = 1
+), p AS (
+  SELECT o.c, o.r, o.same OR ca.k IS NULL OR ra.k IS NULL AS whole, ca.k, ra.text AS answer
+  FROM (SELECT conv_id AS c, lead(conv_id) OVER w AS r, h = lead(h) OVER w AS same
+        FROM opening WINDOW w AS (ORDER BY h, conv_id)) AS o
+  LEFT JOIN answer AS ca ON ca.conv_id = o.c LEFT JOIN answer AS ra ON ra.conv_id = o.r
+  WHERE o.r IS NOT NULL
+), turns AS (
   SELECT p.c, p.r, 0 AS side, t.i, t.role, t.text FROM p JOIN t ON t.conv_id = p.c
   UNION ALL
-  SELECT p.c, p.r, 1, t.i, t.role, t.text FROM p JOIN t ON t.conv_id = p.r
+  SELECT p.c, p.r, 1, t.i, t.role, t.text FROM p JOIN t ON t.conv_id = p.r WHERE whole
+  UNION ALL
+  SELECT p.c, p.r, 1, t.i, t.role, CASE WHEN t.i = p.k THEN p.answer ELSE t.text END
+  FROM p JOIN t ON t.conv_id = p.c WHERE NOT whole
 ), met AS (
   SELECT c, r, i, count(*) = 2 AND count(DISTINCT (role, text)) = 1 AS same
   FROM turns GROUP BY c, r, i

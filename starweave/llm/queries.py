@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, near_dup, packing, quality, token_files, url_filter
+from . import (
+    chat, decontaminate, lang_id, line_dedup, lm_score, near_dup, packing, quality, token_files,
+    url_filter,
+)
 from .common import documents, take
 from .oracles import oracle_sql  # noqa: F401  (part of this module's interface)
 
@@ -18,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.pseudo_likelihood(documents(spark, sf_dir))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir), shingle=4)
 
@@ -30,14 +37,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    pairs = chat.pairs_by_opening(turns)
+    pairs = chat.contrasts(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
     def mask(name: str):
         return F.array_join(F.transform(name, lambda s: F.concat_ws(
             ":", s["start"], s["length"], s["train"])), ",").alias(name)
 
-    return chat.format_pairs(turns, pairs).select(
+    return chat.format_turns(pairs).select(
         "chosen_id", "rejected_id", "n_common", "prompt", "chosen", "rejected",
         mask("chosen_mask"), mask("rejected_mask"))
 
@@ -62,6 +68,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rules_frame(spark))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = lang_id.learn(docs.where(~held_out))
+    return lang_id.predict(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(documents(spark, sf_dir))
     return token_files.read(spark, files).select(
@@ -72,11 +86,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_lm_score": op2_lm_score,
         "op3_near_duplicates": op3_near_duplicates,
         "op4_quality_rules": op4_quality_rules,
         "op5_preference_format": op5_preference_format,
         "op6_line_dedup": op6_line_dedup,
         "op9_decontamination": op9_decontamination,
+        "op7_language_id": op7_language_id,
         "op8_token_files": op8_token_files,
         "op10_url_filter": op10_url_filter,
     }
