@@ -2,8 +2,8 @@
 
 A document's set is its distinct word shingles (A-Z lower-cased).  Documents
 with equal sets form a class, held by its smallest doc_id, so exact copies
-never meet as pairs.  Each class has ``TOKENS`` minwise tokens, which agree in
-two sets with probability equal to their Jaccard similarity.
+never meet as pairs.  Each class has minwise tokens, which agree in two sets
+with probability equal to their Jaccard similarity.
 
 The join is a recursion over nodes, one level at a time for all trees:
 
@@ -14,17 +14,21 @@ The join is a recursion over nodes, one level at a time for all trees:
   leader, which takes one pair a member however large the node is.  Links are
   confirmed on the full sets and joined into components;
 * pairs inside a component add nothing, so a node whose members are all in
-  one component ends there.  A node is small if at most ``limit`` members are
-  outside its leader's component; those are compared with all members of
-  other components, exhaustively.  A node with more of them branches again;
-* at the last level every open node counts as small, so none is given up.
-
-Comparisons first look at 128 one-bit tokens in two longs (a native
+  one component ends there;
+* of the others, a node with at most ``limit`` members outside its leader's
+  component is small: those are compared with all members of other
+  components, by a join that emits close pairs only, and confirmed;
+* a node with more, but at most ``node_shingles`` shingles in all, is compared
+  exhaustively by one task on the full sets, which returns only links that
+  join components, fewer than it has members;
+* a larger node branches again.  At the last level it counts as small, so no
+  node is given up.
+
+A pair of members first meets 128 one-bit tokens in two longs (a native
 expression; a pair at the threshold fails it with a chance below 1e-6), then
-confirm on the full sets.  With ``trees`` independent trees a pair at the
-threshold is missed with a chance of 0.2 to the power of the root positions
-(1e-7) when its node is small at once, and well under a percent when it takes
-some levels of branching.
+the full sets.  With ``trees`` independent trees a pair at the threshold is
+missed with a chance of 0.2 to the power of the root positions (1e-7) when its
+node does not branch, and of a few hundredths of a percent when it does once.
 
 Output, one row per input row: doc_id, n_shingles, component_id (smallest
 doc_id reachable, itself included), kept (doc_id = component_id).
@@ -53,9 +57,11 @@ from .components import components
 SHINGLE = 5
 THRESHOLD = 80      # percent
 TREES = 10
-LIMIT = 64          # members outside the leader's component, compared exhaustively
+LIMIT = 64          # members outside the leader's component, compared by a join
+NODE_SHINGLES = 4_000_000  # of a node compared in one task (32 MB)
 LEVELS = 16
-TOKENS = 128        # minwise tokens of a set
+TOKENS = 128        # minwise tokens of a set; of all, one bit is kept
+POSITIONS = 32      # of the first ones, the whole token, to branch on
 MAX_DIFFERENT = 30  # one-bit tokens that may differ: 12.8 expected at 80 percent, sd 3.4
 BROADCAST_IDS = 1 << 20  # doc_ids (8 MB) broadcast to pick texts; beyond, a shuffled join
 
@@ -97,43 +103,51 @@ def children(nodes: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray
     for turn in range(2):
         if turn:
             rows = np.flatnonzero(mix64(nodes ^ np.uint64(0x5EED)) & np.uint64(3) == 0)
-        pick = mix64(nodes[rows] * np.uint64(2) + np.uint64(turn + 1)) % np.uint64(TOKENS)
+        pick = mix64(nodes[rows] * np.uint64(2) + np.uint64(turn + 1)) % np.uint64(POSITIONS)
         token = tokens[rows, pick.astype(np.int64)].astype(np.uint64)
         yield rows, mix64(nodes[rows] ^ mix64((pick << np.uint64(32)) | token))
 
 
-_FRONTIER = "node long, doc long, s1 long, s2 long"
+_MEMBER = ("doc", "n", "s1", "s2")
+_FRONTIER = "node long, doc long, n long, s1 long, s2 long"
 
 
-def _members(nodes: np.ndarray, docs: np.ndarray, tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
-    bits = np.packbits((tokens & 1).astype(bool), axis=1).view(np.int64)
+def _members(nodes: np.ndarray, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()),
+                           np.uint32).reshape(-1, POSITIONS)
     for rows, child in children(nodes, tokens):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(child.view(np.int64)), pa.array(docs[rows]),
-             pa.array(bits[rows, 0]), pa.array(bits[rows, 1])],
-            names=["node", "doc", "s1", "s2"])
+        own = [batch.column(c).take(pa.array(rows)) for c in _MEMBER]
+        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *own],
+                                         names=["node", *_MEMBER])
 
 
-def _tokens(column: pa.Array) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, np.uint32).reshape(-1, TOKENS)
+_SIGNED = "doc_id long, n_shingles long, digest binary, tokens binary, s1 long, s2 long"
 
 
 def _signatures(docs: DataFrame, k: int) -> DataFrame:
+    """Per document: set size, digest of the set, branching tokens, bits."""
     def task(batches):
         for batch in batches:
-            n, digest, tokens = [], [], []
+            n, digest, tokens, bits = [], [], [], [[], []]
             for s in shingle_sets(batch, k):
                 n.append(len(s))
-                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                              if len(s) else None)
-                tokens.append(minwise(s).tobytes() if len(s) else None)
+                if len(s):
+                    digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    least = minwise(s)
+                    tokens.append(least[:POSITIONS].tobytes())
+                    halves = np.packbits((least & 1).astype(bool)).view(np.int64).tolist()
+                else:
+                    digest.append(None)
+                    tokens.append(None)
+                    halves = (None, None)
+                for b, h in zip(bits, halves):
+                    b.append(h)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()),
-                 pa.array(digest, pa.binary()), pa.array(tokens, pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "tokens"])
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                 pa.array(tokens, pa.binary()), *(pa.array(b, pa.int64()) for b in bits)],
+                names=["doc_id", "n_shingles", "digest", "tokens", "s1", "s2"])
 
-    return docs.mapInArrow(task, "doc_id long, n_shingles long, digest binary, tokens binary")
+    return docs.mapInArrow(task, _SIGNED)
 
 
 def _roots(classes: DataFrame, trees: int) -> DataFrame:
@@ -141,33 +155,28 @@ def _roots(classes: DataFrame, trees: int) -> DataFrame:
 
     def task(batches):
         for batch in batches:
-            docs = batch.column("doc").to_numpy(zero_copy_only=False)
-            tokens = _tokens(batch.column("tokens"))
             for root in roots:
-                yield from _members(np.full(len(docs), root), docs, tokens)
+                yield from _members(np.full(batch.num_rows, root), batch)
 
     return classes.mapInArrow(task, _FRONTIER)
 
 
-def _branch(open_rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _branch(rows: DataFrame, classes: DataFrame) -> DataFrame:
     def task(batches):
         for batch in batches:
             yield from _members(
-                batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64),
-                batch.column("doc").to_numpy(zero_copy_only=False),
-                _tokens(batch.column("tokens")))
+                batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64), batch)
 
-    return open_rows.select("node", "doc").join(classes, "doc") \
-        .select("node", "doc", "tokens").mapInArrow(task, _FRONTIER)
+    return rows.select("node", "doc").join(classes, "doc").mapInArrow(task, _FRONTIER)
 
 
 def _close(a1, a2, b1, b2):
     return F.bit_count(a1.bitwiseXOR(b1)) + F.bit_count(a2.bitwiseXOR(b2)) <= MAX_DIFFERENT
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(doc, shingles) of the documents with these ids (distinct doc_id)."""
+    ids = written(ids, "ids")
     few = ids.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
@@ -180,7 +189,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Dat
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(at), pa.array(values))],
                 names=["doc", "shingles"])
 
-    sets = written(texts.mapInArrow(task, "doc long, shingles array<long>"), "sets")
+    return written(texts.mapInArrow(task, "doc long, shingles array<long>"), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, k)
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b") \
         .select("a", "b", (F.size("sa") + F.size("sb")).alias("sizes"),
                 F.size(F.array_intersect("sa", "sb")).alias("same"))
@@ -188,35 +202,106 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Dat
         .select("a", "b").distinct()
 
 
+def node_links(docs: list[int], states: list[int], sets: list[np.ndarray], threshold: int
+               ) -> list[tuple[int, int]]:
+    """Links that join the components ``states`` of a node's members, found
+    by comparing every member outside the largest component with all others."""
+    names, comp = np.unique(np.array(states), return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    mark = np.zeros(len(values), np.int64)
+    top = list(range(len(names)))  # a forest over the components
+
+    def find(i: int) -> int:
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    links = []
+    largest = np.bincount(comp).argmax()
+    for x in np.flatnonzero(comp != largest):
+        own = place[first[x]:first[x] + sizes[x]]
+        mark[own] = 1
+        same = np.add.reduceat(mark[place], first)
+        mark[own] = 0
+        for y in np.flatnonzero(100 * same >= threshold * (sizes + sizes[x] - same)):
+            i, j = find(comp[x]), find(comp[y])
+            if i != j:
+                top[i] = j
+                links.append((min(docs[x], docs[y]), max(docs[x], docs[y])))
+    return links
+
+
+def _node_links(rows: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
+    """Links inside whole nodes (node, doc, c), each compared by one task."""
+    sets = _sets(rows.select(F.col("doc").alias("doc_id")).distinct(), texts, k)
+    grouped = rows.join(sets.dropDuplicates(["doc"]), "doc") \
+        .select("node", "doc", "c", "shingles").repartition("node") \
+        .sortWithinPartitions("node", "doc")
+
+    def task(batches):
+        node, held = None, ([], [], [])
+        for batch in batches:
+            at, values = batch.column("shingles").offsets.to_numpy(), \
+                batch.column("shingles").values.to_numpy()
+            for i, (n, doc, c) in enumerate(zip(*(batch.column(x).to_pylist()
+                                                  for x in ("node", "doc", "c")))):
+                if n != node:
+                    if held[0]:
+                        yield from found(held)
+                    node, held = n, ([], [], [])
+                held[0].append(doc)
+                held[1].append(c)
+                held[2].append(values[at[i]:at[i + 1]])
+        if held[0]:
+            yield from found(held)
+
+    def found(held):
+        links = node_links(*held, threshold)
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                             names=["a", "b"])
+
+    return grouped.mapInArrow(task, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
-                    trees: int = TREES, limit: int = LIMIT, levels: int = LEVELS) -> DataFrame:
+                    trees: int = TREES, limit: int = LIMIT, node_shingles: int = NODE_SHINGLES,
+                    levels: int = LEVELS) -> DataFrame:
     """One row per document with its component; see the module's text."""
     docs = take(docs, "doc_id", "text")
     signed = written(_signatures(docs, shingle), "signatures")
     named = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("doc"), F.first("tokens").alias("tokens"))
+        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"),
+        F.first("tokens").alias("tokens"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     named = written(named, "classes")
-    classes = named.where(F.col("doc").isNotNull()).select("doc", "tokens") \
-        .dropDuplicates(["doc"])
+    classes = named.where(F.col("doc").isNotNull()).drop("digest").dropDuplicates(["doc"])
     texts = docs.where(F.col("doc_id").isNotNull())
 
     links: DataFrame | None = None
     joined: DataFrame | None = None  # doc, component
     checked: DataFrame | None = None
 
+    def link(found: DataFrame) -> None:
+        nonlocal links, joined
+        found = written(found, "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            joined = components(links)
+
     def examine(pairs: DataFrame) -> None:
         """Confirm pairs that no level has looked at, and join their components."""
-        nonlocal links, joined, checked
+        nonlocal checked
         pairs = pairs.distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        if pairs.isEmpty():
-            return
-        found = written(_confirmed(pairs, texts, shingle, threshold), "links")
-        links = found if links is None else links.unionByName(found)
-        joined = components(links)
+        if not pairs.isEmpty():
+            checked = pairs if checked is None else checked.unionByName(pairs)
+            link(_confirmed(pairs, texts, shingle, threshold))
 
     def with_component(rows: DataFrame) -> DataFrame:
         if joined is None:
@@ -224,15 +309,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         return rows.join(joined, "doc", "left").withColumn(
             "c", F.coalesce("component", "doc")).drop("component")
 
-    frontier = _roots(classes, trees)
+    frontier = _roots(classes.select("doc", "n", "tokens", "s1", "s2"), trees)
     for level in range(levels):
-        if level:  # leaders from the other end than a level before
+        last = level == levels - 1
+        if level:
             frontier = written(frontier, "frontier")
-        pick = F.min if level % 2 == 0 else F.max
-        lead = pick(F.struct("doc", "s1", "s2")).alias("lead")
-        nodes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), lead) \
-            .where("n > 1").drop("n")
-        members = written(frontier.join(nodes, "node"), "members")
+        pick = F.min if level % 2 == 0 else F.max  # another leader than a level before
+        nodes = frontier.groupBy("node").agg(
+            F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
+            pick(F.struct("doc", "s1", "s2")).alias("lead")).where("members > 1").drop("members")
+        members = written(frontier.drop("n").join(nodes, "node"), "members")
         examine(members.where("doc <> lead.doc").where(
             _close(F.col("s1"), F.col("s2"), F.col("lead.s1"), F.col("lead.s2"))).select(
             F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b")))
@@ -242,26 +328,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         states = rows.groupBy("node").agg(
             F.min("c").alias("low"), F.max("c").alias("high"),
             F.max(F.when(F.col("leads"), F.col("c"))).alias("lead_c")).where("low < high")
-        open_rows = rows.join(states.select("node", "lead_c"), "node").select(
-            "node", "doc", "s1", "s2", "c", (F.col("c") != F.col("lead_c")).alias("far"))
-        open_rows = written(open_rows, "open")
-        counts = open_rows.where("far").groupBy("node").agg(F.count(F.lit(1)).alias("outside"))
-        last = level == levels - 1
-        small = counts if last else counts.where(F.col("outside") <= limit)
-        far = open_rows.where("far").join(small, "node", "left_semi").select(
+        open_rows = written(rows.join(states.select("node", "lead_c"), "node").select(
+            "node", "doc", "shingles", "s1", "s2", "c", (F.col("c") != F.col("lead_c")).alias("far")),
+            "open")
+        counts = open_rows.where("far").groupBy("node", "shingles").agg(
+            F.count(F.lit(1)).alias("outside"))
+        is_small = F.col("outside") <= limit
+        whole = ~is_small & (F.col("shingles") <= node_shingles)
+        if last:
+            is_small = is_small | (F.col("shingles") > node_shingles)
+
+        far = open_rows.where("far").join(counts.where(is_small).select("node"), "node",
+                                          "left_semi").select(
             "node", F.col("doc").alias("x"), F.col("c").alias("xc"),
             F.col("s1").alias("x1"), F.col("s2").alias("x2"))
         met = far.join(open_rows, "node").where(
             (F.col("c") != F.col("xc")) & (~F.col("far") | (F.col("doc") < F.col("x")))
             & _close(F.col("s1"), F.col("s2"), F.col("x1"), F.col("x2")))
         examine(met.select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b")))
-        if last:
+
+        rest = written(open_rows.select("node", "doc", "c").join(
+            counts.where(~is_small).select("node", whole.alias("whole")), "node"), "rest")
+        if rest.isEmpty():
             break
-        large = counts.where(F.col("outside") > limit).select("node")
-        left = written(open_rows.join(large, "node", "left_semi"), "large")
-        if left.isEmpty():
+        in_task = rest.where("whole").drop("whole")
+        if not in_task.isEmpty():
+            link(_node_links(in_task, texts, shingle, threshold))
+        large = rest.where("not whole")
+        if last or large.isEmpty():
             break
-        frontier = _branch(left, classes)
+        frontier = _branch(large, classes)
 
     class_of = with_component(named.select("digest", "doc")) if joined is not None \
         else named.select("digest", "doc", F.col("doc").alias("c"))
