@@ -3,12 +3,14 @@
 ``entry(spark)`` runs the flagship model (the shipping-duration mart) on
 sf0.001.  ``queries()`` maps each implemented relation or check to a
 callable ``(spark, sf_dir) -> DataFrame``; ``oracle_sql()`` gives, for each,
-independent DuckDB SQL over the same parquet tables (a ``WITH`` chain from
-the raw-orders adapter down, written as the models are written).
+DuckDB SQL over the same parquet tables.  The SQL imports nothing from the
+package and computes its results another way: keys are places in sorted
+lists, lookups are lists of matches, the star count and the mart are sums
+over order lines of how often they match, declared limits are written out.
 
 Every query reads the full test tables.  ``calendar_dim`` is not registered:
 it is generated from two fixed dates and reads no table (it is tested in
-``tests/test_calendar.py`` against DuckDB instead).
+``tests/test_calendar.py``); its date parts are, over the tables' dates.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The package sits next to this file; make it importable however this file is loaded.
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -28,6 +31,7 @@ from starweave.operators.quality import constraint_report  # noqa: E402
 from starweave.plans import (  # noqa: E402
     business_key_tests,
     customer_dim,
+    date_parts,
     declared_tests,
     geo_dim,
     mart_avg_shipping_duration,
@@ -41,8 +45,7 @@ from starweave.plans import (  # noqa: E402
     warehouse_constraints,
 )
 from starweave.session import stored  # noqa: E402
-from starweave.sources import columns, people_from_tpch, raw_orders_from_tpch  # noqa: E402
-from starweave.sources.schemas import PRIMARY_KEYS  # noqa: E402
+from starweave.sources import people_from_tpch, raw_orders_from_tpch  # noqa: E402
 
 # The training-data operators are a separate subpackage; everything else works without it.
 try:
@@ -58,28 +61,39 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Spark side
 # ---------------------------------------------------------------------------
 
+CUSTOMER = ("customer_id", "customer_name")
+PRODUCT = ("product_id", "product_name", "category", "sub_category", "segment")
+GEO = ("country", "city", "state", "postal_code")
+KEYED = (*CUSTOMER, *PRODUCT, *GEO, "ship_mode")
+DATES = ("order_date", "ship_date")
+MEASURES = ("order_id", "sales", "quantity", "discount", "profit")
+
+
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging over the adapter, with the adapter's six-way join written
-    once to the checkpoint folder (the raw table of a real deployment)."""
-    return stg_orders(stored(raw_orders_from_tpch(spark, sf_dir)))
+    """Staging over the adapter's joins, lazily: each consumer reads only the
+    columns it needs."""
+    return stg_orders(raw_orders_from_tpch(spark, sf_dir))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    stg = _staging(spark, sf_dir)
+def _star(spark: SparkSession, sf_dir: str, lines: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The dimensions, and the fact as a plan.  All five read the staging
+    rows, so these are written once with the columns that are needed."""
+    stg = stored(_staging(spark, sf_dir).select(*KEYED, *lines))
     m = {
-        "stg_orders": stg,
         "customer_dim": customer_dim(stg),
         "product_dim": product_dim(stg),
         "shipping_dim": shipping_dim(stg),
         "geo_dim": geo_dim(stg),
     }
-    m["sales_fact"] = stored(sales_fact(stg, m["customer_dim"], m["product_dim"],
-                                        m["shipping_dim"], m["geo_dim"]))
+    whole = stg.select("*", *[F.lit(None).cast("date").alias(c) for c in DATES if c not in lines],
+                       *[F.lit(None).alias(c) for c in MEASURES if c not in lines])
+    m["sales_fact"] = sales_fact(whole, m["customer_dim"], m["product_dim"],
+                                 m["shipping_dim"], m["geo_dim"])
     return m
 
 
 def q_stg_orders(spark, sf_dir):
-    return stg_orders(raw_orders_from_tpch(spark, sf_dir))
+    return _staging(spark, sf_dir)
 
 
 def q_customer_dim(spark, sf_dir):
@@ -98,17 +112,22 @@ def q_geo_dim(spark, sf_dir):
     return geo_dim(_staging(spark, sf_dir))
 
 
+def q_date_parts(spark, sf_dir):
+    stg = _staging(spark, sf_dir)
+    days = stg.select(F.explode(F.array(*DATES)).alias("date")).distinct()
+    return date_parts(days)
+
+
 def q_people_dim(spark, sf_dir):
     return people_dim(people_from_tpch(spark, sf_dir))
 
 
 def q_sales_fact(spark, sf_dir):
-    stg = _staging(spark, sf_dir)
-    return sales_fact(stg, customer_dim(stg), product_dim(stg), shipping_dim(stg), geo_dim(stg))
+    return _star(spark, sf_dir, (*DATES, *MEASURES))["sales_fact"]
 
 
 def q_mart_avg_shipping_duration(spark, sf_dir):
-    m = _star(spark, sf_dir)
+    m = _star(spark, sf_dir, DATES)
     return mart_avg_shipping_duration(m["sales_fact"], m["shipping_dim"])
 
 
@@ -117,7 +136,7 @@ def q_declared_tests(spark, sf_dir):
 
 
 def q_business_key_tests(spark, sf_dir):
-    stg = _staging(spark, sf_dir)
+    stg = stored(_staging(spark, sf_dir).select(*CUSTOMER, *PRODUCT))
     return business_key_tests({"customer_dim": customer_dim(stg),
                                "product_dim": product_dim(stg)})
 
@@ -133,7 +152,8 @@ def q_star_integrity(spark, sf_dir):
 
 
 def q_constraints_raw_orders(spark, sf_dir):
-    return constraint_report(raw_orders_from_tpch(spark, sf_dir), "orders")
+    # The test tables have no row number.
+    return constraint_report(raw_orders_from_tpch(spark, sf_dir), "orders", left_out=("row_id",))
 
 
 def q_constraints_people(spark, sf_dir):
@@ -141,7 +161,7 @@ def q_constraints_people(spark, sf_dir):
 
 
 def q_constraints_warehouse(spark, sf_dir):
-    return warehouse_constraints(_star(spark, sf_dir))
+    return warehouse_constraints(_star(spark, sf_dir, (*DATES, *MEASURES)))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -169,6 +189,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shipping_dim": q_shipping_dim,
         "geo_dim": q_geo_dim,
         "people_dim": q_people_dim,
+        "date_parts": q_date_parts,
         "sales_fact": q_sales_fact,
         "mart_avg_shipping_duration": q_mart_avg_shipping_duration,
         "declared_tests": q_declared_tests,
@@ -182,7 +203,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # ---------------------------------------------------------------------------
-# Oracle side: DuckDB SQL, written from the models' SQL.
+# Oracle side: DuckDB SQL, from the relations' definitions.
 # ---------------------------------------------------------------------------
 
 _RAW = """
@@ -219,60 +240,60 @@ raw_orders AS (
 
 _STG = """
 stg_orders AS (
-  SELECT order_id,
-         CAST(order_date AS DATE) AS order_date,
-         CAST(ship_date AS DATE) AS ship_date,
-         ship_mode, customer_id, customer_name, segment, country, city, state,
-         CASE WHEN city = 'Burlington' AND postal_code IS NULL THEN '05401'
-              ELSE postal_code END AS postal_code,
-         region, product_id, category,
-         subcategory AS sub_category,
-         product_name, sales, quantity, discount, profit
+  SELECT * REPLACE (coalesce(postal_code, map {'Burlington': '05401'}[city]) AS postal_code)
+           RENAME (subcategory AS sub_category)
   FROM raw_orders
 )"""
 
-_DIMS = """
-customer_dim AS (
-  SELECT 100 + row_number() OVER (ORDER BY customer_id ASC NULLS LAST,
-                                           customer_name ASC NULLS LAST) AS cust_id,
-         customer_id, customer_name
-  FROM (SELECT DISTINCT customer_id, customer_name FROM stg_orders) AS u
-),
-product_dim AS (
-  SELECT 100 + row_number() OVER (ORDER BY product_id ASC NULLS LAST,
-                                           product_name ASC NULLS LAST,
-                                           category ASC NULLS LAST,
-                                           sub_category ASC NULLS LAST,
-                                           segment ASC NULLS LAST) AS prod_id,
-         product_id, product_name, category, sub_category, segment
-  FROM (SELECT DISTINCT product_id, product_name, category, sub_category, segment
-        FROM stg_orders) AS u
-),
-shipping_dim AS (
-  SELECT 100 + row_number() OVER (ORDER BY ship_mode ASC NULLS LAST) AS ship_id, ship_mode
-  FROM (SELECT DISTINCT ship_mode FROM stg_orders) AS u
-),
-geo_dim AS (
-  SELECT 100 + row_number() OVER (ORDER BY postal_code ASC NULLS LAST,
-                                           city ASC NULLS LAST,
-                                           state ASC NULLS LAST,
-                                           country ASC NULLS LAST) AS geo_id,
-         country, city, state, postal_code
-  FROM (SELECT DISTINCT country, city, state, postal_code FROM stg_orders) AS u
+
+def _numbered(rel: str, key: str, cols: tuple[str, ...], order: tuple[str, ...]) -> str:
+    """Distinct rows as structs in a sorted list (a NULL field sorts last);
+    a row's key is 100 and its place."""
+    fields = ", ".join(f"{c} := {c}" for c in (*order, *(c for c in cols if c not in order)))
+    return f"""
+{rel} AS (
+  SELECT 100 + place AS {key}, {', '.join(f'r.{c} AS {c}' for c in cols)}
+  FROM (SELECT unnest(l) AS r, generate_subscripts(l, 1) AS place
+        FROM (SELECT list_sort(list(DISTINCT struct_pack({fields}))) AS l FROM stg_orders))
+)"""
+
+
+_DIMS = ",".join([
+    _numbered("customer_dim", "cust_id", ("customer_id", "customer_name"), ("customer_id",)),
+    _numbered("product_dim", "prod_id",
+              ("product_id", "product_name", "category", "sub_category", "segment"),
+              ("product_id",)),
+    _numbered("shipping_dim", "ship_id", ("ship_mode",), ("ship_mode",)),
+    _numbered("geo_dim", "geo_id", ("country", "city", "state", "postal_code"),
+              ("postal_code", "city", "state")),
+])
+
+# Every order line with the lists of keys that it matches.
+_MATCHES = """
+c_ids AS (SELECT customer_id, list(cust_id) AS cs FROM customer_dim GROUP BY ALL),
+p_ids AS (SELECT product_id, list(prod_id) AS ps FROM product_dim GROUP BY ALL),
+s_ids AS (SELECT ship_mode, list(ship_id) AS ss FROM shipping_dim GROUP BY ALL),
+g_ids AS (SELECT postal_code, city, state, list(geo_id) AS gs FROM geo_dim GROUP BY ALL),
+line AS (
+  SELECT stg_orders.*, coalesce(cs, []) AS cs, coalesce(ps, []) AS ps, coalesce(ss, []) AS ss,
+         coalesce(gs, []) AS gs
+  FROM stg_orders LEFT JOIN c_ids USING (customer_id) LEFT JOIN p_ids USING (product_id)
+  LEFT JOIN s_ids USING (ship_mode) LEFT JOIN g_ids USING (postal_code, city, state)
 )"""
 
+# One row for every combination of a line's matches; an empty list counts as one NULL.
 _FACT = """
+with_c AS (SELECT *, unnest(CASE WHEN len(cs) = 0 THEN [NULL] ELSE cs END) AS cust_id FROM line),
+with_p AS (SELECT *, unnest(CASE WHEN len(ps) = 0 THEN [NULL] ELSE ps END) AS prod_id FROM with_c),
+with_s AS (SELECT *, unnest(CASE WHEN len(ss) = 0 THEN [NULL] ELSE ss END) AS ship_id FROM with_p),
+with_g AS (SELECT *, unnest(CASE WHEN len(gs) = 0 THEN [NULL] ELSE gs END) AS geo_id FROM with_s),
 sales_fact AS (
-  SELECT cd.cust_id, pd.prod_id, sd.ship_id, gd.geo_id,
-         CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS order_date_id,
-         CAST(strftime(o.ship_date, '%Y%m%d') AS INTEGER) AS ship_date_id,
-         o.order_id, o.sales, o.profit, o.quantity, o.discount
-  FROM stg_orders AS o
-  LEFT JOIN customer_dim AS cd ON o.customer_id = cd.customer_id
-  LEFT JOIN product_dim AS pd ON o.product_id = pd.product_id
-  LEFT JOIN shipping_dim AS sd ON o.ship_mode = sd.ship_mode
-  LEFT JOIN geo_dim AS gd
-    ON o.postal_code = gd.postal_code AND o.city = gd.city AND o.state = gd.state
+  SELECT cust_id, prod_id, ship_id, geo_id, order_id, sales, profit, quantity, discount,
+         CAST(year(order_date) * 10000 + month(order_date) * 100 + day(order_date) AS INTEGER)
+           AS order_date_id,
+         CAST(year(ship_date) * 10000 + month(ship_date) * 100 + day(ship_date) AS INTEGER)
+           AS ship_date_id
+  FROM with_g
 )"""
 
 _PEOPLE = """
@@ -283,7 +304,8 @@ people AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
-_STAR = "WITH " + ",".join([_RAW, _STG, _DIMS, _FACT])
+_LINES = "WITH " + ",".join([_RAW, _STG, _DIMS, _MATCHES])
+_STAR = "WITH " + ",".join([_RAW, _STG, _DIMS, _MATCHES, _FACT])
 
 
 def _with(*parts: str) -> str:
@@ -308,46 +330,60 @@ def _relationships_sql(rel: str, col: str, parent: str, field: str) -> str:
             f"WHERE child.{col} IS NOT NULL AND p.{field} IS NULL) AS failures")
 
 
-def _constraints_sql(rel: str, declared: str, present: set[str]) -> str:
-    """Row-level limits of a declared table, one SELECT per limit."""
+# The declared limits, as (column, NOT NULL, longest text or
+# (precision, scale)), and the primary keys.
+_LIMITS = {
+    "orders": (
+        ("order_id", True, 14), ("order_date", True, None), ("ship_date", True, None),
+        ("ship_mode", True, 14), ("customer_id", True, 8), ("customer_name", True, 22),
+        ("segment", True, 11), ("country", True, 13), ("city", True, 17), ("state", True, 20),
+        ("postal_code", False, 50), ("region", True, 7), ("product_id", True, 15),
+        ("category", True, 15), ("subcategory", True, 11), ("product_name", True, 127),
+        ("sales", True, (9, 4)), ("quantity", True, None), ("discount", True, (4, 2)),
+        ("profit", True, (21, 16)),
+    ),
+    "people": (("person", True, 17), ("region", True, 7)),
+    "shipping_dim": (("ship_id", True, None), ("ship_mode", True, 14)),
+    "customer_dim": (("cust_id", True, None), ("customer_id", True, 8),
+                     ("customer_name", True, 22)),
+    "geo_dim": (("geo_id", True, None), ("country", True, 13), ("city", True, 17),
+                ("state", True, 20), ("postal_code", False, 20)),
+    "product_dim": (("prod_id", True, None), ("product_id", True, 50),
+                    ("product_name", True, 127), ("category", True, 15),
+                    ("sub_category", True, 11), ("segment", True, 11)),
+    "sales_fact": (
+        ("cust_id", True, None), ("order_date_id", True, None), ("ship_date_id", True, None),
+        ("prod_id", True, None), ("ship_id", True, None), ("geo_id", True, None),
+        ("order_id", True, 25), ("sales", True, (9, 4)), ("profit", True, (21, 16)),
+        ("quantity", True, None), ("discount", True, (4, 2)),
+    ),
+}
+_KEYS = {"people": "person", "shipping_dim": "ship_id", "customer_dim": "cust_id",
+         "geo_dim": "geo_id", "product_dim": "prod_id"}
+
+
+def _constraints_sql(rel: str, label: str | None = None) -> str:
+    """One SELECT per declared limit of a relation."""
+    label = label or rel
     parts = []
-    for c in columns(declared):
-        if c.name not in present:
-            continue
-        head = f"SELECT '%s' AS test, '{rel}' AS relation, '{c.name}' AS column_name, "
-        if c.not_null:
-            parts.append(head % "not_null"
-                         + f"count(*) FILTER (WHERE {c.name} IS NULL) AS failures FROM {rel}")
-        if c.max_length is not None:
-            parts.append(head % "max_length"
-                         + f"count(*) FILTER (WHERE length({c.name}) > {c.max_length}) "
+    for name, required, limit in _LIMITS[label]:
+        head = f"SELECT '%s' AS test, '{label}' AS relation, '{name}' AS column_name, "
+        if required:
+            parts.append(head % "not_null" + f"count(*) - count({name}) AS failures FROM {rel}")
+        if isinstance(limit, int):
+            parts.append(head % "max_length" + f"count(*) FILTER (WHERE length({name}) > {limit}) "
+                         f"AS failures FROM {rel}")
+        elif limit:
+            precision, scale = limit
+            parts.append(head % "numeric_range" + "count(*) FILTER (WHERE abs(round(CAST("
+                         f"{name} AS DECIMAL(38,18)), {scale})) >= {10 ** (precision - scale)}) "
                          f"AS failures FROM {rel}")
-        if c.precision is not None:
-            bound = 10 ** (c.precision - c.scale)
-            parts.append(head % "numeric_range"
-                         + f"count(*) FILTER (WHERE abs(round(CAST({c.name} AS DOUBLE), "
-                         f"{c.scale})) >= {bound}) AS failures FROM {rel}")
-    pk = PRIMARY_KEYS.get(declared)
-    if pk and pk in present:
-        parts.append(_unique_sql(rel, pk, "primary_key"))
+    if label in _KEYS:
+        parts.append(_unique_sql(rel, _KEYS[label], "primary_key"))
     return "\nUNION ALL\n".join(parts)
 
 
-_RAW_COLUMNS = {
-    "order_id", "order_date", "ship_date", "ship_mode", "customer_id", "customer_name",
-    "segment", "country", "city", "state", "postal_code", "region", "product_id",
-    "category", "subcategory", "product_name", "sales", "quantity", "discount", "profit",
-}
-
-_MODEL_COLUMNS = {
-    "shipping_dim": {"ship_id", "ship_mode"},
-    "customer_dim": {"cust_id", "customer_id", "customer_name"},
-    "geo_dim": {"geo_id", "country", "city", "state", "postal_code"},
-    "product_dim": {"prod_id", "product_id", "product_name", "category", "sub_category",
-                    "segment"},
-    "sales_fact": {"cust_id", "prod_id", "ship_id", "geo_id", "order_date_id",
-                   "ship_date_id", "order_id", "sales", "profit", "quantity", "discount"},
-}
+_MODELS = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "sales_fact")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -359,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
         _relationships_sql("sales_fact", "cust_id", "customer_dim", "cust_id"),
     ]
     warehouse = "\nUNION ALL\n".join(
-        _constraints_sql(rel, rel, cols) for rel, cols in _MODEL_COLUMNS.items())
+        _constraints_sql(rel) for rel in _MODELS)
     return {
         **_llm_oracles(),
         "stg_orders": _with(_RAW, _STG) + " SELECT * FROM stg_orders",
@@ -368,21 +404,30 @@ def oracle_sql() -> dict[str, str]:
         "shipping_dim": _with(_RAW, _STG, _DIMS) + " SELECT * FROM shipping_dim",
         "geo_dim": _with(_RAW, _STG, _DIMS) + " SELECT * FROM geo_dim",
         "people_dim": _with(_PEOPLE) + """
-            SELECT row_number() OVER (ORDER BY person_name ASC NULLS LAST,
-                                              region ASC NULLS LAST) AS person_id,
-                   person_name, region
-            FROM (SELECT DISTINCT person AS person_name, region FROM people) AS u""",
+            SELECT CAST(place AS BIGINT) AS person_id, r.person AS person_name, r.region AS region
+            FROM (SELECT unnest(l) AS r, generate_subscripts(l, 1) AS place
+                  FROM (SELECT list_sort(list(struct_pack(person := person, region := region)))
+                        AS l FROM people))""",
+        "date_parts": _with(_RAW) + """
+            SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS dateid,
+                   CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+                   CAST(month(d) AS INTEGER) AS month, CAST(week(d) AS INTEGER) AS week,
+                   d AS date, lower(strftime(d, '%a')) AS week_day,
+                   CASE day(d + INTERVAL 2 MONTH - INTERVAL 1 DAY) WHEN 29 THEN 'leap'
+                        ELSE 'not leap' END AS leap
+            FROM (SELECT order_date AS d FROM raw_orders UNION SELECT ship_date FROM raw_orders)""",
         "sales_fact": _STAR + " SELECT * FROM sales_fact",
-        "mart_avg_shipping_duration": _STAR + """,
-            durations AS (
-              SELECT s.ship_mode,
-                     strptime(CAST(f.ship_date_id AS VARCHAR), '%Y%m%d')::DATE
-                       - strptime(CAST(f.order_date_id AS VARCHAR), '%Y%m%d')::DATE AS days
-              FROM sales_fact AS f JOIN shipping_dim AS s ON f.ship_id = s.ship_id
+        "mart_avg_shipping_duration": _LINES + """,
+            weighted AS (
+              SELECT ship_mode, ship_date - order_date AS days,
+                     len(ss) * greatest(len(cs), 1) * greatest(len(ps), 1)
+                       * greatest(len(gs), 1) AS n
+              FROM line
             ),
             sums AS (
-              SELECT ship_mode, CAST(sum(days) AS HUGEINT) AS s, count(days) AS c
-              FROM durations GROUP BY ship_mode
+              SELECT ship_mode, CAST(sum(days * n) AS HUGEINT) AS s,
+                     CAST(sum(n) FILTER (WHERE days IS NOT NULL) AS HUGEINT) AS c
+              FROM weighted WHERE n > 0 GROUP BY ship_mode
             )
             SELECT ship_mode,
                    CASE WHEN c > 0 THEN CAST(
@@ -396,17 +441,11 @@ def oracle_sql() -> dict[str, str]:
             + _unique_sql("product_dim", "product_id"),
         "geo_burlington": _with(_RAW, _STG, _DIMS)
             + " SELECT * FROM geo_dim WHERE city = 'Burlington'",
-        "star_integrity": _STAR + """
-            SELECT count(*) AS n
-            FROM sales_fact AS sf
-            JOIN shipping_dim AS s ON sf.ship_id = s.ship_id
-            JOIN geo_dim AS g ON sf.geo_id = g.geo_id
-            JOIN product_dim AS p ON sf.prod_id = p.prod_id
-            JOIN customer_dim AS cd ON sf.cust_id = cd.cust_id""",
-        "constraints_raw_orders": _with(_RAW) + "\n"
-            + _constraints_sql("raw_orders", "orders", _RAW_COLUMNS)
-              .replace("'raw_orders' AS relation", "'orders' AS relation"),
+        "star_integrity": _LINES + """
+            SELECT CAST(coalesce(sum(len(cs) * len(ps) * len(ss) * len(gs)), 0) AS BIGINT) AS n
+            FROM line""",
+        "constraints_raw_orders": _with(_RAW) + "\n" + _constraints_sql("raw_orders", "orders"),
         "constraints_people": _with(_PEOPLE) + "\n"
-            + _constraints_sql("people", "people", {"person", "region"}),
+            + _constraints_sql("people"),
         "constraints_warehouse": _STAR + "\n" + warehouse,
     }

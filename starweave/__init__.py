@@ -8,7 +8,10 @@ Layout:
 * ``operators`` - surrogate keys, size-checked lookup joins, quality checks;
 * ``plans``     - the models (staging, dimensions, calendar, fact, mart),
                   the checks, and the build/test of the whole project;
-* ``streaming`` - empty: the warehouse is batch only.
+* ``llm``       - operators for training-data pipelines, on their own.
+
+The warehouse is batch only; the staging projection is a plain ``select`` and
+also works on a streaming DataFrame.
 """
 
 __version__ = "0.1.0"

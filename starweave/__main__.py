@@ -1,11 +1,17 @@
-"""Command line: the run and test steps of the warehouse.
+"""Command line: the run and test steps of the warehouse, its hand-run checks
+and its table layout.
 
     python -m starweave run --raw-table stg.orders [--people-table people] [--schema dw_test]
     python -m starweave run --raw-path /data/orders.parquet [--people-path ...]
     python -m starweave test [--schema dw_test]
+    python -m starweave check [--schema dw_test]
+    python -m starweave layout [--staging stg] [--warehouse dw]
 
 Under ``spark-submit`` the session comes from the submit configuration.
-``test`` prints one row per declared test and exits 1 when any test fails.
+``run`` makes the staging view ``stg.stg_orders``.  ``test`` prints one row per
+declared test and exits 1 when any test fails.  ``check`` prints the star
+count, the repaired geography and the limits of the built tables that rows
+break.  ``layout`` drops and creates all declared tables, empty.
 """
 
 from __future__ import annotations
@@ -15,10 +21,24 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .plans import Warehouse, build, run_tests
-from .sources import DEFAULT_TARGET_SCHEMA, read_people, read_raw_orders
+from .plans import (
+    Warehouse,
+    build,
+    repaired_geography,
+    run_tests,
+    star_integrity,
+    warehouse_constraints,
+)
+from .sources import (
+    DEFAULT_TARGET_SCHEMA,
+    STAGING_SCHEMA,
+    create_declared_tables,
+    read_people,
+    read_raw_orders,
+)
 
 TESTED = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "sales_fact")
+STAR = ("sales_fact", "shipping_dim", "geo_dim", "product_dim", "customer_dim")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,6 +52,11 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--schema", default=DEFAULT_TARGET_SCHEMA)
     test = sub.add_parser("test", help="run the declared tests on built tables")
     test.add_argument("--schema", default=DEFAULT_TARGET_SCHEMA)
+    check = sub.add_parser("check", help="run the hand-run checks on built tables")
+    check.add_argument("--schema", default=DEFAULT_TARGET_SCHEMA)
+    layout = sub.add_parser("layout", help="drop and create the declared tables")
+    layout.add_argument("--staging", default=STAGING_SCHEMA)
+    layout.add_argument("--warehouse", default="dw")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("starweave").getOrCreate()
@@ -42,13 +67,29 @@ def main(argv: list[str] | None = None) -> int:
         people = None
         if args.people_table or args.people_path:
             people = read_people(spark, path=args.people_path, table=args.people_table)
-        wh = build(spark, raw, people, marts_schema=args.schema)
+        relation = args.raw_table or f"parquet.`{args.raw_path}`"
+        wh = build(spark, raw, people, marts_schema=args.schema, raw_relation=relation)
         for name, table in wh.tables.items():
             print(f"{name}\t{table}")
         return 0
 
+    if args.command == "layout":
+        for table in create_declared_tables(spark, args.staging, args.warehouse):
+            print(table)
+        return 0
+
     schema = args.schema.strip()
-    wh = Warehouse(spark, "stg_orders", {n: f"`{schema}`.`{n}`" for n in TESTED})
+    wh = Warehouse(spark, f"`{STAGING_SCHEMA}`.`stg_orders`",
+                   {n: f"`{schema}`.`{n}`" for n in TESTED})
+    if args.command == "check":
+        tables = {n: wh.table(n) for n in TESTED}
+        print(f"star rows\t{star_integrity(*(tables[n] for n in STAR)).first()['n']}")
+        # A city has a handful of rows: one per state and postal code.
+        for r in repaired_geography(tables["geo_dim"]).collect():
+            print(f"repaired\t{r['geo_id']}\t{r['city']}\t{r['state']}\t{r['postal_code']}")
+        for r in warehouse_constraints(tables).where("failures > 0").collect():
+            print(f"limit\t{r['test']}\t{r['relation']}.{r['column_name']}\t{r['failures']}")
+        return 0
     rows = run_tests(wh).collect()
     for r in rows:
         status = "PASS" if r["failures"] == 0 else "FAIL"

@@ -8,14 +8,13 @@ from .dates import (
     leap_label,
     plus_months_minus_day,
 )
-from .numeric import exact_avg, rounded_ratio
+from .numeric import rounded_ratio
 
 __all__ = [
     "date_from_key",
     "date_key",
     "day_name",
     "days_between",
-    "exact_avg",
     "leap_label",
     "plus_months_minus_day",
     "rounded_ratio",

@@ -26,8 +26,3 @@ def rounded_ratio(total: Column, count: Column, precision: int = 10, scale: int
     c = count.cast("decimal(20,0)")
     return F.when(c > 0, (t / c).cast(f"decimal({precision},{scale})"))
 
-
-def exact_avg(values: Column, precision: int = 10, scale: int = 2) -> Column:
-    """AVG of an integer column, exactly rounded to ``decimal(p, s)``
-    (an aggregate expression: use inside ``agg``).  NULLs are ignored."""
-    return rounded_ratio(F.sum(values.cast("long")), F.count(values), precision, scale)

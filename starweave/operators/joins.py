@@ -5,14 +5,13 @@ aggregate over the dimension returns its row count and the bytes of its
 columns.  Within the bound the join is a broadcast hash join: the large side
 is never shuffled, so a hot key costs nothing extra.
 
-Beyond the bound the join is a sort-merge join, and hot keys are split off
-first.  A sample of the large side finds the keys that each hold at least
-``hot_share`` of its rows (at most ``1 / hot_share`` of them, so the set is
-bounded); their rows skip the shuffle and meet a broadcast of just their
-slice of the dimension, while all other rows take the sort-merge join.  Both
-branches are exact, so the sample only decides which way a row travels and
-never what it joins to.  Adaptive execution's skew-join splitting still
-covers whatever the sample did not flag.
+Beyond the bound the join is one salted sort-merge join.  A sample of the
+large side finds the keys that each hold at least ``hot_share`` of its rows
+(at most ``1 / hot_share`` of them, so the set is small enough to broadcast).
+Their rows, and rows with a NULL key, which match nothing, get a salt from a
+hash of the row; all other rows have salt 0.  The dimension's rows of a hot
+key are repeated for every salt.  The large side is read once, and the sample
+only decides how rows are dealt out, never what they join to.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,42 +53,51 @@ def _width(field: T.StructField) -> Column:
     return F.lit(8)
 
 
-def measure(df: DataFrame) -> Size:
-    """Row count and approximate bytes of ``df`` (one aggregate job)."""
-    widths = [_width(f) for f in df.schema.fields] or [F.lit(0)]
-    row_bytes = widths[0]
-    for w in widths[1:]:
-        row_bytes = row_bytes + w
-    r = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("bytes"),
-    ).first()
-    return Size(int(r["rows"]), int(r["bytes"]))
+def measure_all(dfs: Sequence[DataFrame]) -> list[Size]:
+    """Row count and approximate bytes of each of ``dfs`` (one aggregate)."""
+    parts = []
+    for i, df in enumerate(dfs):
+        row_bytes = F.lit(0)
+        for f in df.schema.fields:
+            row_bytes = row_bytes + _width(f)
+        parts.append(df.select(F.lit(i).alias("i"), row_bytes.cast("long").alias("bytes")))
+    found = reduce(DataFrame.unionAll, parts).groupBy("i").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).collect()
+    sizes = {r["i"]: Size(int(r["rows"]), int(r["bytes"])) for r in found}
+    return [sizes.get(i, Size(0, 0)) for i in range(len(dfs))]
 
 
-_MIN_VALUE_BYTES = 8  # every value counts at least this much in ``measure``
+def measure(df: DataFrame) -> Size:
+    """Row count and approximate bytes of ``df``."""
+    return measure_all([df])[0]
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` is measured to fit ``max_bytes``.
-
-    A row count comes first - it reads no column data - and already proves
-    a large relation too big (every value takes at least 8 bytes), so the
-    byte-measuring pass only ever runs over relations that might fit.
-    """
-    floor = _MIN_VALUE_BYTES * max(1, len(df.columns))
-    if df.count() * floor > max_bytes:
-        return False
+    """Whether ``df`` is measured to fit ``max_bytes``.  Meant for tables and
+    projections of tables: measuring a join would run it."""
     return measure(df).bytes <= max_bytes
 
 
+def fitting_together(dims: Sequence[DataFrame], max_bytes: int = DEFAULT_BROADCAST_BYTES
+                     ) -> list[bool]:
+    """Which of ``dims`` to broadcast so that all of them together stay
+    within ``max_bytes``: the smallest first, as many as fit."""
+    sizes = [s.bytes for s in measure_all(dims)]
+    fits, total = [False] * len(dims), 0
+    for i in sorted(range(len(dims)), key=lambda i: sizes[i]):
+        total += sizes[i]
+        fits[i] = total <= max_bytes
+    return fits
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = DEFAULT_HOT_SHARE,
              sample_rows: int = HOT_SAMPLE_ROWS, seed: int = HOT_SAMPLE_SEED
              ) -> DataFrame | None:
     """The keys of ``df`` holding at least ``share`` of its rows, estimated
     from a sample of about ``sample_rows`` rows; ``None`` when there are
     none.  At most ``1 / share`` keys can qualify, so the result is small; it
-    is fixed as a local relation so a re-run can never pick other keys."""
+    is fixed as a local relation so a re-run can never pick other keys.  Give
+    a table or a projection of one: counting and sampling read it."""
     on = list(on)
     n = df.count()
     if n == 0:
@@ -108,6 +117,32 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = DEFAULT_HOT_SHARE,
     return df.sparkSession.createDataFrame(rows, df.select(*on).schema)
 
 
+def salted_join(left: DataFrame, dim: DataFrame, on: Sequence[str], how: str,
+                hot: DataFrame | None, salts: int) -> DataFrame:
+    """One sort-merge join on the key and a salt (see the module's text)."""
+    on = list(on)
+    columns = left.columns
+    null_key = F.lit(False)
+    for c in on:
+        null_key = null_key | F.col(c).isNull()
+    spread_out = null_key
+    if hot is not None:
+        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        left = left.join(marked, on, "left")
+        spread_out = spread_out | F.col("_hot").isNotNull()
+        dim = dim.join(marked, on, "left")
+    # A hash of the row, so a retried task deals its rows out as before.
+    row_salt = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+    left = left.withColumn("_salt", F.when(spread_out, row_salt).otherwise(0))
+    dim_salts = F.array(F.lit(0)) if hot is None else F.when(
+        F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0)))
+    dim = dim.withColumn("_salt", F.explode(dim_salts))
+    if hot is not None:
+        left, dim = left.drop("_hot"), dim.drop("_hot")
+    return left.join(dim.hint("merge"), [*on, "_salt"], how).drop("_salt")
+
+
 def lookup_join(
     left: DataFrame,
     dim: DataFrame,
@@ -117,32 +152,31 @@ def lookup_join(
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
     hot_share: float | None = DEFAULT_HOT_SHARE,
     hot_from: DataFrame | None = None,
+    hot_sample_rows: int = HOT_SAMPLE_ROWS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``dim`` on the named columns.
 
     ``dim`` is broadcast when it is measured to fit ``max_bytes`` (or when
-    ``broadcast`` says so after an outside check).  Otherwise it is a
-    sort-merge join, with hot keys of ``left`` split off to a broadcast of
-    their dimension slice (``hot_share=None`` turns that off).  Hot keys
-    are found on ``hot_from`` when given - a cheaper relation with the same
-    keys, such as the input of earlier joins - else on ``left``.
+    ``broadcast`` says so after an outside check).  Otherwise it is one
+    sort-merge join with hot and NULL keys salted over ``salts`` (default:
+    the session's shuffle partitions).  Hot keys are looked for in
+    ``hot_from``, a table or a projection of one with the same keys;
+    ``hot_sample_rows`` is the size of the sample.  Without ``hot_from``, or
+    with ``hot_share=None``, only NULL keys are salted, and adaptive
+    execution's skew handling covers the rest.  Full and right joins are not
+    salted: a repeated dimension row would come out unmatched.
     """
     on = list(on)
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_bytes)
     if broadcast:
         return left.join(F.broadcast(dim), on, how)
-    if hot_share is None or how not in ("left", "inner", "left_semi", "left_anti"):
-        return left.join(dim.hint("merge"), on, how)
-    hot = hot_keys(left if hot_from is None else hot_from, on, hot_share)
-    if hot is None:
-        return left.join(dim.hint("merge"), on, how)
-    hot = F.broadcast(hot)
-    dim_hot = dim.join(hot, on, "left_semi")
-    if not fits_broadcast(dim_hot, max_bytes):
-        log.warning("hot keys on %s have too many dimension rows to broadcast; "
-                    "leaving them to adaptive skew handling", on)
+    if how not in ("left", "inner", "left_semi", "left_anti"):
         return left.join(dim.hint("merge"), on, how)
-    hot_rows = left.join(hot, on, "left_semi").join(F.broadcast(dim_hot), on, how)
-    cold_rows = left.join(hot, on, "left_anti").join(dim.hint("merge"), on, how)
-    return hot_rows.unionByName(cold_rows)
+    if salts is None:
+        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = None
+    if hot_share is not None and hot_from is not None:
+        hot = hot_keys(hot_from, on, hot_share, hot_sample_rows)
+    return salted_join(left, dim, on, how, hot, max(1, salts))

@@ -1,9 +1,8 @@
 """Dense surrogate keys: ``base + row_number() OVER (ORDER BY ...)``.
 
 The models number a whole relation with no PARTITION BY.  Written as a
-window, Spark has to move every row into one task (``Exchange
-SinglePartition``).  The default here is a two-pass form that stays
-parallel:
+window, Spark would move every row into one task (``Exchange
+SinglePartition``).  The two-pass form here stays parallel:
 
 1. range-partition the rows on the full sort order and sort inside each
    partition; tag every row with its partition and its position in that
@@ -19,22 +18,20 @@ parallel:
 
 The sort order is the model's columns first, then every other column as a
 tie-breaker, all ascending with NULLs last (the database's default).  The
-input must hold distinct rows (every model numbers a ``SELECT DISTINCT``), so
-the order is total and the keys are repeatable for any partition count.
+order is then total up to equal rows, which are interchangeable, so the keys
+are repeatable for any partition count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition id << 33 | row
-# The single-task window form refuses inputs larger than this many rows.
-WINDOW_MAX_ROWS = 1_000_000
 
 
 def sort_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
@@ -52,33 +49,16 @@ def surrogate_key(
     key: str,
     order_by: Sequence[str],
     base: int = 100,
-    method: str = "parallel",
     partitions: int | None = None,
-    window_max_rows: int = WINDOW_MAX_ROWS,
 ) -> DataFrame:
-    """Prepend ``key`` (bigint, ``base + 1 .. base + n``) to distinct ``df``.
+    """Prepend ``key`` (bigint, ``base + 1 .. base + n``) to the rows of ``df``.
 
-    ``method="parallel"`` (default) is the two-pass range form above;
-    ``method="window"`` is the literal single-task window, kept as the
-    reference point of the tests and the bench.  It moves every row into one
-    task, so it first counts the input and refuses more than
-    ``window_max_rows`` rows.
     ``partitions`` fixes the range partition count; by default the session's
     shuffle partitions are used and adaptive execution may merge neighbours
     (merging keeps the ranges in order).
     """
     cols = df.columns
     order = _ascending(sort_order(df, order_by))
-    if method == "window":
-        n = df.count()
-        if n > window_max_rows:
-            raise ValueError(f"{n} rows is too many for a single-task window; "
-                             "use method='parallel'")
-        rn = F.row_number().over(Window.orderBy(*order))
-        return df.select((F.lit(base).cast("long") + rn).alias(key), *cols)
-    if method != "parallel":
-        raise ValueError(f"unknown method {method!r}")
-
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions
         else df.repartitionByRange(*order)

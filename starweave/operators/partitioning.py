@@ -5,22 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` partitions (default: the
-    session's default parallelism) when its scan yields fewer.
+def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` partitions when its scan
+    yields fewer (``None``: leave it as it is).
 
     A table stored as one large file with one row group is read by a single
-    task, and everything streamed through broadcast joins after it - the
-    fact's fan-out, its write - would stay in that task.  A table stored as
-    many files already has enough partitions and is returned untouched, so
-    at scale this is a no-op.  Use it on a plain scan: asking a plan that
-    contains shuffles for its partition count would run them.
+    task, and everything streamed through broadcast joins after it would stay
+    in that task.  Ask for it where a table is known to be stored so: the rows
+    are shuffled, once for every consumer of a lazy plan.  ``df`` must be a
+    plain scan, since asking a plan with shuffles for its partition count
+    runs them.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # a Spark Connect client cannot see partitions: leave as is
+    if min_partitions is None or df.rdd.getNumPartitions() >= min_partitions:
         return df
-    if target <= 1 or current >= target:
-        return df
-    return df.repartition(target)
+    return df.repartition(min_partitions)

@@ -7,7 +7,8 @@ Each check yields one row ``(test, relation, column_name, failures)``, where
 * ``not_null``      - rows holding NULL;
 * ``relationships`` - child rows whose non-NULL value has no parent;
 * ``max_length``    - values longer than a declared VARCHAR(n);
-* ``numeric_range`` - values that do not fit a declared NUMERIC(p, s).
+* ``numeric_range`` - values that do not fit a declared NUMERIC(p, s);
+* ``missing_column`` - 1 for a declared column that the relation lacks.
 
 Every check is an aggregate, so a report is many small one-row results
 unioned in one job.  Heavy sides are reduced before they are shuffled: the
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import PRIMARY_KEYS, columns
-from .joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, lookup_join
+from .joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, fitting_together, lookup_join
 
 REPORT_COLUMNS = ("test", "relation", "column_name", "failures")
 
@@ -93,7 +94,8 @@ def relationships(child: DataFrame, relation: str, column: str,
 
 
 def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
-                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                 hot_from: DataFrame | None = None) -> DataFrame:
     """``count(*)`` of ``fact`` inner-joined to every ``(dim, key)``.
 
     Each dimension is reduced to one row per key with its multiplicity, so
@@ -101,20 +103,20 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
     the multiplicities it meets, and the count is the sum of the weights -
     equal to the row-level inner joins even when a dimension key repeats.
 
-    Dimensions that fit the broadcast bound are applied first, streaming the
-    fact through hash lookups with no shuffle.  Before each remaining
+    Dimensions that together fit the broadcast bound are applied first,
+    streaming the fact through hash lookups with no shuffle.  Before each remaining
     (shuffled) join the fact is summed down to its distinct remaining keys,
     a map-side partial aggregate, so a hot key or a pile of copies crosses
-    the network as one row per task.
+    the network as one row per task.  ``hot_from`` is a table with the fact's
+    keys, sampled to salt hot ones; the fact itself is read once.
     """
     counted = []
-    for dim, key in dims:
-        counts = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
-        # The count table has at most the dimension's rows, each a key and a
-        # long: measuring that projection bounds it without running the
-        # aggregation just to size it.
-        bound = dim.select(key, F.lit(0).cast("long").alias("_m"))
-        counted.append((counts, key, fits_broadcast(bound, max_broadcast_bytes)))
+    # A count table has at most the dimension's rows, each a key and a long:
+    # measuring that projection bounds it without running the aggregation.
+    fits = fitting_together([dim.select(key, F.lit(0).cast("long").alias("_m"))
+                             for dim, key in dims], max_broadcast_bytes)
+    for (dim, key), small in zip(dims, fits):
+        counted.append((dim.groupBy(key).agg(F.count(F.lit(1)).alias("_m")), key, small))
     acc = fact.select(*[k for _, k in dims], F.lit(1).cast("long").alias("_w"))
     for counts, key, small in counted:
         if small:
@@ -126,8 +128,7 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
         if small:
             continue
         acc = acc.groupBy(*remaining).agg(F.sum("_w").alias("_w"))
-        acc = lookup_join(acc, counts, [key], "inner", broadcast=False,
-                          max_bytes=max_broadcast_bytes, hot_from=fact) \
+        acc = lookup_join(acc, counts, [key], "inner", broadcast=False, hot_from=hot_from) \
             .select(*[k for k in remaining if k != key],
                     (F.col("_w") * F.col("_m")).alias("_w"))
         remaining.remove(key)
@@ -189,17 +190,24 @@ def _numeric_misfit(c: Column, precision: int, scale: int) -> Column:
 
 
 def constraint_report(df: DataFrame, relation: str, declared: str | None = None,
-                      primary_key: str | None = None) -> DataFrame:
+                      primary_key: str | None = None,
+                      left_out: Sequence[str] = ()) -> DataFrame:
     """Check ``df`` against a declared table: NOT NULL, VARCHAR(n) length,
     NUMERIC(p, s) range and the primary key.
 
-    Declared columns missing from ``df`` are skipped.  All row-level checks
-    are counted in one aggregate (one scan); the primary key adds one
-    grouped count.  One report row per (column, constraint).
+    A declared column that ``df`` lacks is a failure of its own
+    (``missing_column``), unless the caller names it in ``left_out``.  All
+    row-level checks are counted in one aggregate (one scan); the primary key
+    adds one grouped count.  One report row per (column, constraint).
     """
     declared = declared or relation
     present = set(df.columns)
-    labels, aggs = [], []
+    pk = primary_key if primary_key is not None else PRIMARY_KEYS.get(declared)
+    expected = [c.name for c in columns(declared)]
+    if pk and pk not in expected:
+        expected.append(pk)
+    missing = [c for c in expected if c not in present and c not in left_out]
+    labels, aggs = [("missing_column", c) for c in missing], [F.lit(1).cast("long")] * len(missing)
     for c in columns(declared):
         if c.name not in present:
             continue
@@ -215,7 +223,7 @@ def constraint_report(df: DataFrame, relation: str, declared: str | None = None,
             aggs.append(F.count_if(_numeric_misfit(col, c.precision, c.scale)))
     rows: list[DataFrame] = []
     if aggs:
-        counts = df.agg(*[a.alias(f"_c{i}") for i, a in enumerate(aggs)])
+        counts = df.agg(F.count(F.lit(1)), *[a.alias(f"_c{i}") for i, a in enumerate(aggs)])
         stack = ", ".join(
             f"'{t}', '{name}', _c{i}" for i, (t, name) in enumerate(labels)
         )
@@ -225,9 +233,6 @@ def constraint_report(df: DataFrame, relation: str, declared: str | None = None,
             "test", F.lit(relation).alias("relation"), "column_name",
             F.col("failures").cast("long").alias("failures"),
         ))
-    pk = primary_key if primary_key is not None else PRIMARY_KEYS.get(declared)
     if pk and pk in present:
         rows.append(unique(df, relation, pk).withColumn("test", F.lit("primary_key")))
-    if not rows:
-        raise ValueError(f"{relation}: no declared column present")
     return reduce(DataFrame.unionAll, rows)

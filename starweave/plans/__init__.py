@@ -1,7 +1,7 @@
 """The warehouse models, each a plain DataFrame function, plus the checks
 and the build/test of the whole project."""
 
-from .calendar import calendar_dim
+from .calendar import calendar_dim, date_parts
 from .checks import (
     BUSINESS_KEY_TESTS,
     DECLARED_TESTS,
@@ -12,7 +12,7 @@ from .checks import (
     warehouse_constraints,
 )
 from .dims import customer_dim, geo_dim, people_dim, product_dim, shipping_dim
-from .facts import FACT_COLUMNS, sales_fact
+from .facts import sales_fact
 from .marts import mart_avg_shipping_duration
 from .project import Warehouse, build, run_tests
 from .staging import STAGING_COLUMNS, stg_orders
@@ -20,13 +20,13 @@ from .staging import STAGING_COLUMNS, stg_orders
 __all__ = [
     "BUSINESS_KEY_TESTS",
     "DECLARED_TESTS",
-    "FACT_COLUMNS",
     "STAGING_COLUMNS",
     "Warehouse",
     "build",
     "business_key_tests",
     "calendar_dim",
     "customer_dim",
+    "date_parts",
     "declared_tests",
     "geo_dim",
     "mart_avg_shipping_duration",

@@ -1,4 +1,4 @@
-"""``calendar_dim``: one row per day with its date parts."""
+"""Date parts: of the days of a calendar (``calendar_dim``) or of a table."""
 
 from __future__ import annotations
 
@@ -13,12 +13,11 @@ CALENDAR_START = "2010-01-01"
 CALENDAR_END = "2030-12-31"
 
 
-def calendar_dim(spark: SparkSession, start: str = CALENDAR_START,
-                 end: str = CALENDAR_END, partitions: int | None = None) -> DataFrame:
+def date_parts(days: DataFrame) -> DataFrame:
     """dateid (yyyymmdd int), year, quarter, month, ISO week, date, week_day
-    (``mon``..``sun``) and the model's ``leap`` text."""
+    (``mon``..``sun``) and the model's ``leap`` text of every row's ``date``."""
     d = F.col("date")
-    return date_series(spark, start, end, partitions=partitions).select(
+    return days.select(
         date_key(d).alias("dateid"),
         F.year(d).alias("year"),
         F.quarter(d).alias("quarter"),
@@ -28,3 +27,9 @@ def calendar_dim(spark: SparkSession, start: str = CALENDAR_START,
         day_name(d).alias("week_day"),
         leap_label(d).alias("leap"),
     )
+
+
+def calendar_dim(spark: SparkSession, start: str = CALENDAR_START,
+                 end: str = CALENDAR_END, partitions: int | None = None) -> DataFrame:
+    """The date parts of every day from ``start`` to ``end``."""
+    return date_parts(date_series(spark, start, end, partitions=partitions))

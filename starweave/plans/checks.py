@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import DEFAULT_BROADCAST_BYTES
 from ..operators.quality import Check, constraint_report, run_checks, star_matches
+from ..sources.schemas import REPAIRED_CITY
 
 # The tests declared on the marts, in declared order.
 DECLARED_TESTS = (
@@ -31,8 +32,6 @@ BUSINESS_KEY_TESTS = (
     Check("unique", "product_dim", "product_id"),
 )
 
-REPAIRED_CITY = "Burlington"
-
 
 def declared_tests(relations: dict[str, DataFrame],
                    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

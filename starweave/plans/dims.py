@@ -6,7 +6,7 @@ one row per distinct combination - product_dim repeats a product once per
 customer segment that bought it, customer_dim an id once per name.  That
 fan-out is kept: the fact and the mart depend on it.
 
-``method`` and ``partitions`` pass through to ``surrogate_key``.
+``partitions`` passes through to ``surrogate_key``.
 """
 
 from __future__ import annotations
@@ -23,44 +23,40 @@ PEOPLE_KEY_BASE = 0
 
 
 def _dim(stg: DataFrame, cols: list[str], key: str, order_by: list[str],
-         method: str, partitions: int | None, base: int = DIM_KEY_BASE) -> DataFrame:
+         partitions: int | None) -> DataFrame:
     distinct = stg.select(*cols).distinct()
-    return surrogate_key(distinct, key, order_by, base=base, method=method,
-                         partitions=partitions)
+    return surrogate_key(distinct, key, order_by, base=DIM_KEY_BASE, partitions=partitions)
 
 
-def customer_dim(stg: DataFrame, method: str = "parallel",
-                 partitions: int | None = None) -> DataFrame:
+def customer_dim(stg: DataFrame, partitions: int | None = None) -> DataFrame:
     """cust_id, customer_id, customer_name; numbered by customer_id."""
     return _dim(stg, ["customer_id", "customer_name"], "cust_id",
-                ["customer_id"], method, partitions)
+                ["customer_id"], partitions)
 
 
-def product_dim(stg: DataFrame, method: str = "parallel",
-                partitions: int | None = None) -> DataFrame:
+def product_dim(stg: DataFrame, partitions: int | None = None) -> DataFrame:
     """prod_id, product_id, product_name, category, sub_category, segment;
     numbered by product_id."""
     return _dim(stg, ["product_id", "product_name", "category", "sub_category", "segment"],
-                "prod_id", ["product_id"], method, partitions)
+                "prod_id", ["product_id"], partitions)
 
 
-def shipping_dim(stg: DataFrame, method: str = "parallel",
-                 partitions: int | None = None) -> DataFrame:
+def shipping_dim(stg: DataFrame, partitions: int | None = None) -> DataFrame:
     """ship_id, ship_mode; numbered by ship_mode."""
-    return _dim(stg, ["ship_mode"], "ship_id", ["ship_mode"], method, partitions)
+    return _dim(stg, ["ship_mode"], "ship_id", ["ship_mode"], partitions)
 
 
-def geo_dim(stg: DataFrame, method: str = "parallel",
-            partitions: int | None = None) -> DataFrame:
+def geo_dim(stg: DataFrame, partitions: int | None = None) -> DataFrame:
     """geo_id, country, city, state, postal_code; numbered by postal_code,
     city, state (NULL postal codes last)."""
     return _dim(stg, ["country", "city", "state", "postal_code"], "geo_id",
-                ["postal_code", "city", "state"], method, partitions)
+                ["postal_code", "city", "state"], partitions)
 
 
-def people_dim(people: DataFrame, method: str = "parallel",
-               partitions: int | None = None) -> DataFrame:
-    """person_id (from 1), person_name, region; numbered by person."""
+def people_dim(people: DataFrame, partitions: int | None = None) -> DataFrame:
+    """person_id (from 1), person_name, region; numbered by person.  Every
+    row given is numbered, equal rows too: which of two equal rows gets the
+    lower number makes no difference."""
     named = people.select(F.col("person").alias("person_name"), "region")
-    return _dim(named, ["person_name", "region"], "person_id", ["person_name"],
-                method, partitions, base=PEOPLE_KEY_BASE)
+    return surrogate_key(named, "person_id", ["person_name"], base=PEOPLE_KEY_BASE,
+                         partitions=partitions)

@@ -5,14 +5,14 @@ Every lookup is a LEFT join on the business columns, with plain equality
 geography match ignores country).  A business key that appears in several
 dimension rows repeats the order line once per row, as the model does.
 
-Plan: each dimension is measured (rows, bytes) and broadcast when it fits
-the bound, so the fact is streamed once through hash lookups with no
-shuffle.  A dimension beyond the bound is joined with a sort-merge join and
-is joined *first*, before the broadcast lookups, so the order lines are
-shuffled before any fan-out multiplies them.  Independent left joins
-commute, so the order does not change the result.  Hot business keys of a
-shuffled lookup (found on a sample of the staging rows) bypass the shuffle
-through a broadcast of their dimension slice.
+Plan: the dimensions are measured and, smallest first, broadcast as long as
+all of them together fit the bound, so the fact is streamed once through hash
+lookups with no shuffle.  A dimension beyond the bound is joined with a
+salted sort-merge join and is joined *first*, before the broadcast lookups,
+so the order lines are shuffled before any fan-out multiplies them.
+Independent left joins commute, so the order does not change the result.  Hot
+and NULL business keys are salted; hot ones are found on a sample of the
+staging rows.  The order lines are read once whatever the path.
 """
 
 from __future__ import annotations
@@ -23,15 +23,11 @@ from ..functions.dates import date_key
 from ..operators.joins import (
     DEFAULT_BROADCAST_BYTES,
     DEFAULT_HOT_SHARE,
-    fits_broadcast,
+    HOT_SAMPLE_ROWS,
+    fitting_together,
     lookup_join,
 )
 
-FACT_COLUMNS = (
-    "cust_id", "prod_id", "ship_id", "geo_id", "order_date_id", "ship_date_id",
-    "order_id", "sales", "profit", "quantity", "discount",
-)
-
 
 def dimension_lookups(customer: DataFrame, product: DataFrame, shipping: DataFrame,
                       geo: DataFrame) -> list[tuple[DataFrame, list[str]]]:
@@ -48,17 +44,18 @@ def dimension_lookups(customer: DataFrame, product: DataFrame, shipping: DataFra
 def sales_fact(stg: DataFrame, customer: DataFrame, product: DataFrame,
                shipping: DataFrame, geo: DataFrame,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-               hot_share: float | None = DEFAULT_HOT_SHARE) -> DataFrame:
-    lookups = [
-        (dim, on, fits_broadcast(dim, max_broadcast_bytes))
-        for dim, on in dimension_lookups(customer, product, shipping, geo)
-    ]
-    lookups.sort(key=lambda x: x[2])  # shuffled joins first, broadcasts after
+               hot_share: float | None = DEFAULT_HOT_SHARE,
+               hot_sample_rows: int = HOT_SAMPLE_ROWS, salts: int | None = None) -> DataFrame:
+    """The fact; ``max_broadcast_bytes`` bounds the sum of what is broadcast.
+    Beyond it ``stg`` is counted and sampled for hot keys, so give a table or
+    a projection of one, or set ``hot_share=None``."""
+    dims = dimension_lookups(customer, product, shipping, geo)
+    small = fitting_together([dim for dim, _ in dims], max_broadcast_bytes)
     out = stg
-    for dim, on, small in lookups:
-        out = lookup_join(out, dim, on, "left", broadcast=small,
-                          max_bytes=max_broadcast_bytes, hot_share=hot_share,
-                          hot_from=stg)
+    for (dim, on), fits in sorted(zip(dims, small), key=lambda x: x[1]):
+        out = lookup_join(out, dim, on, "left", broadcast=fits, hot_share=hot_share,
+                          hot_from=stg.select(*on), hot_sample_rows=hot_sample_rows,
+                          salts=salts)
     return out.select(
         "cust_id",
         "prod_id",

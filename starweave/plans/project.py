@@ -4,7 +4,8 @@ project, as ordinary function composition.
 ``build`` materialises the staging view and every mart as a table rebuilt
 in full.  Each model reads the *written* tables of the models it depends on,
 so a lost executor costs at most the model being written, never the chain
-before it.
+before it.  Intermediate files go to a folder of the build's own, which it
+deletes at its end.
 """
 
 from __future__ import annotations
@@ -14,8 +15,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_SHARE
+from ..session import owned_scratch
 from ..sources.tables import (
     DEFAULT_TARGET_SCHEMA,
+    STAGING_SCHEMA,
+    create_catalog_view,
     create_schema,
     create_view,
     schema_name,
@@ -26,7 +30,8 @@ from .checks import declared_tests
 from .dims import customer_dim, geo_dim, people_dim, product_dim, shipping_dim
 from .facts import sales_fact
 from .marts import mart_avg_shipping_duration
-from .staging import stg_orders
+from .staging import staging_expressions, stg_orders
+
 
 @dataclass
 class Warehouse:
@@ -44,36 +49,46 @@ class Warehouse:
 
 def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
           marts_schema: str | None = DEFAULT_TARGET_SCHEMA,
-          default_schema: str = "default", key_method: str = "parallel",
-          key_partitions: int | None = None,
+          default_schema: str = "default", key_partitions: int | None = None,
+          raw_relation: str | None = None, staging_schema: str = STAGING_SCHEMA,
           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
           hot_share: float | None = DEFAULT_HOT_SHARE) -> Warehouse:
     """Run every model in dependency order and write each mart as a table.
 
     ``max_broadcast_bytes`` bounds every broadcast; ``hot_share`` is the share
     of the fact's rows from which a business key is split off a merge join
-    (``None`` leaves skew to adaptive execution alone)."""
+    (``None`` leaves skew to adaptive execution alone).  ``raw_relation`` names
+    the raw table in SQL (``db.table`` or ``parquet.`/path```): the staging view
+    is then a catalog view in ``staging_schema``, which other sessions read;
+    without it, it is a view of this session."""
     target = schema_name(marts_schema, default_schema)
     create_schema(spark, target)
-    stg = create_view(stg_orders(raw), "stg_orders")
-    wh = Warehouse(spark, "stg_orders")
+    if raw_relation is None:
+        view = "stg_orders"
+        stg = create_view(stg_orders(raw), view)
+    else:
+        staging = schema_name(staging_schema, default_schema)
+        create_schema(spark, staging)
+        view = f"`{staging}`.`stg_orders`"
+        stg = create_catalog_view(spark, view, staging_expressions(), raw_relation)
+    wh = Warehouse(spark, view)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         wh.tables[name] = write_table(df, target, name)
         return wh.table(name)
 
-    keys = {"method": key_method, "partitions": key_partitions}
-    customer = save("customer_dim", customer_dim(stg, **keys))
-    product = save("product_dim", product_dim(stg, **keys))
-    shipping = save("shipping_dim", shipping_dim(stg, **keys))
-    geo = save("geo_dim", geo_dim(stg, **keys))
-    save("calendar_dim", calendar_dim(spark))
-    fact = save("sales_fact", sales_fact(stg, customer, product, shipping, geo,
-                                         max_broadcast_bytes, hot_share))
-    save("mart_avg_shipping_duration",
-         mart_avg_shipping_duration(fact, shipping, max_broadcast_bytes))
-    if people is not None:
-        save("people_dim", people_dim(people, **keys))
+    with owned_scratch(spark):
+        customer = save("customer_dim", customer_dim(stg, key_partitions))
+        product = save("product_dim", product_dim(stg, key_partitions))
+        shipping = save("shipping_dim", shipping_dim(stg, key_partitions))
+        geo = save("geo_dim", geo_dim(stg, key_partitions))
+        save("calendar_dim", calendar_dim(spark))
+        fact = save("sales_fact", sales_fact(stg, customer, product, shipping, geo,
+                                             max_broadcast_bytes, hot_share))
+        save("mart_avg_shipping_duration",
+             mart_avg_shipping_duration(fact, shipping, max_broadcast_bytes))
+        if people is not None:
+            save("people_dim", people_dim(people, key_partitions))
     return wh
 
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,6 +93,25 @@ def stored(df: DataFrame) -> DataFrame:
     columnar table later passes can prune to the columns they read.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starweave/{uuid.uuid4().hex}"
+    folder = _OWNED.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/starweave"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no job to infer what is known
+
+
+# The folder that ``stored`` writes to inside ``owned_scratch``.
+_OWNED: ContextVar[str | None] = ContextVar("starweave_scratch", default=None)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for everything ``stored`` writes in the block,
+    deleted at its end: results must have been written elsewhere by then."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starweave-{uuid.uuid4().hex}"
+    token = _OWNED.set(folder)
+    try:
+        yield folder
+    finally:
+        _OWNED.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

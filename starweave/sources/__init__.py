@@ -7,6 +7,7 @@ from .series import date_series
 from .tables import (
     DEFAULT_TARGET_SCHEMA,
     STAGING_SCHEMA,
+    create_catalog_view,
     create_declared_tables,
     create_schema,
     create_view,
@@ -24,6 +25,7 @@ __all__ = [
     "RAW_ORDERS_SCHEMA",
     "STAGING_SCHEMA",
     "columns",
+    "create_catalog_view",
     "create_declared_tables",
     "create_schema",
     "create_view",

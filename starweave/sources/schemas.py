@@ -2,8 +2,9 @@
 
 Every table is described once, as a list of ``(column, declared SQL type,
 NOT NULL)`` triples.  From that one list we derive the Spark ``StructType``
-used to read the table and the constraint checks run before a write
-(``starweave.operators.quality.constraint_report``).
+used to read the table and the checks of its limits
+(``starweave.operators.quality.constraint_report``), which are run on a built
+table or, if wanted, before a write; the build itself does not run them.
 
 Column names are lower case: the DDL is unquoted mixed case and PostgreSQL
 folds it, while the models quote lower-case names.
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 # (column, SQL type, NOT NULL).  Copied as data from the warehouse DDL.
 # ---------------------------------------------------------------------------
 
+REPAIRED_CITY = "Burlington"  # the one city whose missing postal code is filled in
+
 RAW_ORDERS_DDL = [
     ("row_id", "INTEGER", True),
     ("order_id", "VARCHAR(14)", True),

@@ -24,8 +24,8 @@ def declared_ddl(table: str, qualified: str) -> str:
     """``CREATE TABLE`` text for a declared table, in Spark SQL.
 
     VARCHAR(n) is kept: Spark then refuses a too-long value on write.
-    NOT NULL is not enforced by file-based tables, so the constraint report
-    checks it before writing.
+    NOT NULL is not enforced by file-based tables; the constraint report
+    counts what breaks it.
     """
     cols = []
     for c in columns(table):
@@ -79,3 +79,12 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     inlines the plan, as a database view is expanded in its consumers."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def create_catalog_view(spark: SparkSession, qualified: str, expressions: list[str],
+                        relation: str) -> DataFrame:
+    """A view in the catalog over a table or path named in SQL: unlike
+    ``create_view``, every session with the same catalog can read it."""
+    spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS "
+              f"SELECT {', '.join(expressions)} FROM {relation}")
+    return spark.table(qualified)

@@ -14,9 +14,11 @@ with an independent SQL engine:
 * sales and profit are the extended price scaled into NUMERIC(9,4), profit
   widened to NUMERIC(21,16) from that exact decimal.
 
-Join order is chosen for size: customers meet their (tiny) nation and region
-first, orders then meet customers, line items meet orders, and parts come
-last, so the widest relation is shuffled as few times as possible.
+The joins are plain ones on foreign keys, in the order customers with their
+(tiny) nation and region, orders, line items, parts, so the widest relation is
+shuffled as few times as possible.  Nothing is measured, which would run the
+joins: the planner broadcasts what table statistics or adaptive execution
+show to be small.
 """
 
 from __future__ import annotations
@@ -24,14 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
 from ..operators.partitioning import spread
+from .schemas import REPAIRED_CITY
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # Fixed values of the adapter.
-CITY_CYCLE = 40                 # customer key modulo this picks city and postal code
-REPAIRED_CITY = "Burlington"    # city of cycle position 0, whose NULL postal is repaired
+CITY_CYCLE = 40                 # customer key modulo this picks city and postal code; 0: the repaired city
 CITY_PREFIX = "City_"           # other cities: prefix and cycle position
 NULL_POSTAL_POSITIONS = (0, 1)  # cycle positions with a NULL postal code
 POSTAL_WIDTH = 5                # postal codes are zero-padded to five digits
@@ -57,34 +58,20 @@ def _postal(custkey: Column) -> Column:
 def raw_orders_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order lines (the 20 non-key columns of the raw layout)."""
     t = {name: read_table(spark, sf_dir, name) for name in TABLES}
-    geo = lookup_join(
-        t["nation"].select("n_nationkey", "n_name", "n_regionkey"),
-        t["region"].select(F.col("r_regionkey").alias("n_regionkey"), "r_name"),
-        ["n_regionkey"], "inner",
-    )
-    customers = lookup_join(
-        t["customer"].select("c_custkey", "c_name", "c_mktsegment",
-                             F.col("c_nationkey").alias("n_nationkey")),
-        geo, ["n_nationkey"], "inner",
-    )
-    orders = lookup_join(
-        t["orders"].select("o_orderkey", "o_orderdate", "o_orderpriority",
-                           F.col("o_custkey").alias("c_custkey")),
-        customers, ["c_custkey"], "inner",
-    )
-    lines = lookup_join(
-        spread(t["lineitem"]).select(
-            F.col("l_orderkey").alias("o_orderkey"),
-            F.col("l_partkey").alias("p_partkey"),
-            "l_shipdate", "l_quantity", "l_discount", "l_extendedprice",
-        ),
-        orders, ["o_orderkey"], "inner",
-    )
-    rows = lookup_join(
-        lines,
-        t["part"].select("p_partkey", "p_name", "p_brand", "p_type"),
-        ["p_partkey"], "inner",
-    )
+    geo = t["nation"].select("n_nationkey", "n_name", "n_regionkey").join(
+        t["region"].select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
+    customers = t["customer"].select(
+        "c_custkey", "c_name", "c_mktsegment", F.col("c_nationkey").alias("n_nationkey")
+    ).join(geo, "n_nationkey")
+    orders = t["orders"].select(
+        "o_orderkey", "o_orderdate", "o_orderpriority", F.col("o_custkey").alias("c_custkey")
+    ).join(customers, "c_custkey")
+    lineitem = spread(t["lineitem"], spark.sparkContext.defaultParallelism)
+    lines = lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"),
+        "l_shipdate", "l_quantity", "l_discount", "l_extendedprice",
+    ).join(orders, "o_orderkey")
+    rows = lines.join(t["part"].select("p_partkey", "p_name", "p_brand", "p_type"), "p_partkey")
     key = F.col("c_custkey")
     return rows.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
@@ -117,7 +104,6 @@ def people_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
     region = read_table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    geo = lookup_join(nation, region, ["n_regionkey"], "inner")
     sup = read_table(spark, sf_dir, "supplier").select("s_name", "s_nationkey")
-    return lookup_join(sup, geo, ["s_nationkey"], "inner").select(
+    return sup.join(nation.join(region, "n_regionkey"), "s_nationkey").select(
         F.col("s_name").alias("person"), F.col("r_name").alias("region"))

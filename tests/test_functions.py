@@ -14,7 +14,6 @@ from starweave.functions import (
     date_key,
     day_name,
     days_between,
-    exact_avg,
     plus_months_minus_day,
     rounded_ratio,
 )
@@ -71,12 +70,3 @@ def test_rounded_ratio_is_exact(spark, total, count, want):
 def test_rounded_ratio_zero_count_is_null(spark):
     df = spark.createDataFrame([(0, 0)], "t long, c long")
     assert df.select(rounded_ratio(F.col("t"), F.col("c")).alias("v")).first()["v"] is None
-
-
-def test_exact_avg_ignores_nulls(spark):
-    schema = T.StructType([T.StructField("g", T.StringType()),
-                           T.StructField("x", T.IntegerType())])
-    df = spark.createDataFrame([("a", 2), ("a", 3), ("a", None), ("b", None)], schema)
-    got = {r["g"]: r["v"] for r in df.groupBy("g").agg(exact_avg(F.col("x")).alias("v"))
-           .collect()}
-    assert got == {"a": decimal.Decimal("2.50"), "b": None}

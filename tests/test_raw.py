@@ -1,0 +1,53 @@
+"""Absent columns are loud: in the readers and in the constraint report."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import raw_frame, raw_row
+from pyspark.sql import functions as F
+
+from starweave.operators.quality import constraint_report
+from starweave.plans import people_dim
+from starweave.sources import read_people, read_raw_orders
+
+
+def test_reader_raises_on_a_misnamed_column(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw = raw_frame(spark, [raw_row()]).withColumn("row_id", F.lit(1))
+    raw.withColumnRenamed("customer_id", "cust_no").write.parquet(path)
+    with pytest.raises(ValueError, match="missing columns customer_id"):
+        read_raw_orders(spark, path)
+    raw.drop("row_id").write.parquet(path + "2")
+    with pytest.raises(ValueError, match="row_id"):
+        read_raw_orders(spark, path + "2")
+    assert read_raw_orders(spark, path + "2", left_out=("row_id",)).count() == 1
+    raw.write.mode("overwrite").saveAsTable("raw_for_reader")
+    assert read_raw_orders(spark, table="raw_for_reader").count() == 1
+    with pytest.raises(ValueError, match="person"):
+        read_people(spark, path)
+    with pytest.raises(ValueError, match="table name or a path"):
+        read_raw_orders(spark)
+
+
+def test_report_names_an_absent_column(spark):
+    raw = raw_frame(spark, [raw_row()]).drop("order_id")
+    got = {(r["test"], r["column_name"]): r["failures"]
+           for r in constraint_report(raw, "orders").collect()}
+    assert got["missing_column", "order_id"] == 1 and got["missing_column", "row_id"] == 1
+    got = {(r["test"], r["column_name"]): r["failures"]
+           for r in constraint_report(raw, "orders", left_out=("row_id",)).collect()}
+    assert ("missing_column", "row_id") not in got and got["missing_column", "order_id"] == 1
+
+
+def test_report_checks_the_raw_key(spark):
+    raw = raw_frame(spark, [raw_row(), raw_row()]).withColumn("row_id", F.lit(1))
+    got = {(r["test"], r["column_name"]): r["failures"]
+           for r in constraint_report(raw, "orders").collect()}
+    assert got["primary_key", "row_id"] == 1 and got["not_null", "row_id"] == 0
+
+
+def test_every_manager_row_is_numbered(spark):
+    people = spark.createDataFrame([("Bo", "West"), ("Bo", "West"), ("Al", "East")],
+                                   "person string, region string")
+    rows = [tuple(r) for r in people_dim(people).orderBy("person_id").collect()]
+    assert rows == [(1, "Al", "East"), (2, "Bo", "West"), (3, "Bo", "West")]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF_SMALL, raw_frame, raw_row
+from pyspark.sql import functions as F
 
-from starweave.plans import build, run_tests
+from starweave.plans import build, run_tests, stg_orders
 from starweave.sources import (
     create_schema,
     people_from_tpch,
@@ -48,14 +49,26 @@ def test_build_twice_gives_the_same_tables(spark):
     assert second.table("stg_orders").count() == raw.count()
 
 
-def test_build_with_window_keys_matches_parallel(spark):
-    raw = raw_frame(spark, [raw_row(order_id=f"O{i}", product_id=f"P{i % 5}",
-                                    segment=["A", "B"][i % 2]) for i in range(40)])
-    a = build(spark, raw, marts_schema="dw_parallel")
-    b = build(spark, raw, marts_schema="dw_window", key_method="window")
-    for n in ("product_dim", "sales_fact"):
-        assert sorted(map(tuple, a.table(n).collect()), key=str) == \
-            sorted(map(tuple, b.table(n).collect()), key=str)
+def test_build_removes_what_it_wrote_on_the_way(spark):
+    import os
+    folder = spark.sparkContext.getCheckpointDir().split(":", 1)[-1]
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    raw = raw_frame(spark, [raw_row(order_id=f"O{i}", product_id=f"P{i % 5}") for i in range(40)])
+    wh = build(spark, raw, marts_schema="dw_clean")
+    assert wh.table("sales_fact").count() == 40
+    assert set(os.listdir(folder)) == before
+
+
+def test_staging_view_is_read_by_a_second_session(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw_frame(spark, [raw_row(city="Burlington", postal_code=None)]).write.parquet(path)
+    raw = spark.read.parquet(path)
+    build(spark, raw, marts_schema="dw_view", raw_relation=f"parquet.`{path}`",
+          staging_schema=" stg ")
+    other = spark.newSession()
+    rows = other.table("stg.stg_orders").collect()
+    assert [r["postal_code"] for r in rows] == ["05401"]
+    assert other.table("stg.stg_orders").columns == stg_orders(raw).columns
 
 
 def test_create_declared_tables_lays_out_every_layer(spark):
@@ -88,6 +101,11 @@ def test_command_line_run_then_test(spark, capsys):
     from starweave.__main__ import main
     path = os.path.join(tempfile.mkdtemp(prefix="starweave-cli-"), "raw")
     raw_orders_from_tpch(spark, SF_SMALL).write.parquet(path)
+    with pytest.raises(ValueError, match="row_id"):
+        main(["run", "--raw-path", path, "--schema", "dw_cli"])
+    spark.read.parquet(path).withColumn("row_id", F.monotonically_increasing_id().cast("int")) \
+        .write.parquet(path + "-numbered")
+    path += "-numbered"
     assert main(["run", "--raw-path", path, "--schema", "dw_cli"]) == 0
     assert "sales_fact\t`dw_cli`.`sales_fact`" in capsys.readouterr().out
     assert main(["test", "--schema", "dw_cli"]) == 0
@@ -96,3 +114,9 @@ def test_command_line_run_then_test(spark, capsys):
     # A planted duplicate key makes the test step fail.
     spark.sql("INSERT INTO `dw_cli`.`shipping_dim` SELECT * FROM `dw_cli`.`shipping_dim` LIMIT 1")
     assert main(["test", "--schema", "dw_cli"]) == 1
+    capsys.readouterr()
+    assert main(["check", "--schema", "dw_cli"]) == 0
+    out = capsys.readouterr().out
+    assert out.startswith("star rows\t") and "limit\tprimary_key\tshipping_dim.ship_id\t1" in out
+    assert main(["layout", "--staging", "stg_cli", "--warehouse", "dw_layout"]) == 0
+    assert spark.table("`dw_layout`.`sales_fact`").count() == 0
