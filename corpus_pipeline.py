@@ -13,31 +13,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starweave.llm import decontaminate, line_dedup, near_dup, packing, quality
-from starweave.llm.common import documents, free_name, written
+from starweave.llm.common import documents, free_name, named_again, plain_names, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule, unchanged."""
+    docs, old = plain_names(docs, "text")
     judged = quality.judge(docs)
     verdict = judged.columns[-1]
-    return judged.where(F.col(verdict)["kept"]).drop(verdict)
+    return named_again(judged.where(F.col(verdict)["kept"]).drop(verdict), old)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without long lines that several documents share (the
     largest doc_id keeps them)."""
+    docs, old = plain_names(docs, "doc_id", "text", *[c for c in docs.columns if c == "n_chars"])
     cleaned = line_dedup.dedup(docs)
-    return _counted(cleaned.drop(*cleaned.columns[-2:]))
+    cleaned = cleaned.drop(*cleaned.columns[-2:])
+    if "n_chars" in old:
+        kind = cleaned.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
+    return named_again(cleaned, old)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, unchanged: the one with
-    the smallest doc_id.  Rows without a doc_id stay."""
+    the smallest doc_id, and of several rows with that doc_id the one whose
+    hash is least.  Rows without a doc_id stay."""
+    docs, old = plain_names(docs, "doc_id", "text")
     found = near_dup.near_duplicates(docs)
     lost = found.where(~F.col("kept") & F.col("doc_id").isNotNull())
     name = free_name(docs, "lost_id")
-    return docs.join(lost.select(F.col("doc_id").alias(name)).distinct(),
+    kept = docs.join(lost.select(F.col("doc_id").alias(name)).distinct(),
                      F.col("doc_id") == F.col(name), "left_anti")
+    repeated = found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(name)) \
+        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
+    if not repeated.isEmpty():
+        again = F.col("doc_id") == F.col(name)
+        rows = kept.join(repeated, again, "left_semi")
+        one = rows.groupBy(F.col("doc_id").alias(name)).agg(
+            F.min_by(F.struct(*rows.columns), F.xxhash64(*rows.columns)).alias("row"))
+        kept = kept.join(repeated, again, "left_anti").unionAll(one.select("row.*"))
+    return named_again(kept, old)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +68,6 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    if "n_chars" not in docs.columns:
-        return docs
-    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-
-
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", dedup_lines),

@@ -45,9 +45,28 @@ def take(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{df.columns.index(n)}").alias(n) for n in names])
 
 
-def free_name(df: DataFrame, base: str) -> str:
-    """``base``, lengthened until no column of ``df`` has that name."""
-    taken = {c.lower() for c in df.columns}
+def plain_names(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that differ in letters' case only renamed, so that
+    the named ones can be referred to, and the old names to put back with
+    ``named_again``."""
+    old = df.columns
+    lowered = [c.lower() for c in old]
+    if len(set(lowered)) == len(old):
+        return df, old
+    kept = {old.index(n) for n in names}
+    new = [c if i in kept else f"column_{i}_" + "x" * max(map(len, old))
+           for i, c in enumerate(old)]
+    return df.toDF(*new), old
+
+
+def named_again(df: DataFrame, old: list[str]) -> DataFrame:
+    """The first columns with their old names; later ones stay."""
+    return df.toDF(*old, *df.columns[len(old):]) if df.columns[:len(old)] != old else df
+
+
+def free_name(df: DataFrame, base: str, others: list[str] = ()) -> str:
+    """``base``, lengthened until no column of ``df`` or of ``others`` has that name."""
+    taken = {c.lower() for c in (*df.columns, *others)}
     while base.lower() in taken:
         base += "_"
     return base

@@ -34,8 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, flat, free_name, gram_hashes, slices, take, word_hashes, \
-    word_spans, written
+from .common import (
+    ALNUM, flat, free_name, gram_hashes, named_again, plain_names, slices, take, word_hashes,
+    word_spans, written,
+)
 
 N = 10
 MAX_WORDS = 1 << 20  # words of items in one broadcast (about 50 MB as windows)
@@ -169,32 +171,36 @@ def _scan_once(docs: DataFrame, items: list[tuple], n: int, column: str, seen: b
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX_WORDS
          ) -> DataFrame:
     """``docs`` with the struct ``hits`` (see the module's text)."""
-    column = free_name(docs, "hits")
+    docs, old = plain_names(docs, "text")
+    column = free_name(docs, "hits", old)
     items = take(benchmark, "item_id", "text").select(
         F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
     # A word and what ends it take two bytes at least.
     total = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
     blocks = max(1, int(-(-total // max_words)))
     if blocks == 1:
-        return _scan_once(docs, [tuple(r) for r in items.collect()], n, column, False)
+        return named_again(
+            _scan_once(docs, [tuple(r) for r in items.collect()], n, column, False), old)
     items = written(items.withColumn(
         "block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items")
     for b in range(blocks):
         own = items.where(F.col("block") == b).select("item_id", "text")
         docs = written(_scan_once(docs, [tuple(r) for r in own.collect()], n, column, b > 0),
                        "hits")
-    return docs
+    return named_again(docs, old)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """The documents without a hit, unchanged."""
+    docs, old = plain_names(docs, "text")
     found = scan(docs, benchmark, n)
     column = found.columns[-1]
-    return found.where(F.col(column)["n_hit"] == 0).drop(column)
+    return named_again(found.where(F.col(column)["n_hit"] == 0).drop(column), old)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """All documents, with every run of hit words cut out of the text."""
+    docs, old = plain_names(docs, "text")
     found = scan(docs, benchmark, n)
     column = found.columns[-1]
     spans = F.col(column)["spans"]
@@ -205,4 +211,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame
                                     F.substring("text", g["a"].cast("int") + 1,
                                                 (g["b"] - g["a"]).cast("int"))), "")
     text = F.when(F.size(spans) > 0, kept).otherwise(F.col("text"))
-    return found.withColumn("text", text).drop(column)
+    return named_again(found.withColumn("text", text).drop(column), old)

@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, free_name, lower_az, shared_path, take, written
+from .common import (
+    SPACE, free_name, lower_az, named_again, plain_names, shared_path, take, written,
+)
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -111,17 +113,19 @@ def _drop_lists(docs: DataFrame, min_chars: int, min_docs: int, batches: int,
     for b in range(batches):
         runs.add(keys.where(F.col("batch") == b).drop("batch"))
     frequent = runs.totals().where(F.col("docs") >= min_docs).select("h", "last")
-    lost = keys.join(frequent, "h").where(
-        F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last")))
+    lost = keys.join(frequent, "h").where(F.col("last").isNotNull() & (
+        F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last"))))
     return lost.groupBy("doc_id").agg(F.array_join(F.collect_list(F.hex("h")), "").alias("drop"))
 
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
           batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+    """``docs`` without frequent lines, with n_lines and n_dropped."""
+    docs, old = plain_names(docs, "doc_id", "text")
     lists = written(_drop_lists(docs, min_chars, min_docs, batches, fanout), "drop-lists")
     size = lists.agg(F.sum(F.octet_length("drop") + 16)).first()[0] or 0
     drop = free_name(docs, "drop")
-    lines, dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
+    lines, dropped = free_name(docs, "n_lines", old), free_name(docs, "n_dropped", old)
     row_id = free_name(docs, "drop_id")
     lists = lists.toDF(row_id, drop)
     marked = docs.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists,
@@ -146,7 +150,7 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
 
     schema = T.StructType([*docs.schema, T.StructField(lines, T.LongType()),
                            T.StructField(dropped, T.LongType())])
-    return marked.mapInArrow(task, schema)
+    return named_again(marked.mapInArrow(task, schema), old)
 
 
 def clean(text: str, lost: str | None) -> tuple[str, int]:

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, free_name
+from .common import SPACE, free_name, named_again, plain_names
 
 SYMBOLS = "#*$%&|<>"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -127,7 +127,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...
           ) -> DataFrame:
     """``docs`` with a struct ``quality``: the counts, ``failed`` (names of
     failed rules), ``base_failed`` and ``kept``."""
-    name = free_name(docs, "quality")
+    docs, old = plain_names(docs, "text")
+    name = free_name(docs, "quality", old)
     hidden = free_name(docs, "q_")
     while any(c.lower().startswith(hidden.lower()) for c in docs.columns):
         hidden += "_"
@@ -145,4 +146,5 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...
         if r.name in base:
             base_failed = base_failed | _fails(r, c)
     df = df.withColumn(name, c.withField("failed", failed).withField("base_failed", base_failed))
-    return df.withColumn(name, c.withField("kept", F.size(c["failed"]) == 0))
+    df = df.withColumn(name, c.withField("kept", F.size(c["failed"]) == 0))
+    return named_again(df, old)
