@@ -58,7 +58,7 @@ SHINGLE = 5
 THRESHOLD = 80      # percent
 TREES = 10
 LIMIT = 64          # members outside the leader's component, compared by a join
-NODE_SHINGLES = 4_000_000  # of a node compared in one task (32 MB)
+NODE_SHINGLES = 2_000_000  # of a node compared in one task (16 MB)
 LEVELS = 16
 TOKENS = 128        # minwise tokens of a set; of all, one bit is kept
 POSITIONS = 32      # of the first ones, the whole token, to branch on
@@ -205,12 +205,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Dat
 def node_links(docs: list[int], states: list[int], sets: list[np.ndarray], threshold: int
                ) -> list[tuple[int, int]]:
     """Links that join the components ``states`` of a node's members, found
-    by comparing every member outside the largest component with all others."""
+    by comparing every member outside the largest component with all others
+    (one that has joined it meanwhile needs no turn: the others have theirs)."""
     names, comp = np.unique(np.array(states), return_inverse=True)
     sizes = np.array([len(s) for s in sets])
     values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    place = place.astype(np.int32)
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    mark = np.zeros(len(values), np.int64)
+    mark = np.zeros(len(values), np.int32)
     top = list(range(len(names)))  # a forest over the components
 
     def find(i: int) -> int:
@@ -222,6 +224,8 @@ def node_links(docs: list[int], states: list[int], sets: list[np.ndarray], thres
     links = []
     largest = np.bincount(comp).argmax()
     for x in np.flatnonzero(comp != largest):
+        if find(comp[x]) == find(largest):
+            continue
         own = place[first[x]:first[x] + sizes[x]]
         mark[own] = 1
         same = np.add.reduceat(mark[place], first)
