@@ -313,3 +313,29 @@ def test_md5_of_keys_is_the_same_in_tasks_and_in_sql(spark):
     df = spark.createDataFrame([(1, line)], "doc_id long, text string")
     h = line_dedup.line_keys(df).first()["h"]
     assert bytes(h) == hashlib.md5(lower(line.strip(" \t")).encode()).digest()
+
+
+def test_node_links_join_the_same_components_as_all_pairs():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        n = int(rng.integers(2, 30))
+        sets = [np.unique(rng.integers(0, 14, rng.integers(1, 14))) for _ in range(n)]
+        docs = rng.permutation(1000)[:n].tolist()
+        states = [docs[int(i)] for i in rng.integers(0, n, n)]
+        links = near_dup.node_links(docs, states, sets, 60)
+        every = [(a, b) for a, b in combinations(range(n), 2)
+                 if 100 * len(np.intersect1d(sets[a], sets[b])) >=
+                 60 * len(np.union1d(sets[a], sets[b]))]
+
+        def classes(edges, places):
+            top = {i: i for i in places}
+            for a, b in edges:
+                old = (top[a], top[b])
+                top = {k: min(old) if v in old else v for k, v in top.items()}
+            return top
+
+        same = [(i, j) for i, j in combinations(range(n), 2) if states[i] == states[j]]
+        place = {d: i for i, d in enumerate(docs)}
+        got = classes(same + [(place[a], place[b]) for a, b in links], range(n))
+        assert got == classes(same + every, range(n))
+        assert len(links) < n
