@@ -10,8 +10,8 @@ added, go through tanh and give a softmax over the symbols.
 * Training: the counted windows, in numpy.  In each round every partition
   starts from the current weights and takes Adam steps over its windows,
   weighted by count; the weights are averaged, weighted by the windows behind
-  them.  Only the weights (about 60 kB a partition) travel, and the driver
-  adds them up as they come.
+  them.  Only the weights (about 60 kB a partition) travel: ``SUMS`` tasks add
+  them up and the driver adds their sums.
 * Scoring: the network's log-probability of every character given both
   sides, summed by document.  A window is evaluated once and remembered in a
   table of fixed size.
@@ -41,7 +41,8 @@ ROUNDS = 4
 BATCH = 256
 RATE = 0.01
 SEED = 20
-SLICE = 4 << 20    # bytes of text at once
+SUMS = 8           # tasks that add up the partitions' weights
+SLICE = 2 << 20    # bytes of text at once
 TABLE_BITS = 20    # windows remembered by a task
 
 _PLACES = [k for k in range(-WINDOW, WINDOW + 1)]
@@ -190,6 +191,9 @@ def count_windows(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
     return written(counted.sortWithinPartitions(F.xxhash64("code"), "code"), "windows")
 
 
+_WEIGHTS = "n long, weights binary"
+
+
 def train(windows: DataFrame, alphabet: Alphabet, hidden: int = HIDDEN, rounds: int = ROUNDS,
           rate: float = RATE, seed: int = SEED) -> Network:
     """The network after ``rounds`` of local steps and averaging."""
@@ -215,13 +219,23 @@ def train(windows: DataFrame, alphabet: Alphabet, hidden: int = HIDDEN, rounds:
                     [pa.array([total], pa.int64()), pa.array([flat.tobytes()], pa.binary())],
                     ["n", "weights"])
 
-        # Summed in order of arrival of the partitions, one at a time.
-        total, added = 0, 0.0
-        for row in windows.mapInArrow(task, "n long, weights binary").toLocalIterator(True):
-            added = added + np.frombuffer(row["weights"], np.float32).astype(np.float64) * row["n"]
-            total += row["n"]
+        def add(batches):
+            total, added = 0, 0.0
+            for batch in batches:
+                for n, flat in zip(*(batch.column(c).to_pylist() for c in ("n", "weights"))):
+                    added = added + np.frombuffer(flat, np.float32).astype(np.float64) * n
+                    total += n
+            if total:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([total], pa.int64()), pa.array([added.tobytes()], pa.binary())],
+                    ["n", "weights"])
+
+        parts = written(windows.mapInArrow(task, _WEIGHTS), "weights")
+        sums = parts.coalesce(SUMS).mapInArrow(add, _WEIGHTS).collect()
+        total = sum(r["n"] for r in sums)
         if not total:
             break
+        added = sum(np.frombuffer(r["weights"], np.float64) for r in sums)
         mean = (added / total).astype(np.float32)
         net.weights, at = [], 0
         for w in start:
