@@ -119,8 +119,11 @@ def _drop_lists(docs: DataFrame, min_chars: int, min_docs: int, batches: int,
 
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-          batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """``docs`` without frequent lines, with n_lines and n_dropped."""
+          batches: int = BATCHES, fanout: int = FANOUT,
+          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` without frequent lines, with n_lines and n_dropped.  The lists
+    of what documents lose are broadcast if they are measured to fit
+    ``broadcast_bytes``, else joined by a shuffle."""
     docs, old = plain_names(docs, "doc_id", "text")
     lists = written(_drop_lists(docs, min_chars, min_docs, batches, fanout), "drop-lists")
     size = lists.agg(F.sum(F.octet_length("drop") + 16)).first()[0] or 0
@@ -128,7 +131,7 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
     lines, dropped = free_name(docs, "n_lines", old), free_name(docs, "n_dropped", old)
     row_id = free_name(docs, "drop_id")
     lists = lists.toDF(row_id, drop)
-    marked = docs.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists,
+    marked = docs.join(F.broadcast(lists) if size <= broadcast_bytes else lists.hint("merge"),
                        docs["doc_id"].eqNullSafe(lists[row_id]), "left").drop(row_id)
     text_at = docs.columns.index("text")
     names = docs.columns

@@ -174,11 +174,11 @@ def _close(a1, a2, b1, b2):
     return F.bit_count(a1.bitwiseXOR(b1)) + F.bit_count(a2.bitwiseXOR(b2)) <= MAX_DIFFERENT
 
 
-def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+def _sets(ids: DataFrame, docs: DataFrame, k: int, broadcast_ids: int) -> DataFrame:
     """(doc, shingles) of the documents with these ids (distinct doc_id)."""
     ids = written(ids, "ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    few = ids.count() <= broadcast_ids
+    texts = docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi")
 
     def task(batches):
         for batch in batches:
@@ -192,9 +192,11 @@ def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return written(texts.mapInArrow(task, "doc long, shingles array<long>"), "sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, broadcast_ids: int
+               ) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, k)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = _sets(ids, docs, k, broadcast_ids)
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b") \
         .select("a", "b", (F.size("sa") + F.size("sb")).alias("sizes"),
                 F.size(F.array_intersect("sa", "sb")).alias("same"))
@@ -238,9 +240,10 @@ def node_links(docs: list[int], states: list[int], sets: list[np.ndarray], thres
     return links
 
 
-def _node_links(rows: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
+def _node_links(rows: DataFrame, texts: DataFrame, k: int, threshold: int, broadcast_ids: int
+                ) -> DataFrame:
     """Links inside whole nodes (node, doc, c), each compared by one task."""
-    sets = _sets(rows.select(F.col("doc").alias("doc_id")).distinct(), texts, k)
+    sets = _sets(rows.select(F.col("doc").alias("doc_id")).distinct(), texts, k, broadcast_ids)
     grouped = rows.join(sets.dropDuplicates(["doc"]), "doc") \
         .select("node", "doc", "c", "shingles").repartition("node") \
         .sortWithinPartitions("node", "doc")
@@ -274,7 +277,7 @@ def _node_links(rows: DataFrame, texts: DataFrame, k: int, threshold: int) -> Da
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
                     trees: int = TREES, limit: int = LIMIT, node_shingles: int = NODE_SHINGLES,
-                    levels: int = LEVELS) -> DataFrame:
+                    levels: int = LEVELS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """One row per document with its component; see the module's text."""
     docs = take(docs, "doc_id", "text")
     signed = written(_signatures(docs, shingle), "signatures")
@@ -305,7 +308,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
             checked = pairs if checked is None else checked.unionByName(pairs)
-            link(_confirmed(pairs, texts, shingle, threshold))
+            link(_confirmed(pairs, texts, shingle, threshold, broadcast_ids))
 
     def with_component(rows: DataFrame) -> DataFrame:
         if joined is None:
@@ -357,7 +360,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
             break
         in_task = rest.where("whole").drop("whole")
         if not in_task.isEmpty():
-            link(_node_links(in_task, texts, shingle, threshold))
+            link(_node_links(in_task, texts, shingle, threshold, broadcast_ids))
         large = rest.where("not whole")
         if last or large.isEmpty():
             break

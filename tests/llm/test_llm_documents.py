@@ -86,7 +86,8 @@ def _copies(n: int, share: float):
 
 
 @pytest.mark.parametrize("way", [{"limit": 1000}, {"limit": 2}, {"limit": 2, "node_shingles": 10},
-                                 {"limit": 2, "node_shingles": 10, "levels": 2}])
+                                 {"limit": 2, "node_shingles": 10, "levels": 2},
+                                 {"limit": 2, "broadcast_ids": 0}])
 def test_a_large_group_by_every_way(spark, way):
     # Copies at about the threshold to each other: links, non-links and chains.
     docs = _copies(60, 0.022)
@@ -173,6 +174,14 @@ def test_line_dedup_hard_rows(hard, nothing, batches, fanout):
     assert line_dedup.dedup(nothing).count() == 0
 
 
+def test_line_dedup_without_room_to_broadcast(hard):
+    rows = [(r["doc_id"], r["text"]) for r in hard.collect()]
+    got = line_dedup.dedup(hard, 10, 2, broadcast_bytes=0)
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert Counter((r["doc_id"], r["text"], r["n_lines_"], r["n_dropped"])
+                   for r in got.collect()) == line_brute(rows, 10, 2)
+
+
 def test_runs_are_levelled_sorted_and_tell_fresh_keys(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
     assert runs.totals() is None
