@@ -18,10 +18,7 @@ from starweave.llm.common import documents, free_name, named_again, plain_names,
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule, unchanged."""
-    docs, old = plain_names(docs, "text")
-    judged = quality.judge(docs)
-    verdict = judged.columns[-1]
-    return named_again(judged.where(F.col(verdict)["kept"]).drop(verdict), old)
+    return quality.good_documents(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,3 +148,16 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...
     df = df.withColumn(name, c.withField("failed", failed).withField("base_failed", base_failed))
     df = df.withColumn(name, c.withField("kept", F.size(c["failed"]) == 0))
     return named_again(df, old)
+
+
+def good_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The documents that pass every rule, unchanged."""
+    docs, old = plain_names(docs, "text")
+    judged = judge(docs, rules)
+    verdict, mark = judged.columns[-1], free_name(judged, "mark")
+    # The optimizer would move a filter below the projection and so evaluate
+    # the rules once more for every column that they use; it moves none past
+    # a value that depends on the row's place, such as this mark.
+    marked = judged.withColumn(mark, F.monotonically_increasing_id())
+    kept = marked.where(F.col(verdict)["kept"] & (F.col(mark) >= 0))
+    return named_again(kept.drop(verdict, mark), old)
