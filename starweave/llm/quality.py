@@ -126,7 +126,8 @@ def _fails(rule: Rule, c: Column) -> Column:
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...] = BASE
           ) -> DataFrame:
     """``docs`` with a struct ``quality``: the counts, ``failed`` (names of
-    failed rules), ``base_failed`` and ``kept``."""
+    failed rules), ``base_failed`` and ``kept``.  To filter by it, use
+    ``good_documents``."""
     docs, old = plain_names(docs, "text")
     name = free_name(docs, "quality", old)
     hidden = free_name(docs, "q_")

@@ -239,6 +239,16 @@ def test_quality_is_one_projection(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange|Join|Aggregate|Generate", plan)
 
 
+def test_the_filter_stays_above_the_projection(spark, hard):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plan = quality.good_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("sort_array") and plan.count("sort_array") == 1
+    kept = quality.judge(hard).where("quality_.kept").drop("quality_")
+    good = quality.good_documents(hard)
+    assert good.columns == hard.columns
+    assert Counter(map(tuple, good.collect())) == Counter(map(tuple, kept.collect()))
+
+
 def test_rules_keep_labelled_good_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
