@@ -7,9 +7,10 @@ with probability equal to their Jaccard similarity.
 
 The join is a recursion over nodes, one level at a time for all trees:
 
-* every class starts at the root of each tree; a node picks one or two token
-  positions (1.25 on average, one over the threshold) from its own hash, and
-  its members go to the child node named by position and token;
+* every class starts at the root of each tree; a node draws one or two minwise
+  hash functions (1.25 on average) from its own name, so no two nodes of any
+  trees share one, and its members go to the child node named by function and
+  token;
 * at a level, every node's members are first compared with the node's
   leader, which takes one pair a member however large the node is.  Links are
   confirmed on the full sets and joined into components;
@@ -26,9 +27,12 @@ The join is a recursion over nodes, one level at a time for all trees:
 
 A pair of members first meets 128 one-bit tokens in two longs (a native
 expression; a pair at the threshold fails it with a chance below 1e-6), then
-the full sets.  With ``trees`` independent trees a pair at the threshold is
-missed with a chance of 0.2 to the power of the root positions (1e-7) when its
-node does not branch, and of a few hundredths of a percent when it does once.
+the full sets.  The trees are independent: one tree loses a pair at the
+threshold with the chance ``lost(depth)`` (0.16 at depth 1, 0.27 at 2, 0.48 at
+5, 0.73 at 16), so ``trees`` trees are enough for a chance of ``MISS`` at depth 2.
+Where nodes branched more often, their members go through further trees, until
+there are as many as the depth reached needs (``trees_for``: 12 at depth 3, 36
+at 16).
 
 Output, one row per input row: doc_id, n_shingles, component_id (smallest
 doc_id reachable, itself included), kept (doc_id = component_id).
@@ -43,7 +47,8 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,12 +61,13 @@ from .components import components
 
 SHINGLE = 5
 THRESHOLD = 80      # percent
-TREES = 10
+TREES = 10          # at least; see trees_for()
+MISS = 1e-5         # chance that a pair at the threshold meets in no tree
 LIMIT = 64          # members outside the leader's component, compared by a join
 NODE_SHINGLES = 2_000_000  # of a node compared in one task (16 MB)
 LEVELS = 16
-TOKENS = 128        # minwise tokens of a set; of all, one bit is kept
-POSITIONS = 32      # of the first ones, the whole token, to branch on
+TOKENS = 128        # minwise tokens of a set, of which one bit is kept
+POSITIONS = 32      # columns of a table of tokens for children()
 MAX_DIFFERENT = 30  # one-bit tokens that may differ: 12.8 expected at 80 percent, sd 3.4
 BROADCAST_IDS = 1 << 20  # doc_ids (8 MB) broadcast to pick texts; beyond, a shuffled join
 
@@ -96,78 +102,117 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def children(nodes: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row indexes, child nodes) of members of ``nodes`` with these tokens:
-    every node picks one position, every fourth a second."""
+def node_tokens(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The minwise token of a non-empty set by the hash function of each seed."""
+    out = np.full(len(seeds), 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for at in range(0, len(shingles), 4096):
+        v = mix64(shingles[None, at:at + 4096] ^ seeds[:, None])
+        np.minimum(out, v.min(axis=1), out=out)
+    return out
+
+
+def children(nodes: np.ndarray, tokens: np.ndarray | Callable[[np.ndarray], np.ndarray]
+             ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row indexes, child nodes) of members of ``nodes``: every node draws
+    one hash function (a seed), every fourth a second.  ``tokens`` gives the
+    tokens by seeds, or is a table with a row per member, whose columns stand
+    for the seeds."""
     rows = np.arange(len(nodes))
     for turn in range(2):
         if turn:
             rows = np.flatnonzero(mix64(nodes ^ np.uint64(0x5EED)) & np.uint64(3) == 0)
-        pick = mix64(nodes[rows] * np.uint64(2) + np.uint64(turn + 1)) % np.uint64(POSITIONS)
-        token = tokens[rows, pick.astype(np.int64)].astype(np.uint64)
-        yield rows, mix64(nodes[rows] ^ mix64((pick << np.uint64(32)) | token))
+        seed = mix64(nodes[rows] * np.uint64(2) + np.uint64(turn + 1))
+        token = tokens(seed) if callable(tokens) else tokens[
+            rows, (seed % np.uint64(tokens.shape[1])).astype(np.int64)].astype(np.uint64)
+        yield rows, mix64(nodes[rows] ^ mix64(seed ^ token))
 
 
-_MEMBER = ("doc", "n", "s1", "s2")
-_FRONTIER = "node long, doc long, n long, s1 long, s2 long"
+def grown(nodes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """The children that a member of ``nodes`` with this non-empty set goes to."""
+    return np.concatenate([child for _, child in children(
+        nodes, lambda seeds: node_tokens(shingles, seeds))])
+
+
+def lost(depth: int, threshold: int = THRESHOLD) -> float:
+    """Chance that a pair at the threshold sits together in none of one
+    tree's nodes of this depth (1: children of the root)."""
+    chance, j = 0.0, threshold / 100
+    for _ in range(depth):
+        apart = 1 - j + j * chance  # in one child, or in all nodes below it
+        chance = 0.75 * apart + 0.25 * apart ** 2
+    return chance
+
+
+def trees_for(depth: int, threshold: int = THRESHOLD, miss: float = MISS) -> int:
+    """Independent trees that together lose such a pair with at most ``miss``."""
+    chance = lost(depth, threshold)
+    return math.ceil(math.log(miss) / math.log(chance)) if chance > 0 else 1
 
 
-def _members(nodes: np.ndarray, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()),
-                           np.uint32).reshape(-1, POSITIONS)
-    for rows, child in children(nodes, tokens):
-        own = [batch.column(c).take(pa.array(rows)) for c in _MEMBER]
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *own],
-                                         names=["node", *_MEMBER])
+_SIGNED = "doc_id long, n_shingles long, digest binary, nodes array<long>, s1 long, s2 long"
 
 
-_SIGNED = "doc_id long, n_shingles long, digest binary, tokens binary, s1 long, s2 long"
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _signatures(docs: DataFrame, k: int) -> DataFrame:
-    """Per document: set size, digest of the set, branching tokens, bits."""
+def _signatures(docs: DataFrame, k: int, trees: int) -> DataFrame:
+    """Per document: set size, digest of the set, nodes of the first level, bits."""
+    roots = seeds64(trees, 21)
+
     def task(batches):
         for batch in batches:
-            n, digest, tokens, bits = [], [], [], [[], []]
+            n, digest, nodes, bits = [], [], [], [[], []]
             for s in shingle_sets(batch, k):
                 n.append(len(s))
                 if len(s):
-                    digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    digest.append(_digest(s))
+                    nodes.append(grown(roots, s).view(np.int64))
                     least = minwise(s)
-                    tokens.append(least[:POSITIONS].tobytes())
                     halves = np.packbits((least & 1).astype(bool)).view(np.int64).tolist()
                 else:
                     digest.append(None)
-                    tokens.append(None)
+                    nodes.append(None)
                     halves = (None, None)
                 for b, h in zip(bits, halves):
                     b.append(h)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(tokens, pa.binary()), *(pa.array(b, pa.int64()) for b in bits)],
-                names=["doc_id", "n_shingles", "digest", "tokens", "s1", "s2"])
+                 pa.array(nodes, pa.list_(pa.int64())), *(pa.array(b, pa.int64()) for b in bits)],
+                names=["doc_id", "n_shingles", "digest", "nodes", "s1", "s2"])
 
     return docs.mapInArrow(task, _SIGNED)
 
 
-def _roots(classes: DataFrame, trees: int) -> DataFrame:
-    roots = seeds64(trees, 21)
+_MEMBER = ("doc", "n", "s1", "s2")
 
-    def task(batches):
-        for batch in batches:
-            for root in roots:
-                yield from _members(np.full(batch.num_rows, root), batch)
 
-    return classes.mapInArrow(task, _FRONTIER)
+def _frontier(rows: DataFrame) -> DataFrame:
+    return rows.select(F.explode("nodes").alias("node"), *_MEMBER)
+
 
+def _branch(lists: DataFrame, classes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """The next frontier, from the nodes (an array) of each document."""
+    own = classes.select(*_MEMBER, "digest").join(lists, "doc")
+    joined = texts.join(own.withColumnRenamed("doc", "doc_id"), "doc_id")
 
-def _branch(rows: DataFrame, classes: DataFrame) -> DataFrame:
     def task(batches):
         for batch in batches:
-            yield from _members(
-                batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64), batch)
+            # Of several texts with one doc_id, the one that stands for it.
+            rows, nodes = [], []
+            for i, (s, digest) in enumerate(zip(shingle_sets(batch, k),
+                                                batch.column("digest").to_pylist())):
+                if len(s) and _digest(s) == digest:
+                    at = batch.column("nodes")[i].values.to_numpy().view(np.uint64)
+                    rows.append(i)
+                    nodes.append(grown(at, s).view(np.int64))
+            member = [batch.column(c).take(pa.array(rows, pa.int64()))
+                      for c in ("doc_id", "n", "s1", "s2")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.list_(pa.int64())), *member], names=["nodes", *_MEMBER])
 
-    return rows.select("node", "doc").join(classes, "doc").mapInArrow(task, _FRONTIER)
+    found = joined.mapInArrow(task, "nodes array<long>, doc long, n long, s1 long, s2 long")
+    return _frontier(found.dropDuplicates(["doc"]))
 
 
 def _close(a1, a2, b1, b2):
@@ -280,12 +325,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
                     levels: int = LEVELS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """One row per document with its component; see the module's text."""
     docs = take(docs, "doc_id", "text")
-    signed = written(_signatures(docs, shingle), "signatures")
+    trees = max(trees, trees_for(1, threshold))
+    signed = written(_signatures(docs, shingle, trees), "signatures")
     named = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"),
-        F.first("tokens").alias("tokens"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+        F.first("nodes").alias("nodes"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     named = written(named, "classes")
-    classes = named.where(F.col("doc").isNotNull()).drop("digest").dropDuplicates(["doc"])
+    classes = named.where(F.col("doc").isNotNull()).dropDuplicates(["doc"])
     texts = docs.where(F.col("doc_id").isNotNull())
 
     links: DataFrame | None = None
@@ -316,55 +362,69 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         return rows.join(joined, "doc", "left").withColumn(
             "c", F.coalesce("component", "doc")).drop("component")
 
-    frontier = _roots(classes.select("doc", "n", "tokens", "s1", "s2"), trees)
-    for level in range(levels):
-        last = level == levels - 1
-        if level:
-            frontier = written(frontier, "frontier")
-        pick = F.min if level % 2 == 0 else F.max  # another leader than a level before
-        nodes = frontier.groupBy("node").agg(
-            F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
-            pick(F.struct("doc", "s1", "s2")).alias("lead")).where("members > 1").drop("members")
-        members = written(frontier.drop("n").join(nodes, "node"), "members")
-        examine(members.where("doc <> lead.doc").where(
-            _close(F.col("s1"), F.col("s2"), F.col("lead.s1"), F.col("lead.s2"))).select(
-            F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b")))
-
-        rows = with_component(members.withColumn("leads", F.col("doc") == F.col("lead.doc"))
-                              .drop("lead"))
-        states = rows.groupBy("node").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"),
-            F.max(F.when(F.col("leads"), F.col("c"))).alias("lead_c")).where("low < high")
-        open_rows = written(rows.join(states.select("node", "lead_c"), "node").select(
-            "node", "doc", "shingles", "s1", "s2", "c", (F.col("c") != F.col("lead_c")).alias("far")),
-            "open")
-        counts = open_rows.where("far").groupBy("node", "shingles").agg(
-            F.count(F.lit(1)).alias("outside"))
-        is_small = F.col("outside") <= limit
-        whole = ~is_small & (F.col("shingles") <= node_shingles)
-        if last:
-            is_small = is_small | (F.col("shingles") > node_shingles)
-
-        far = open_rows.where("far").join(counts.where(is_small).select("node"), "node",
-                                          "left_semi").select(
-            "node", F.col("doc").alias("x"), F.col("c").alias("xc"),
-            F.col("s1").alias("x1"), F.col("s2").alias("x2"))
-        met = far.join(open_rows, "node").where(
-            (F.col("c") != F.col("xc")) & (~F.col("far") | (F.col("doc") < F.col("x")))
-            & _close(F.col("s1"), F.col("s2"), F.col("x1"), F.col("x2")))
-        examine(met.select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b")))
-
-        rest = written(open_rows.select("node", "doc", "c").join(
-            counts.where(~is_small).select("node", whole.alias("whole")), "node"), "rest")
-        if rest.isEmpty():
-            break
-        in_task = rest.where("whole").drop("whole")
-        if not in_task.isEmpty():
-            link(_node_links(in_task, texts, shingle, threshold, broadcast_ids))
-        large = rest.where("not whole")
-        if last or large.isEmpty():
+    frontier = _frontier(classes)
+    deep: DataFrame | None = None  # documents whose nodes branched
+    reached = 1  # depth of the deepest nodes
+    while True:
+        for level in range(levels):
+            last = level == levels - 1
+            pick = F.min if level % 2 == 0 else F.max  # another leader than a level before
+            nodes = frontier.groupBy("node").agg(
+                F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
+                pick(F.struct("doc", "s1", "s2")).alias("lead")).where("members > 1").drop("members")
+            members = written(frontier.drop("n").join(nodes, "node"), "members")
+            examine(members.where("doc <> lead.doc").where(
+                _close(F.col("s1"), F.col("s2"), F.col("lead.s1"), F.col("lead.s2"))).select(
+                F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b")))
+
+            rows = with_component(members.withColumn("leads", F.col("doc") == F.col("lead.doc"))
+                                  .drop("lead"))
+            states = rows.groupBy("node").agg(
+                F.min("c").alias("low"), F.max("c").alias("high"),
+                F.max(F.when(F.col("leads"), F.col("c"))).alias("lead_c")).where("low < high")
+            open_rows = written(rows.join(states.select("node", "lead_c"), "node").select(
+                "node", "doc", "shingles", "s1", "s2", "c", (F.col("c") != F.col("lead_c")).alias("far")),
+                "open")
+            counts = open_rows.where("far").groupBy("node", "shingles").agg(
+                F.count(F.lit(1)).alias("outside"))
+            is_small = F.col("outside") <= limit
+            whole = ~is_small & (F.col("shingles") <= node_shingles)
+            if last:
+                is_small = is_small | (F.col("shingles") > node_shingles)
+
+            far = open_rows.where("far").join(counts.where(is_small).select("node"), "node",
+                                              "left_semi").select(
+                "node", F.col("doc").alias("x"), F.col("c").alias("xc"),
+                F.col("s1").alias("x1"), F.col("s2").alias("x2"))
+            met = far.join(open_rows, "node").where(
+                (F.col("c") != F.col("xc")) & (~F.col("far") | (F.col("doc") < F.col("x")))
+                & _close(F.col("s1"), F.col("s2"), F.col("x1"), F.col("x2")))
+            examine(met.select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b")))
+
+            rest = written(open_rows.select("node", "doc", "c").join(
+                counts.where(~is_small).select("node", whole.alias("whole")), "node"), "rest")
+            if rest.isEmpty():
+                break
+            in_task = rest.where("whole").drop("whole")
+            if not in_task.isEmpty():
+                link(_node_links(in_task, texts, shingle, threshold, broadcast_ids))
+            large = rest.where("not whole")
+            if last or large.isEmpty():
+                break
+            branched = large.select("doc").distinct()
+            deep = branched if deep is None else deep.unionByName(branched)
+            reached = max(reached, level + 2)
+            lists = large.groupBy("doc").agg(F.collect_list("node").alias("nodes"))
+            frontier = written(_branch(lists, classes, texts, shingle), "frontier")
+        # A pair's nodes can only have branched where both of its documents were.
+        more = trees_for(reached, threshold) - trees
+        if deep is None or more <= 0:
             break
-        frontier = _branch(large, classes)
+        roots = F.array(*[F.lit(int(r)) for r in seeds64(trees + more, 21)[trees:].view(np.int64)])
+        deep = written(deep.distinct(), "deep")
+        frontier = written(_branch(deep.withColumn("nodes", roots), classes, texts, shingle),
+                           "frontier")
+        trees += more
 
     class_of = with_component(named.select("digest", "doc")) if joined is not None \
         else named.select("digest", "doc", F.col("doc").alias("c"))

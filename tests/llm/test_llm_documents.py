@@ -115,6 +115,45 @@ def test_recall_of_one_level():
     assert missed == 0
 
 
+@pytest.mark.parametrize("depth", [1, 3, 6])
+def test_recall_of_nodes_that_branch(depth):
+    """Pairs at the threshold share nodes of any depth as often as the trees
+    are counted to, and a set's trees are independent of each other."""
+    rng = np.random.default_rng(depth)
+    trees = near_dup.trees_for(depth, miss=0.01)
+    roots = near_dup.seeds64(trees, 21)
+    apart, single, pairs = 0, 0, 300
+    for _ in range(pairs):
+        values = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+        a, b = values[:90], values[10:]  # 80 of 100
+        met = 0
+        for root in roots:
+            nodes = [np.array([root]), np.array([root])]
+            for _ in range(depth):
+                nodes = [near_dup.grown(n, s) if len(n) else n for n, s in zip(nodes, (a, b))]
+                nodes = [np.intersect1d(*nodes)] * 2
+            met += len(nodes[0]) > 0
+        apart += not met
+        single += trees - met
+    assert apart <= 10  # 3 expected at most
+    assert abs(single / (pairs * trees) - near_dup.lost(depth)) < 0.06
+
+
+def test_more_trees_for_nodes_that_branched(spark, monkeypatch):
+    """The forest grows with the depth that a node really reached."""
+    grown, plain = [], near_dup._branch
+    monkeypatch.setattr(near_dup, "_branch",
+                        lambda lists, *a: grown.append(lists) or plain(lists, *a))
+    docs = _copies(60, 0.022)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = near_dup.near_duplicates(df, shingle=4, limit=2, node_shingles=10, levels=3)
+    want = groups(docs, 4, 80)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {
+        d: c for d, (_, c) in want.items()}
+    added = {r["n"] for r in grown[2].selectExpr("size(nodes) AS n").distinct().collect()}
+    assert added == {near_dup.trees_for(3) - near_dup.TREES} == {2}
+
+
 def test_minwise_tokens_agree_like_the_sets():
     rng = np.random.default_rng(4)
     values = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
