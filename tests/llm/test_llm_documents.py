@@ -163,6 +163,20 @@ def test_minwise_tokens_agree_like_the_sets():
     assert abs(agree - 0.5) < 0.05  # 600 of 1200
 
 
+@pytest.mark.parametrize("same,all_", [(4, 5), (8, 10), (12, 15)])
+def test_bits_of_short_sets_pass_the_filter(same, all_):
+    """The one-bit tokens of true links differ like independent coins: in a
+    tenth of the positions, with the spread of a binomial."""
+    rng = np.random.default_rng(all_)
+    differ = []
+    for _ in range(3000):
+        values = rng.integers(0, 1 << 63, all_, dtype=np.uint64)
+        bits = [near_dup.minwise(s) & 1 for s in (values, values[:same])]
+        differ.append(np.count_nonzero(bits[0] != bits[1]))
+    assert max(differ) <= near_dup.MAX_DIFFERENT
+    assert abs(np.mean(differ) - 12.8) < 0.5 and np.std(differ) < 3.8
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components(spark, pairs):
