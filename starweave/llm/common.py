@@ -86,6 +86,26 @@ def written(df: DataFrame, kind: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+HOT_KEYS = 100_000  # at most so many keys are broadcast as hot ones
+HOT_ROWS = 1_000    # a key with fewer rows is never hot
+
+
+def by_key(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``found``, which has one row for every
+    ``key`` in ``rows`` and, in a column ``rows``, how many rows have it.  Keys with
+    over a ``HOT_KEYS``-th of all rows (so fewer than ``HOT_KEYS``, whatever the
+    size) are broadcast; the others meet by a shuffle without hot keys."""
+    total = found.agg(F.sum("rows")).first()[0] or 0
+    hot = F.col("rows") > max(HOT_ROWS, total // HOT_KEYS)
+    names = [c for c in found.columns if c not in (key, "rows")]
+    first = rows.join(F.broadcast(found.where(hot).select(key, F.struct(*names).alias("_hot"))),
+                      key, "left")
+    rest = first.where(F.col("_hot").isNull()).drop("_hot").join(
+        found.where(~hot).drop("rows"), key)
+    return first.where(F.col("_hot").isNotNull()).select(*rows.columns, "_hot.*").unionByName(
+        rest.select(*rows.columns, *names))
+
+
 # ---------------------------------------------------------------------------
 # Flat text buffers
 # ---------------------------------------------------------------------------

@@ -200,6 +200,109 @@ WITH u AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
 """
 
+COLLOCATIONS = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), {_AZ}),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), totals AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), sized AS (SELECT lang, ws, unnest(range(1, 6)) AS m FROM w),
+g AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2),
+                                        lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+  FROM sized WHERE len(ws) >= m
+), f AS (
+  SELECT lang, m, phrase, count(*) AS c FROM g GROUP BY ALL HAVING count(*) >= 100
+), parts AS (
+  SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m > 1
+), cuts AS (
+  SELECT *, unnest(range(1, m)) AS k FROM parts
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.c AS a, l.c AS l, r.c AS r, n, k,
+         (CAST(1000 AS HUGEINT) * cuts.c * n) // (CAST(l.c AS HUGEINT) * r.c) AS score
+  FROM cuts JOIN totals USING (lang)
+  JOIN f AS l ON l.lang = cuts.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+  JOIN f AS r ON r.lang = cuts.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')
+), weakest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM parts AS s JOIN parts AS t
+    ON s.lang = t.lang AND t.m > s.m AND t.c >= s.c
+   AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ')
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM weakest ANTI JOIN inside USING (lang, phrase)
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+# CRC-32 (reflected polynomial 3988292384) over UTF-8 bytes; near words share a
+# pattern with one place left open, or one is the other without a code point.
+SPELLING = rf"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''),
+           '[A-Za-z\x{{C0}}-\x{{FF}}]+')), {_AZ}) AS run
+  FROM documents
+), d AS (
+  SELECT doc_id, run, count(*) AS c FROM runs GROUP BY ALL
+), named AS (
+  SELECT run, c, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+           lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+                          ELSE [CAST(192 + unicode(x) // 64 AS BIGINT),
+                                CAST(128 + unicode(x) % 64 AS BIGINT)] END)) AS bytes
+  FROM d
+), hashed AS (
+  SELECT run, c, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+           lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1]))) AS h
+  FROM named, tab
+), cut AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, c
+  FROM hashed
+), v AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM cut
+  GROUP BY word HAVING length(word) >= 5 AND sum(c) >= 3
+), places AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v
+), holes AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole,
+         substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM places
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM holes AS a JOIN holes AS b
+    ON a.hole = b.hole AND a.word <> b.word
+  UNION
+  SELECT a.word, v.word, v.n FROM holes AS a JOIN v ON a.less = v.word
+  UNION
+  SELECT v.word, a.word, a.n FROM holes AS a JOIN v ON a.less = v.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS top FROM near GROUP BY word
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN top >= 2 * v.n THEN (SELECT min(other) FROM near
+           WHERE near.word = v.word AND near.n = top) END AS form,
+         CASE WHEN top >= 2 * v.n THEN top END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM formed
+  UNION
+  SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.at
+  WHERE formed.form IS NOT NULL
+)
+SELECT formed.word, formed.n, formed.n_near, formed.form, formed.form_n, walk.at AS root
+FROM formed JOIN walk USING (word) JOIN formed AS last ON last.word = walk.at
+WHERE last.form IS NULL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -209,4 +312,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": LINE_DEDUP,
         "op9_decontamination": DECONTAMINATION,
         "op10_url_filter": URL_FILTER,
+        "op11_collocations": COLLOCATIONS,
+        "op13_spelling_variants": SPELLING,
     }

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, lang_id, line_dedup, lm_score, near_dup, packing, quality, token_files,
-    url_filter,
+    chat, collocations, decontaminate, lang_id, line_dedup, lm_score, near_dup, packing, quality,
+    simhash, spelling, token_files, url_filter,
 )
 from .common import documents, take
 from .oracles import oracle_sql  # noqa: F401  (part of this module's interface)
@@ -83,6 +83,18 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -95,4 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_id": op7_language_id,
         "op8_token_files": op8_token_files,
         "op10_url_filter": op10_url_filter,
+        "op11_collocations": op11_collocations,
+        "op12_simhash": op12_simhash,
+        "op13_spelling_variants": op13_spelling_variants,
     }
