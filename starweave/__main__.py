@@ -8,7 +8,8 @@ and its table layout.
     python -m starweave layout [--staging stg] [--warehouse dw]
 
 Under ``spark-submit`` the session comes from the submit configuration.
-``run`` makes the staging view ``stg.stg_orders``.  ``test`` prints one row per
+``run`` makes the staging view ``stg.stg_orders``; with ``--enforce-limits`` it
+stops at the first table whose rows break a declared limit (exit 1).  ``test`` prints one row per
 declared test and exits 1 when any test fails.  ``check`` prints the star
 count, the repaired geography and the limits of the built tables that rows
 break.  ``layout`` drops and creates all declared tables, empty.
@@ -32,6 +33,7 @@ from .plans import (
 from .sources import (
     DEFAULT_TARGET_SCHEMA,
     STAGING_SCHEMA,
+    LimitsBroken,
     create_declared_tables,
     read_people,
     read_raw_orders,
@@ -50,11 +52,13 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--people-table")
     run.add_argument("--people-path")
     run.add_argument("--schema", default=DEFAULT_TARGET_SCHEMA)
+    run.add_argument("--enforce-limits", action="store_true",
+                     help="declared types; refuse tables whose rows break a declared limit")
     test = sub.add_parser("test", help="run the declared tests on built tables")
     test.add_argument("--schema", default=DEFAULT_TARGET_SCHEMA)
     check = sub.add_parser("check", help="run the hand-run checks on built tables")
     check.add_argument("--schema", default=DEFAULT_TARGET_SCHEMA)
-    layout = sub.add_parser("layout", help="drop and create the declared tables")
+    layout = sub.add_parser("layout", help="drop and create the declared tables, in the models' forms")
     layout.add_argument("--staging", default=STAGING_SCHEMA)
     layout.add_argument("--warehouse", default="dw")
     args = parser.parse_args(argv)
@@ -68,7 +72,13 @@ def main(argv: list[str] | None = None) -> int:
         if args.people_table or args.people_path:
             people = read_people(spark, path=args.people_path, table=args.people_table)
         relation = args.raw_table or f"parquet.`{args.raw_path}`"
-        wh = build(spark, raw, people, marts_schema=args.schema, raw_relation=relation)
+        try:
+            wh = build(spark, raw, people, marts_schema=args.schema, raw_relation=relation,
+                       enforce_limits=args.enforce_limits)
+        except LimitsBroken as broken:
+            for test, table, column, n in broken.failures:
+                print(f"limit\t{test}\t{table}.{column}\t{n}")
+            return 1
         for name, table in wh.tables.items():
             print(f"{name}\t{table}")
         return 0

@@ -5,18 +5,19 @@ aggregate over the dimension returns its row count and the bytes of its
 columns.  Within the bound the join is a broadcast hash join: the large side
 is never shuffled, so a hot key costs nothing extra.
 
-Beyond the bound the join is one salted sort-merge join.  A sample of the
-large side finds the keys that each hold at least ``hot_share`` of its rows
-(at most ``1 / hot_share`` of them, so the set is small enough to broadcast).
-Their rows, and rows with a NULL key, which match nothing, get a salt from a
-hash of the row; all other rows have salt 0.  The dimension's rows of a hot
-key are repeated for every salt.  The large side is read once, and the sample
-only decides how rows are dealt out, never what they join to.
+Beyond the bound the join is one salted sort-merge join.  ``hot_keys`` finds
+the keys that each hold at least ``hot_share`` of the large side's rows, for all
+lookups in one pass, by mergeable frequent-items sketches; the set is small
+enough to stand in the plan.  Their rows, and rows with a NULL key, which match
+nothing, get a salt from a hash of the row; all other rows have salt 0.  The
+dimension's rows of a hot key are repeated for every salt.  The sketches only
+decide how rows are dealt out, never what they join to.
 """
 
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,9 +32,6 @@ log = logging.getLogger(__name__)
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # A key holding at least this share of the large side's rows is hot.
 DEFAULT_HOT_SHARE = 1e-3
-# Rows sampled from the large side to find hot keys.
-HOT_SAMPLE_ROWS = 1_000_000
-HOT_SAMPLE_SEED = 17
 
 
 @dataclass(frozen=True)
@@ -90,56 +88,55 @@ def fitting_together(dims: Sequence[DataFrame], max_bytes: int = DEFAULT_BROADCA
     return fits
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = DEFAULT_HOT_SHARE,
-             sample_rows: int = HOT_SAMPLE_ROWS, seed: int = HOT_SAMPLE_SEED
-             ) -> DataFrame | None:
-    """The keys of ``df`` holding at least ``share`` of its rows, estimated
-    from a sample of about ``sample_rows`` rows; ``None`` when there are
-    none.  At most ``1 / share`` keys can qualify, so the result is small; it
-    is fixed as a local relation so a re-run can never pick other keys.  Give
-    a table or a projection of one: counting and sampling read it."""
-    on = list(on)
-    n = df.count()
-    if n == 0:
-        return None
-    fraction = min(1.0, sample_rows / n)
-    threshold = max(2.0, share * n * fraction)
-    not_null = F.lit(True)
-    for c in on:
-        not_null = not_null & F.col(c).isNotNull()
-    sampled = df.select(*on) if fraction >= 1.0 else \
-        df.select(*on).sample(fraction=fraction, seed=seed)
-    rows = (sampled.where(not_null).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= threshold).select(*on).collect())
-    if not rows:
-        return None
-    log.info("hot keys on %s: %d", on, len(rows))
-    return df.sparkSession.createDataFrame(rows, df.select(*on).schema)
+def _tracked(share: float) -> int:
+    """Counters of a frequent-items sketch whose error, 3.5 / counters of all
+    rows, stays below half of ``share``."""
+    return min(1_000_000, max(1_000, math.ceil(8 / share)))
+
+
+def hot_keys(df: DataFrame, ons: Sequence[Sequence[str]], share: float = DEFAULT_HOT_SHARE
+             ) -> list[list[int]]:
+    """For each of the key column lists ``ons``, the hashes of the keys that hold
+    at least ``share`` of the rows of ``df``; all in one pass over it.
+
+    Every task folds its rows into one mergeable frequent-items sketch a
+    list and the sketches are merged.  A sketch's counts are too high or low by less
+    than half the share, so every hot key is found; a key found with at least half
+    the share may not quite be hot, which costs nothing.  At most
+    ``2 / share`` hashes a list come to the driver."""
+    if not ons:
+        return []
+    most = min(100_000, math.ceil(2 / share))
+    sketches = []
+    for i, on in enumerate(ons):
+        known = reduce(Column.__and__, [F.col(c).isNotNull() for c in on])
+        # Rows with a NULL key match nothing and are salted anyway.
+        hashed = F.when(known, F.xxhash64(*on))
+        sketches.append(F.call_function("approx_top_k", hashed, F.lit(most),
+                                        F.lit(max(_tracked(share), most))).alias(f"_t{i}"))
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *sketches).first()
+    least = max(2.0, share * row["_n"] / 2)
+    found = [[x["item"] for x in row[f"_t{i}"] or [] if x["item"] is not None and x["count"] >= least]
+             for i in range(len(ons))]
+    log.info("hot keys: %s", {",".join(on): len(f) for on, f in zip(ons, found)})
+    return found
 
 
 def salted_join(left: DataFrame, dim: DataFrame, on: Sequence[str], how: str,
-                hot: DataFrame | None, salts: int) -> DataFrame:
+                hot: Sequence[int], salts: int) -> DataFrame:
     """One sort-merge join on the key and a salt (see the module's text)."""
     on = list(on)
     columns = left.columns
-    null_key = F.lit(False)
-    for c in on:
-        null_key = null_key | F.col(c).isNull()
-    spread_out = null_key
-    if hot is not None:
-        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        left = left.join(marked, on, "left")
-        spread_out = spread_out | F.col("_hot").isNotNull()
-        dim = dim.join(marked, on, "left")
+    spread_out = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    dim_salts = F.array(F.lit(0))
+    if hot:
+        is_hot = F.xxhash64(*on).isin(list(hot))
+        spread_out = spread_out | is_hot
+        dim_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(dim_salts)
     # A hash of the row, so a retried task deals its rows out as before.
     row_salt = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
     left = left.withColumn("_salt", F.when(spread_out, row_salt).otherwise(0))
-    dim_salts = F.array(F.lit(0)) if hot is None else F.when(
-        F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0)))
     dim = dim.withColumn("_salt", F.explode(dim_salts))
-    if hot is not None:
-        left, dim = left.drop("_hot"), dim.drop("_hot")
     return left.join(dim.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
@@ -152,7 +149,7 @@ def lookup_join(
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
     hot_share: float | None = DEFAULT_HOT_SHARE,
     hot_from: DataFrame | None = None,
-    hot_sample_rows: int = HOT_SAMPLE_ROWS,
+    hot: Sequence[int] | None = None,
     salts: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``dim`` on the named columns.
@@ -160,9 +157,9 @@ def lookup_join(
     ``dim`` is broadcast when it is measured to fit ``max_bytes`` (or when
     ``broadcast`` says so after an outside check).  Otherwise it is one
     sort-merge join with hot and NULL keys salted over ``salts`` (default:
-    the session's shuffle partitions).  Hot keys are looked for in
-    ``hot_from``, a table or a projection of one with the same keys;
-    ``hot_sample_rows`` is the size of the sample.  Without ``hot_from``, or
+    the session's shuffle partitions).  Hot keys are given by ``hot``, as
+    ``hot_keys`` found them, or looked for in ``hot_from``, a table or a
+    projection of one with the same keys.  Without either, or
     with ``hot_share=None``, only NULL keys are salted, and adaptive
     execution's skew handling covers the rest.  Full and right joins are not
     salted: a repeated dimension row would come out unmatched.
@@ -176,7 +173,6 @@ def lookup_join(
         return left.join(dim.hint("merge"), on, how)
     if salts is None:
         salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = None
-    if hot_share is not None and hot_from is not None:
-        hot = hot_keys(hot_from, on, hot_share, hot_sample_rows)
-    return salted_join(left, dim, on, how, hot, max(1, salts))
+    if hot is None and hot_share is not None and hot_from is not None:
+        hot = hot_keys(hot_from, [on], hot_share)[0]
+    return salted_join(left, dim, on, how, hot or [], max(1, salts))

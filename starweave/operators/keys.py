@@ -63,13 +63,28 @@ def surrogate_key(
         df.repartitionByRange(partitions, *order) if partitions
         else df.repartitionByRange(*order)
     ).sortWithinPartitions(*order)
-    positioned = stored(ranged.select(
+    positioned = stored(_positioned(ranged, cols))
+    return _numbered(positioned, key, cols, base)
+
+
+def number_rows(df: DataFrame, key: str, base: int = 0) -> DataFrame:
+    """``key`` (``base + 1 .. base + n``) for rows in no particular order: nothing is
+    shuffled, positions are fixed in a written copy, which is then counted."""
+    cols = df.columns
+    return _numbered(stored(_positioned(df, cols)), key, cols, base)
+
+
+def _positioned(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.select(
         F.monotonically_increasing_id().alias("_pos"), *cols
     ).select(
         F.shiftright("_pos", _POSITION_BITS).alias("_part"),
         (F.col("_pos").bitwiseAND((1 << _POSITION_BITS) - 1)).alias("_row"),
         *cols,
-    ))
+    )
+
+
+def _numbered(positioned: DataFrame, key: str, cols: Sequence[str], base: int) -> DataFrame:
     # One row per partition (the count reads only the partition column); the
     # running offsets are fixed once here, so later evaluations of the result
     # are a scan and a hash lookup with no further job.
@@ -81,7 +96,7 @@ def surrogate_key(
         offsets.append(f"({int(part)}L, {total}L)")
         total += n
     # A VALUES list plans as a local relation: broadcasting it runs no job.
-    offsets_df = df.sparkSession.sql(
+    offsets_df = positioned.sparkSession.sql(
         f"SELECT * FROM VALUES {', '.join(offsets)} AS t(_part, _offset)")
     return positioned.join(F.broadcast(offsets_df), "_part").select(
         (F.lit(base + 1).cast("long") + F.col("_offset") + F.col("_row")).alias(key),

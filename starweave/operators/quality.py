@@ -23,11 +23,15 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schemas import PRIMARY_KEYS, columns
-from .joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, fitting_together, lookup_join
+from ..sources.limits import limit_counts, missing_columns
+from ..sources.schemas import PRIMARY_KEYS
+from ..session import stored
+from .joins import (
+    DEFAULT_BROADCAST_BYTES, fits_broadcast, fitting_together, hot_keys, lookup_join,
+)
 
 REPORT_COLUMNS = ("test", "relation", "column_name", "failures")
 
@@ -75,8 +79,9 @@ def relationships(child: DataFrame, relation: str, column: str,
     """Child rows whose non-NULL ``column`` is missing from ``parent.field``.
 
     A parent key set within the broadcast bound is probed map-side by every
-    child row, and only orphans are counted: no shuffle of the child.  A
-    larger parent meets the child as distinct keys with counts, a map-side
+    child row, and only orphans are counted: no shuffle of the child.  Larger
+    sets of whole-number keys meet as bitmaps (``orphan_rows``).  For other
+    types the child's distinct keys with counts meet the parent, a map-side
     partial aggregate, so a hot key crosses the network once per task.  That
     path is an outer join plus a NULL test, because Catalyst would push an
     anti join back below the aggregation.
@@ -87,12 +92,82 @@ def relationships(child: DataFrame, relation: str, column: str,
     if fits_broadcast(parents, max_broadcast_bytes):
         orphans = present.select(c.alias("_k")).join(F.broadcast(parents), "_k", "left_anti")
         return _row(orphans.agg(F.count(F.lit(1))), "relationships", relation, column)
+    if all(d.schema[n].dataType.typeName() in ("integer", "long")
+           for d, n in ((child, column), (parent, field))):
+        return _row(orphan_rows(present.select(c.cast("long").alias("_k")),
+                                parents.select(F.col("_k").cast("long"))),
+                    "relationships", relation, column)
     keys = present.groupBy(c.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     found = parents.distinct().select("_k", F.lit(True).alias("_found"))
     orphans = keys.join(found.hint("merge"), "_k", "left").where(F.col("_found").isNull())
     return _row(orphans.agg(F.sum("_n")), "relationships", relation, column)
 
 
+def key_bitmaps(df: DataFrame, key: str) -> DataFrame:
+    """(_b, _bits, _rows): the non-NULL whole-number keys as bitmaps of 32,768
+    bits a bucket, made map-side first: a task sends 4 kB for each bucket it
+    has seen, however many rows hold those keys."""
+    k = F.col(key)
+    return df.where(k.isNotNull()).groupBy(F.bitmap_bucket_number(k).alias("_b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(k)).alias("_bits"),
+        F.count(F.lit(1)).alias("_rows"))
+
+
+# Buckets named in a filter; beyond, they are joined.
+MAX_BUCKETS = 1000
+
+
+def _in_buckets(df: DataFrame, key: str, buckets: DataFrame, few: list[int] | None) -> DataFrame:
+    number = F.bitmap_bucket_number(F.col(key))
+    if few is not None:
+        return df.where(number.isin(few))
+    return df.join(buckets.select("_b"), number == F.col("_b"), "left_semi")
+
+
+def _few(buckets: DataFrame) -> list[int] | None:
+    """The numbers of the buckets if they are few enough to be listed."""
+    found = buckets.select("_b").limit(MAX_BUCKETS + 1).collect()
+    return [r["_b"] for r in found] if len(found) <= MAX_BUCKETS else None
+
+
+def orphan_rows(child: DataFrame, parents: DataFrame) -> DataFrame:
+    """How many rows of ``child`` (_k, whole numbers) have no parent (_k), as one row.
+
+    The bitmaps of both sides meet by bucket: a bucket has orphans where
+    the union has more bits than the parents.  Only the rows of such buckets are
+    looked at again; clean data ends with the bitmaps."""
+    own = key_bitmaps(parents, "_k").select("_b", "_bits", F.bitmap_count("_bits").alias("_p"))
+    both = key_bitmaps(child, "_k").select("_b", "_bits", F.lit(0).cast("long").alias("_p")) \
+        .unionAll(own)
+    bad = stored(both.groupBy("_b").agg(F.bitmap_or_agg("_bits").alias("_bits"),
+                                        F.max("_p").alias("_p"))
+                 .where(F.bitmap_count("_bits") > F.col("_p")).select("_b"))
+    few = _few(bad)
+    if few == []:
+        return bad.agg(F.count(F.lit(1)).alias("n"))
+    keys = _in_buckets(child, "_k", bad, few).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    found = _in_buckets(parents, "_k", bad, few).distinct().withColumn("_found", F.lit(True))
+    return keys.join(found, "_k", "left").where(F.col("_found").isNull()).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+
+
+def repeated_keys(df: DataFrame, key: str) -> int:
+    """How many non-NULL values of ``key`` occur more than once.
+
+    Whole numbers are counted as bitmaps: where a bucket has as many bits as
+    rows, its keys are unique.  Only other buckets are grouped key by key;
+    other types are grouped at once."""
+    if df.schema[key].dataType.typeName() in ("integer", "long"):
+        df = df.select(F.col(key).cast("long"))
+        bad = stored(key_bitmaps(df, key).where(F.bitmap_count("_bits") < F.col("_rows"))
+                     .select("_b"))
+        few = _few(bad)
+        if few == []:
+            return 0
+        df = _in_buckets(df, key, bad, few)
+    return unique_violations(df, key).count()
+
+
 def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
                  max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                  hot_from: DataFrame | None = None) -> DataFrame:
@@ -108,7 +183,7 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
     (shuffled) join the fact is summed down to its distinct remaining keys,
     a map-side partial aggregate, so a hot key or a pile of copies crosses
     the network as one row per task.  ``hot_from`` is a table with the fact's
-    keys, sampled to salt hot ones; the fact itself is read once.
+    keys, read once to find hot ones for all joins; the fact itself is read once.
     """
     counted = []
     # A count table has at most the dimension's rows, each a key and a long:
@@ -124,11 +199,13 @@ def star_matches(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
                 .select(*[c for c in acc.columns if c != "_w"],
                         (F.col("_w") * F.col("_m")).alias("_w"))
     remaining = [key for _, key, small in counted if not small]
+    hot = dict(zip(remaining, hot_keys(hot_from, [[k] for k in remaining]))) \
+        if hot_from is not None else {}
     for counts, key, small in counted:
         if small:
             continue
         acc = acc.groupBy(*remaining).agg(F.sum("_w").alias("_w"))
-        acc = lookup_join(acc, counts, [key], "inner", broadcast=False, hot_from=hot_from) \
+        acc = lookup_join(acc, counts, [key], "inner", broadcast=False, hot=hot.get(key)) \
             .select(*[k for k in remaining if k != key],
                     (F.col("_w") * F.col("_m")).alias("_w"))
         remaining.remove(key)
@@ -180,15 +257,6 @@ def run_checks(relations: dict[str, DataFrame], checks: Iterable[Check],
     return reduce(DataFrame.unionAll, rows)
 
 
-def _numeric_misfit(c: Column, precision: int, scale: int) -> Column:
-    """True when a value does not fit NUMERIC(p, s) once rounded to s digits."""
-    # The bound carries the value's scale: compared with a decimal(38,0)
-    # Spark would widen to scale 0 and round 99999.9999 up to 100000.
-    limit = F.lit(str(10 ** (precision - scale))).cast(f"decimal(38,{scale})")
-    d = c.try_cast("decimal(38,18)")  # NULL when even this is too narrow
-    return c.isNotNull() & (d.isNull() | (F.abs(F.round(d, scale)) >= limit))
-
-
 def constraint_report(df: DataFrame, relation: str, declared: str | None = None,
                       primary_key: str | None = None,
                       left_out: Sequence[str] = ()) -> DataFrame:
@@ -201,26 +269,11 @@ def constraint_report(df: DataFrame, relation: str, declared: str | None = None,
     adds one grouped count.  One report row per (column, constraint).
     """
     declared = declared or relation
-    present = set(df.columns)
     pk = primary_key if primary_key is not None else PRIMARY_KEYS.get(declared)
-    expected = [c.name for c in columns(declared)]
-    if pk and pk not in expected:
-        expected.append(pk)
-    missing = [c for c in expected if c not in present and c not in left_out]
-    labels, aggs = [("missing_column", c) for c in missing], [F.lit(1).cast("long")] * len(missing)
-    for c in columns(declared):
-        if c.name not in present:
-            continue
-        col = F.col(c.name)
-        if c.not_null:
-            labels.append(("not_null", c.name))
-            aggs.append(F.count_if(col.isNull()))
-        if c.max_length is not None:
-            labels.append(("max_length", c.name))
-            aggs.append(F.count_if(F.char_length(col) > c.max_length))
-        if c.precision is not None:
-            labels.append(("numeric_range", c.name))
-            aggs.append(F.count_if(_numeric_misfit(col, c.precision, c.scale)))
+    missing = missing_columns(df, declared, left_out, primary_key)
+    labels, aggs = limit_counts(df, declared)
+    labels = [("missing_column", c) for c in missing] + labels
+    aggs = [F.lit(1).cast("long")] * len(missing) + aggs
     rows: list[DataFrame] = []
     if aggs:
         counts = df.agg(F.count(F.lit(1)), *[a.alias(f"_c{i}") for i, a in enumerate(aggs)])
@@ -233,6 +286,6 @@ def constraint_report(df: DataFrame, relation: str, declared: str | None = None,
             "test", F.lit(relation).alias("relation"), "column_name",
             F.col("failures").cast("long").alias("failures"),
         ))
-    if pk and pk in present:
+    if pk and pk in df.columns:
         rows.append(unique(df, relation, pk).withColumn("test", F.lit("primary_key")))
     return reduce(DataFrame.unionAll, rows)

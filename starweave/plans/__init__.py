@@ -11,25 +11,35 @@ from .checks import (
     star_integrity,
     warehouse_constraints,
 )
-from .dims import customer_dim, geo_dim, people_dim, product_dim, shipping_dim
+from .dims import (
+    attribute_sets, customer_dim, dimensions, geo_dim, people_dim, product_dim, shipping_dim,
+)
 from .facts import sales_fact
-from .marts import mart_avg_shipping_duration
+from .loads import Load, create_loadable, insert_rows, last_key
+from .marts import mart_avg_shipping_duration, mart_from_lines
 from .project import Warehouse, build, run_tests
 from .staging import STAGING_COLUMNS, stg_orders
 
 __all__ = [
     "BUSINESS_KEY_TESTS",
     "DECLARED_TESTS",
+    "Load",
     "STAGING_COLUMNS",
     "Warehouse",
+    "attribute_sets",
     "build",
     "business_key_tests",
     "calendar_dim",
+    "create_loadable",
     "customer_dim",
     "date_parts",
     "declared_tests",
+    "dimensions",
     "geo_dim",
+    "insert_rows",
+    "last_key",
     "mart_avg_shipping_duration",
+    "mart_from_lines",
     "people_dim",
     "product_dim",
     "repaired_geography",

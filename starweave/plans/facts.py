@@ -11,8 +11,8 @@ lookups with no shuffle.  A dimension beyond the bound is joined with a
 salted sort-merge join and is joined *first*, before the broadcast lookups,
 so the order lines are shuffled before any fan-out multiplies them.
 Independent left joins commute, so the order does not change the result.  Hot
-and NULL business keys are salted; hot ones are found on a sample of the
-staging rows.  The order lines are read once whatever the path.
+and NULL business keys are salted; the hot ones of all shuffled lookups are found
+in one more pass over the staging rows' key columns.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from ..functions.dates import date_key
 from ..operators.joins import (
     DEFAULT_BROADCAST_BYTES,
     DEFAULT_HOT_SHARE,
-    HOT_SAMPLE_ROWS,
     fitting_together,
+    hot_keys,
     lookup_join,
 )
 
@@ -45,16 +45,18 @@ def sales_fact(stg: DataFrame, customer: DataFrame, product: DataFrame,
                shipping: DataFrame, geo: DataFrame,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                hot_share: float | None = DEFAULT_HOT_SHARE,
-               hot_sample_rows: int = HOT_SAMPLE_ROWS, salts: int | None = None) -> DataFrame:
+               salts: int | None = None) -> DataFrame:
     """The fact; ``max_broadcast_bytes`` bounds the sum of what is broadcast.
-    Beyond it ``stg`` is counted and sampled for hot keys, so give a table or
-    a projection of one, or set ``hot_share=None``."""
+    Beyond it ``stg`` is read once more for the hot keys of all lookups, so give
+    a table or a projection of one, or set ``hot_share=None``."""
     dims = dimension_lookups(customer, product, shipping, geo)
     small = fitting_together([dim for dim, _ in dims], max_broadcast_bytes)
+    large = [on for (_, on), fits in zip(dims, small) if not fits]
+    hot = hot_keys(stg, large, hot_share) if hot_share is not None else [[] for _ in large]
+    hot = {tuple(on): h for on, h in zip(large, hot)}
     out = stg
     for (dim, on), fits in sorted(zip(dims, small), key=lambda x: x[1]):
-        out = lookup_join(out, dim, on, "left", broadcast=fits, hot_share=hot_share,
-                          hot_from=stg.select(*on), hot_sample_rows=hot_sample_rows,
+        out = lookup_join(out, dim, on, "left", broadcast=fits, hot=hot.get(tuple(on)),
                           salts=salts)
     return out.select(
         "cust_id",

@@ -23,11 +23,12 @@ from ..sources.tables import (
     create_schema,
     create_view,
     schema_name,
-    write_table,
 )
+from ..sources.schemas import DECLARED
+from ..sources.versions import publish
 from .calendar import calendar_dim
 from .checks import declared_tests
-from .dims import customer_dim, geo_dim, people_dim, product_dim, shipping_dim
+from .dims import dimensions, people_dim
 from .facts import sales_fact
 from .marts import mart_avg_shipping_duration
 from .staging import staging_expressions, stg_orders
@@ -52,8 +53,15 @@ def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
           default_schema: str = "default", key_partitions: int | None = None,
           raw_relation: str | None = None, staging_schema: str = STAGING_SCHEMA,
           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-          hot_share: float | None = DEFAULT_HOT_SHARE) -> Warehouse:
-    """Run every model in dependency order and write each mart as a table.
+          hot_share: float | None = DEFAULT_HOT_SHARE,
+          enforce_limits: bool = False) -> Warehouse:
+    """Run every model in dependency order and write each mart as a table,
+    which is switched to its new rows once they are complete.
+
+    With ``enforce_limits`` the tables get their declared types, and the first
+    whose rows break a declared limit raises ``LimitsBroken``; it and the later ones
+    stay as they were.  The models alone do not keep all limits (a missing
+    postal code leaves ``geo_id`` NULL), so this is off by default.
 
     ``max_broadcast_bytes`` bounds every broadcast; ``hot_share`` is the share
     of the fact's rows from which a business key is split off a merge join
@@ -74,14 +82,14 @@ def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
     wh = Warehouse(spark, view)
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        wh.tables[name] = write_table(df, target, name)
+        declared = name if enforce_limits and name in DECLARED else None
+        wh.tables[name] = publish(df, target, name, declared)
         return wh.table(name)
 
     with owned_scratch(spark):
-        customer = save("customer_dim", customer_dim(stg, key_partitions))
-        product = save("product_dim", product_dim(stg, key_partitions))
-        shipping = save("shipping_dim", shipping_dim(stg, key_partitions))
-        geo = save("geo_dim", geo_dim(stg, key_partitions))
+        made = dimensions(stg, key_partitions)
+        customer, product, shipping, geo = (save(n, made[n]) for n in (
+            "customer_dim", "product_dim", "shipping_dim", "geo_dim"))
         save("calendar_dim", calendar_dim(spark))
         fact = save("sales_fact", sales_fact(stg, customer, product, shipping, geo,
                                              max_broadcast_bytes, hot_share))

@@ -16,11 +16,13 @@ from .tables import (
     schema_name,
     write_table,
 )
+from .versions import LimitsBroken, publish, write_observed
 from .testdata import people_from_tpch, raw_orders_from_tpch, read_table
 
 __all__ = [
     "DECLARED",
     "DEFAULT_TARGET_SCHEMA",
+    "LimitsBroken",
     "PEOPLE_SCHEMA",
     "RAW_ORDERS_SCHEMA",
     "STAGING_SCHEMA",
@@ -33,11 +35,13 @@ __all__ = [
     "declared_ddl",
     "people_from_tpch",
     "raw_orders_from_tpch",
+    "publish",
     "read_people",
     "read_raw_orders",
     "read_table",
     "recreate_declared_table",
     "schema_name",
     "struct_type",
+    "write_observed",
     "write_table",
 ]

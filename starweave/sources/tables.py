@@ -34,12 +34,15 @@ def declared_ddl(table: str, qualified: str) -> str:
         else:
             t = c.spark_type.simpleString().upper()
         cols.append(f"`{c.name}` {t}")
-    return f"CREATE TABLE {qualified} ({', '.join(cols)}) USING parquet"
+    # Loads are folders of their own inside the table's.
+    return (f"CREATE TABLE {qualified} ({', '.join(cols)}) USING parquet "
+            "OPTIONS (recursiveFileLookup 'true')")
 
 
 def recreate_declared_table(spark: SparkSession, schema: str, table: str,
                             name: str | None = None) -> str:
-    """``DROP TABLE IF EXISTS`` then ``CREATE TABLE`` from the declaration."""
+    """``DROP TABLE IF EXISTS`` then ``CREATE TABLE`` from the declaration, in
+    the models' forms (``ship_mode``, text ``leap``, long keys)."""
     qualified = f"`{schema}`.`{name or table}`"
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
     spark.sql(declared_ddl(table, qualified))
@@ -51,8 +54,10 @@ def recreate_declared_table(spark: SparkSession, schema: str, table: str,
 # and the warehouse tables a warehouse schema.
 RAW_LAYER = ("orders",)
 INTERMEDIATE_LAYER = (("rd_orders", "orders"), ("returns", "returns"), ("people", "people"))
-WAREHOUSE_LAYER = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "calendar_dim",
-                   "people_dim", "sales_fact")
+WAREHOUSE_LAYER = (("shipping_dim", "shipping_dim"), ("customer_dim", "customer_dim"),
+                   ("geo_dim", "geo_dim"), ("product_dim", "product_dim"),
+                   ("calendar_dim", "calendar_dim"), ("people_dim", "people_dim"),
+                   ("sales_table", "sales_fact"))
 
 
 def create_declared_tables(spark: SparkSession, staging: str = STAGING_SCHEMA,
@@ -63,7 +68,7 @@ def create_declared_tables(spark: SparkSession, staging: str = STAGING_SCHEMA,
     create_schema(spark, warehouse)
     made = [recreate_declared_table(spark, staging, t) for t in RAW_LAYER]
     made += [recreate_declared_table(spark, default, t, name) for t, name in INTERMEDIATE_LAYER]
-    made += [recreate_declared_table(spark, warehouse, t) for t in WAREHOUSE_LAYER]
+    made += [recreate_declared_table(spark, warehouse, t, name) for t, name in WAREHOUSE_LAYER]
     return made
 
 

@@ -53,11 +53,33 @@ def _skewed(spark):
     return left, dim
 
 
-def test_hot_keys_found_on_a_sample(spark):
+def _hash(spark, k: int) -> int:
+    return spark.sql(f"SELECT xxhash64(CAST({k} AS BIGINT)) AS h").first()["h"]
+
+
+def test_hot_keys_of_all_lookups_in_one_pass(spark):
     left, _ = _skewed(spark)
-    hot = hot_keys(left, ["k"], share=0.05, sample_rows=2000)
-    assert [r["k"] for r in hot.collect()] == [7]
-    assert hot_keys(spark.range(1000).selectExpr("id AS k"), ["k"], share=0.05) is None
+    # 3 holds two thirds of the second column and 5 of the pairs' first halves a few rows.
+    left = left.selectExpr("k", "CASE WHEN v % 3 = 0 THEN v ELSE 3 END AS other")
+    group = "one pass"
+    spark.sparkContext.setJobGroup(group, group)
+    found = hot_keys(left, [["k"], ["other"], ["k", "other"]], share=0.05)
+    scans = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found[0] == [_hash(spark, 7)] and found[1] == [_hash(spark, 3)]
+    assert len(found[2]) == 1  # (7, 3); rows with a NULL key do not count
+    assert scans <= 2  # one aggregate, in the stages of adaptive execution
+    assert hot_keys(spark.range(1000).selectExpr("id AS k"), [["k"]], share=0.05) == [[]]
+    assert hot_keys(left.limit(0), [["k"]]) == [[]] and hot_keys(left, []) == []
+
+
+@pytest.mark.parametrize("share", [0.2, 0.01, 0.002])
+def test_planted_hot_keys_are_always_found(spark, share):
+    # Many distinct keys around a key that holds just the share.
+    n = 40_000
+    hot = int(n * share)
+    rows = spark.range(0, n, 1, 5).selectExpr(f"CASE WHEN id % {n // hot} = 0 THEN -1 ELSE id END AS k")
+    assert _hash(spark, -1) in hot_keys(rows, [["k"]], share)[0]
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
@@ -75,8 +97,7 @@ def test_hot_and_null_keys_are_salted_in_one_merge_join(spark, how):
 def test_salts_deal_out_hot_and_null_rows(spark):
     left, dim = _skewed(spark)
     null_rows = left.where("k is null").unionAll(left.where("k = 7"))
-    hot = spark.createDataFrame([(7,)], "k long")
-    out = salted_join(null_rows, dim, ["k"], "left", hot, 8)
+    out = salted_join(null_rows, dim, ["k"], "left", [_hash(spark, 7)], 8)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "pmod(xxhash64" in plan
     dealt = null_rows.selectExpr("pmod(xxhash64(k, v), 8) AS s").groupBy("s").count().collect()

@@ -125,8 +125,8 @@ def test_filter_on_a_keyed_dimension_reaches_the_stored_scan(star, capsys):
 
 def test_relationships_keeps_the_child_pre_aggregated_before_a_merge_join(spark, capsys):
     from starweave.operators.quality import relationships
-    child = spark.range(1000).selectExpr("id % 37 AS k")
-    parent = spark.range(0, 40, 2).selectExpr("id AS k")
+    child = spark.range(1000).selectExpr("CAST(id % 37 AS STRING) AS k")
+    parent = spark.range(0, 40, 2).selectExpr("CAST(id AS STRING) AS k")
     small = _plan(relationships(child, "c", "k", parent, "k"), capsys)
     assert "BroadcastHashJoin LeftAnti" in small and "SortMergeJoin" not in small
     large = _plan(relationships(child, "c", "k", parent, "k", max_broadcast_bytes=0), capsys)
