@@ -93,8 +93,7 @@ def stored(df: DataFrame) -> DataFrame:
     columnar table later passes can prune to the columns they read.
     """
     spark = df.sparkSession
-    folder = _OWNED.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/starweave"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # no job to infer what is known
 
@@ -103,6 +102,17 @@ def stored(df: DataFrame) -> DataFrame:
 _OWNED: ContextVar[str | None] = ContextVar("starweave_scratch", default=None)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the folder of the innermost
+    ``owned_scratch``, else one under the checkpoint folder."""
+    return _OWNED.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/starweave"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
 @contextmanager
 def owned_scratch(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for everything ``stored`` writes in the block,
@@ -113,5 +123,4 @@ def owned_scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _OWNED.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete_path(spark, folder)
