@@ -7,6 +7,7 @@ found by numpy over whole slices of a batch instead of row by row.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import delete_path, scratch_folder
 
 # The white space of the contracts: \x20 and \x09-\x0D.
 SPACE = " \t\n\x0b\x0c\r"
@@ -73,8 +74,9 @@ def free_name(df: DataFrame, base: str, others: list[str] = ()) -> str:
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
-    """A new path under the folder that driver and executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{kind}-{uuid.uuid4().hex}"
+    """A new path under the folder that driver and executors share (inside
+    ``session.owned_scratch``: in the folder that goes at its end)."""
+    return f"{scratch_folder(spark)}/llm/{kind}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, kind: str = "cut") -> DataFrame:
@@ -83,7 +85,25 @@ def written(df: DataFrame, kind: str = "cut") -> DataFrame:
     path = shared_path(df.sparkSession, kind)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete tables that ``written`` made: nothing may read them any more.
+    (Frames made another way, and None, are left alone.)"""
+    for df in tables:
+        path = getattr(df, "written_to", None)
+        if path:
+            delete_path(df.sparkSession, path)
+
+
+def release_memory() -> None:
+    """Give back what a reused Python worker holds on to between tasks."""
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 HOT_KEYS = 100_000  # at most so many keys are broadcast as hot ones
@@ -132,6 +152,12 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES
         at = to
 
 
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All characters as numbers, and the row of each."""
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return flat, np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+
+
 def byte_class(chars: bytes) -> np.ndarray:
     """A 256-entry table that is True for the given bytes."""
     t = np.zeros(256, bool)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -50,7 +50,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(edges, "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = written(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, written(_small_star(_large_star(edges)), "edges")
+        forget(before)
         now = _mark(edges)
         if now == mark:
             break
@@ -58,3 +59,19 @@ def components(links: DataFrame) -> DataFrame:
     stars = edges.select(F.col("v").alias("doc"), F.col("m").alias("component"))
     centres = edges.select(F.col("m").alias("doc"), F.col("m").alias("component")).distinct()
     return stars.unionAll(centres)
+
+
+def extended(joined: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``components`` of all links so far, from those before (``joined``, or None) and
+    new ones: only what the new links join is contracted."""
+    if joined is None:
+        return components(links)
+    named = links
+    for end in ("a", "b"):
+        named = named.join(joined.toDF(end, f"c{end}"), end, "left") \
+            .withColumn(end, F.coalesce(f"c{end}", end)).drop(f"c{end}")
+    moved = components(named.select("a", "b")).toDF("component", "now")
+    known = joined.join(moved, "component", "left").select(
+        "doc", F.coalesce("now", "component").alias("component"))
+    new = moved.toDF("doc", "component").join(joined.select("doc"), "doc", "left_anti")
+    return known.unionByName(new)

@@ -36,8 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, take
-from .lm_score import code_points
+from .common import code_points, slices, take
 
 MODEL_CHARS = 1 << 17
 WINDOW_CHARS = 256

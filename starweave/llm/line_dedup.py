@@ -4,10 +4,12 @@ A line's key is the line without white space at its ends, A-Z lower-cased.
 ``LineRuns`` keeps, for every key of at least ``min_chars`` code points, in
 how many documents it was found and the largest doc_id among them, in runs
 sorted by the key's hash (MD5, 16 bytes).  A batch of documents is summed by
-key; a merge anti-join against the runs tells which keys no earlier batch
-had; then the batch is written as a run of its own at level 0.  When a level
-holds ``fanout`` runs they are merged into one run of the next level, so a
-key is rewritten a logarithmic number of times.
+key; a merge anti-join against the runs gives the keys no earlier batch had,
+which are written as a run of their own at level 0, so all runs together hold each
+key once.  What the batch adds to keys that are there goes to a second kind of
+run.  When a level holds ``fanout`` runs they are merged into one run of the
+next level, so a key is rewritten a logarithmic number of times; additions are
+summed likewise.  A key's total is its one entry and what was added to it.
 
 ``dedup`` adds all documents to the runs, batch by batch, and then drops the
 lines of frequent keys from all documents but the one with the largest doc_id.
@@ -32,8 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import delete_path
 from .common import (
-    SPACE, free_name, lower_az, named_again, plain_names, shared_path, take, written,
+    SPACE, by_key, forget, free_name, lower_az, named_again, plain_names, shared_path, take,
+    written,
 )
 
 MIN_CHARS = 40
@@ -53,24 +57,26 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """Runs of (h, docs, last, fresh), sorted by h, in the shared folder."""
+    """Runs of (h, docs, last), sorted by h, in the shared folder.
+
+    ``levels`` hold every key once, as its first batch left it; ``later`` holds
+    what further batches added to keys that were there."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
         self.path = path or shared_path(spark, "line-runs")
         self.levels: list[list[str]] = []
+        self.later: list[str] = []
         self.made = 0
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        path = f"{self.path}/level-{level}/run-{self.made:05d}"
+    def _write(self, rows: DataFrame, kind: str) -> str:
+        path = f"{self.path}/{kind}/run-{self.made:05d}"
         self.made += 1
         rows.repartition("h").sortWithinPartitions("h").write.parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
+        return path
 
     def _rows(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.schema("h binary, docs long, last long").parquet(*paths)
 
     def paths(self) -> list[str]:
         return [p for level in self.levels for p in level]
@@ -78,29 +84,54 @@ class LineRuns:
     def add(self, keys: DataFrame) -> None:
         """Add a batch of distinct (h, doc_id); its documents must be in no other batch."""
         batch = keys.groupBy("h").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last"))
+        if not self.levels:
+            self.levels.append([])
         if self.paths():
             batch = written(batch, "batch")
-            fresh = batch.join(self._rows(self.paths()).select("h").distinct().hint("merge"),
-                               "h", "left_anti").withColumn("fresh", F.lit(True))
-            seen = batch.join(self._rows(self.paths()).select("h").distinct().hint("merge"),
-                              "h", "left_semi").withColumn("fresh", F.lit(False))
-            self._write(fresh.unionByName(seen), 0)
+            known = self._rows(self.paths()).select("h").hint("merge")
+            self.later.append(self._write(batch.join(known, "h", "left_semi"), "later"))
+            new = self._write(batch.join(known, "h", "left_anti"), "level-0")
+            forget(batch)
         else:
-            self._write(batch.withColumn("fresh", F.lit(True)), 0)
+            new = self._write(batch, "level-0")
+        self.levels[0].append(new)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
-            self._write(self._merged(self.levels[level]), level + 1)
-            self.levels[level] = []
+            if level + 1 == len(self.levels):
+                self.levels.append([])
+            # No key is in two runs, so merging them adds nothing up.
+            merged = self._write(self._rows(self.levels[level]), f"level-{level + 1}")
+            old, self.levels[level] = self.levels[level], []
+            self.levels[level + 1].append(merged)
+            self._delete(old)
             level += 1
+        if len(self.later) >= self.fanout:
+            merged = self._write(self._added(), "later")
+            old, self.later = self.later, [merged]
+            self._delete(old)
 
-    def _merged(self, paths: list[str]) -> DataFrame:
-        return self._rows(paths).groupBy("h").agg(
-            F.sum("docs").alias("docs"), F.max("last").alias("last"),
-            F.max("fresh").alias("fresh"))
+    def _delete(self, paths: list[str]) -> None:
+        for p in paths:
+            delete_path(self.spark, p)
+
+    def _added(self) -> DataFrame:
+        return self._rows(self.later).groupBy("h").agg(
+            F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
     def totals(self) -> DataFrame | None:
         """(h, docs, last) over all batches; None before the first."""
-        return self._merged(self.paths()).drop("fresh") if self.paths() else None
+        if not self.paths():
+            return None
+        first = self._rows(self.paths())
+        if not self.later:
+            return first
+        return first.join(self._added().toDF("h", "more", "after"), "h", "left").select(
+            "h", (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"),
+            F.greatest("last", "after").alias("last"))
+
+    def delete(self) -> None:
+        """All runs go."""
+        delete_path(self.spark, self.path)
 
 
 def _drop_lists(docs: DataFrame, min_chars: int, min_docs: int, batches: int,
@@ -112,10 +143,15 @@ def _drop_lists(docs: DataFrame, min_chars: int, min_docs: int, batches: int,
     runs = LineRuns(docs.sparkSession, fanout=fanout)
     for b in range(batches):
         runs.add(keys.where(F.col("batch") == b).drop("batch"))
-    frequent = runs.totals().where(F.col("docs") >= min_docs).select("h", "last")
-    lost = keys.join(frequent, "h").where(F.col("last").isNotNull() & (
+    frequent = written(runs.totals().where(F.col("docs") >= min_docs).select(
+        "h", F.col("docs").alias("rows"), "last"), "frequent")
+    runs.delete()
+    lost = by_key(keys.drop("batch"), frequent, "h").where(F.col("last").isNotNull() & (
         F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last"))))
-    return lost.groupBy("doc_id").agg(F.array_join(F.collect_list(F.hex("h")), "").alias("drop"))
+    lists = written(lost.groupBy("doc_id").agg(
+        F.array_join(F.collect_list(F.hex("h")), "").alias("drop")), "drop-lists")
+    forget(keys, frequent)
+    return lists
 
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
@@ -125,8 +161,9 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
     of what documents lose are broadcast if they are measured to fit
     ``broadcast_bytes``, else joined by a shuffle."""
     docs, old = plain_names(docs, "doc_id", "text")
-    lists = written(_drop_lists(docs, min_chars, min_docs, batches, fanout), "drop-lists")
-    size = lists.agg(F.sum(F.octet_length("drop") + 16)).first()[0] or 0
+    lists = _drop_lists(docs, min_chars, min_docs, batches, fanout)
+    # A row of the built relation takes some 100 bytes beside its list.
+    size = lists.agg(F.sum(F.octet_length("drop") + 100)).first()[0] or 0
     drop = free_name(docs, "drop")
     lines, dropped = free_name(docs, "n_lines", old), free_name(docs, "n_dropped", old)
     row_id = free_name(docs, "drop_id")

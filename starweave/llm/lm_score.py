@@ -1,23 +1,25 @@
 """Document scores by masked pseudo-likelihood of a bidirectional window network.
 
-Tokens are characters: the ``symbols`` most frequent ones of the whole corpus,
-and one for all others.  Every character is predicted from the ``WINDOW``
-characters on either side of it: their embeddings (one table per place) are
-added, go through tanh and give a softmax over the symbols.
+Tokens are the bytes of the text's UTF-8, so every character of every script has
+a probability of its own.  Every byte is predicted from the ``WINDOW``
+bytes on either side of it: their embeddings (one table per place) are
+added, go through tanh and give a softmax over the byte values.
 
 * Counting: all distinct windows of all documents with their counts, summed
   in each task and then by window.
-* Training: the counted windows, in numpy.  In each round every partition
+* Training: the counted windows, in numpy.  They are dealt by hash to a fixed
+  number of shards with a fixed order inside, so what is learned does not depend on
+  partitions or executors.  In each round every shard
   starts from the current weights and takes Adam steps over its windows,
-  weighted by count; the weights are averaged, weighted by the windows behind
-  them.  Only the weights (about 60 kB a partition) travel: ``SUMS`` tasks add
-  them up and the driver adds their sums.
-* Scoring: the network's log-probability of every character given both
+  weighted by count (``STEPS`` at least); the weights are averaged, weighted by the windows behind
+  them.  Only the weights travel, 170 kB a shard.  Rounds go on until the loss
+  falls by less than ``GAIN`` of itself.
+* Scoring: the network's log-probability of every byte given both
   sides, summed by document.  A window is evaluated once and remembered in a
   table of fixed size.
 
 Output, one row per input row: doc_id, n_tokens, log_prob (the sum),
-mean_log_prob (null without tokens).
+mean_log_prob (by token; null without tokens).  n_tokens counts bytes.
 
 Null or empty text: no tokens, log_prob 0.  Repeated and null doc_ids are
 scored like any row.  An empty table gives no rows.  Other columns are ignored.
@@ -32,57 +34,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, take, written
+from .common import forget, mix64, slices, take, written
 
-SYMBOLS = 95       # most frequent characters; others share one symbol
-WINDOW = 2         # characters seen on each side
+WINDOW = 2         # bytes seen on each side
+EDGE = 256         # the symbol beyond a text's ends
+SIZE = 257
 HIDDEN = 32
-ROUNDS = 4
+SHARDS = 8         # trainers
+ROUNDS = 12        # at most
+GAIN = 0.02        # share of the loss that a round must take away
 BATCH = 256
+STEPS = 100        # at least, of a trainer in a round: a small shard is gone over again
 RATE = 0.01
 SEED = 20
-SUMS = 8           # tasks that add up the partitions' weights
 SLICE = 2 << 20    # bytes of text at once
 TABLE_BITS = 20    # windows remembered by a task
 
 _PLACES = [k for k in range(-WINDOW, WINDOW + 1)]
 
 
-def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All characters as numbers, and the row of each."""
-    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return flat, np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-
-
-class Alphabet:
-    """Symbols 0 (any other character), 1..n, and n + 1 beyond a text's ends."""
-
-    def __init__(self, characters: list[int]):
-        self.characters = np.array(sorted(characters), np.uint32)
-        self.edge = len(characters) + 1
-        self.size = len(characters) + 2
-
-    def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A code for the window around each character, and the character's row."""
-        flat, row = code_points(texts)
-        place = np.searchsorted(self.characters, flat)
-        known = self.characters[np.minimum(place, len(self.characters) - 1)] == flat \
-            if len(self.characters) else np.zeros(len(flat), bool)
-        x = np.full(len(flat) + WINDOW * (len(texts) + 1), self.edge, np.int64)
-        at = np.arange(len(flat)) + WINDOW * (row + 1)
-        x[at] = np.where(known, place + 1, 0)
-        code = np.zeros(len(flat), np.int64)
-        for k in _PLACES:
-            code = code * self.size + x[at + k]
-        return code, row
-
-    def unpack(self, codes: np.ndarray) -> np.ndarray:
-        """The symbols of each window, a column per place."""
-        out = np.empty((len(codes), len(_PLACES)), np.int64)
-        for k in reversed(range(len(_PLACES))):
-            out[:, k] = codes % self.size
-            codes = codes // self.size
-        return out
+def token_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """All bytes, the row of each, and the number in each row."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    sizes = [len(r) for r in raw]
+    return np.frombuffer(b"".join(raw), np.uint8), np.repeat(np.arange(len(raw)), sizes), sizes
+
+
+def window_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """A code for the window around each byte, the byte's row, and bytes by row."""
+    flat, row, sizes = token_bytes(texts)
+    x = np.full(len(flat) + WINDOW * (len(texts) + 1), EDGE, np.int64)
+    at = np.arange(len(flat)) + WINDOW * (row + 1)
+    x[at] = flat
+    code = np.zeros(len(flat), np.int64)
+    for k in _PLACES:
+        code = code * SIZE + x[at + k]
+    return code, row, sizes
+
+
+def unpack(codes: np.ndarray) -> np.ndarray:
+    """The symbols of each window, a column per place."""
+    out = np.empty((len(codes), len(_PLACES)), np.int64)
+    for k in reversed(range(len(_PLACES))):
+        out[:, k] = codes % SIZE
+        codes = codes // SIZE
+    return out
 
 
 class Network:
@@ -114,10 +110,11 @@ class Network:
         return out
 
     def gradients(self, windows: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-        """Of the weighted mean cross-entropy."""
+        """Of the weighted mean cross-entropy, which is left in ``loss``."""
         e, _, w, _ = self.weights
         seen, middle = np.delete(windows, WINDOW, axis=1), windows[:, WINDOW]
         hidden, logs = self._forward(seen)
+        self.loss = -float(np.average(logs[np.arange(len(logs)), middle], weights=weight))
         d = np.exp(logs)
         d[np.arange(len(d)), middle] -= 1
         d *= (weight / weight.sum()).astype(np.float32)[:, None]
@@ -149,29 +146,12 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, [t or "" for t in part.column("text").to_pylist()]
 
 
-def learn_alphabet(docs: DataFrame, symbols: int = SYMBOLS) -> Alphabet:
-    """The most frequent characters of all documents (ties: the smaller)."""
-    def task(batches):
-        total: dict[int, int] = {}
-        for _, texts in _texts(batches):
-            for c, n in zip(*np.unique(code_points(texts)[0], return_counts=True)):
-                total[int(c)] = total.get(int(c), 0) + int(n)
-        if total:
-            yield pa.RecordBatch.from_pydict({
-                "c": pa.array(list(total), pa.int64()), "n": pa.array(list(total.values()), pa.int64())})
-
-    counts = take(docs, "text").mapInArrow(task, "c long, n long")
-    top = counts.groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(symbols)
-    return Alphabet([r["c"] for r in top.collect()])
-
-
-def count_windows(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
-    """(code, n): every window of all documents with its count, in an order
-    that mixes them (by hash)."""
+def count_windows(docs: DataFrame) -> DataFrame:
+    """(code, n): every window of all documents with its count."""
     def task(batches):
         codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for _, texts in _texts(batches):
-            new = np.sort(alphabet.windows(texts)[0])
+            new = np.sort(window_codes(texts)[0])
             edge = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1], [True]])) \
                 if len(new) else np.zeros(1, np.int64)
             both = np.concatenate([codes, new[edge[:-1]]])
@@ -188,67 +168,88 @@ def count_windows(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
 
     counted = take(docs, "text").mapInArrow(task, "code long, n long").groupBy("code") \
         .agg(F.sum("n").alias("n"))
-    return written(counted.sortWithinPartitions(F.xxhash64("code"), "code"), "windows")
-
+    return written(counted, "windows")
 
-_WEIGHTS = "n long, weights binary"
 
+_WEIGHTS = "shard int, n long, loss double, weights binary"
 
-def train(windows: DataFrame, alphabet: Alphabet, hidden: int = HIDDEN, rounds: int = ROUNDS,
-          rate: float = RATE, seed: int = SEED) -> Network:
-    """The network after ``rounds`` of local steps and averaging."""
-    net = Network(alphabet.size, hidden, seed)
 
+def train(windows: DataFrame, hidden: int = HIDDEN, rounds: int = ROUNDS, rate: float = RATE,
+          seed: int = SEED, shards: int = SHARDS, gain: float = GAIN) -> Network:
+    """The network after rounds of local steps and averaging."""
+    net = Network(SIZE, hidden, seed)
+    h = F.xxhash64("code")
+    # One shard to a task, in an order that mixes its windows.
+    dealt = windows.select("code", "n", F.pmod(h, F.lit(shards)).cast("int").alias("shard"),
+                           h.alias("h")).repartitionById(shards, "shard") \
+        .sortWithinPartitions("shard", "h", "code").drop("h")
+    last = None
     for turn in range(rounds):
         start = net.weights
         speed = rate / (1 + turn)
 
         def task(batches):
-            own = Network(alphabet.size, hidden, seed)
+            own = Network(SIZE, hidden, seed)
             own.weights = [w.copy() for w in start]
-            steps, total = Adam(own, speed), 0
-            for batch in batches:
-                codes, n = (batch.column(c).to_numpy() for c in ("code", "n"))
-                unpacked = alphabet.unpack(codes)
-                for at in range(0, len(codes), BATCH):
-                    steps.step(unpacked[at:at + BATCH], n[at:at + BATCH])
-                total += int(n.sum())
-            if total:
-                flat = np.concatenate([w.ravel() for w in own.weights])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([total], pa.int64()), pa.array([flat.tobytes()], pa.binary())],
-                    ["n", "weights"])
+            steps, total, lost, shard = Adam(own, speed), 0, 0.0, None
+            codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            held, rows = [], 0
+
+            def learn(final: bool):
+                nonlocal codes, counts, total, lost, rows
+                to = len(codes) if final else len(codes) - len(codes) % BATCH
+                unpacked = unpack(codes[:to])
+                for at in range(0, to, BATCH):
+                    n = counts[at:min(at + BATCH, to)]
+                    steps.step(unpacked[at:at + BATCH], n)
+                    total += int(n.sum())
+                    lost += own.loss * int(n.sum())
+                if rows < STEPS * BATCH:
+                    held.append((unpacked, counts[:to]))
+                rows += to
+                codes, counts = codes[to:], counts[to:]
 
-        def add(batches):
-            total, added = 0, 0.0
             for batch in batches:
-                for n, flat in zip(*(batch.column(c).to_pylist() for c in ("n", "weights"))):
-                    added = added + np.frombuffer(flat, np.float32).astype(np.float64) * n
-                    total += n
+                shard = batch.column("shard")[0].as_py() if batch.num_rows else shard
+                codes = np.concatenate([codes, batch.column("code").to_numpy()])
+                counts = np.concatenate([counts, batch.column("n").to_numpy()])
+                learn(False)
+            learn(True)
+            if 0 < rows < STEPS * BATCH:
+                unpacked, counts = (np.concatenate(x) for x in zip(*held))
+                while steps.t < STEPS:
+                    for at in range(0, rows, BATCH):
+                        steps.step(unpacked[at:at + BATCH], counts[at:at + BATCH])
             if total:
+                flat = np.concatenate([w.ravel() for w in own.weights])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([total], pa.int64()), pa.array([added.tobytes()], pa.binary())],
-                    ["n", "weights"])
+                    [pa.array([shard], pa.int32()), pa.array([total], pa.int64()),
+                     pa.array([lost]), pa.array([flat.tobytes()], pa.binary())],
+                    ["shard", "n", "loss", "weights"])
 
-        parts = written(windows.mapInArrow(task, _WEIGHTS), "weights")
-        sums = parts.coalesce(SUMS).mapInArrow(add, _WEIGHTS).collect()
-        total = sum(r["n"] for r in sums)
+        # A fixed number of rows, added up in a fixed order.
+        parts = sorted(dealt.mapInArrow(task, _WEIGHTS).collect(), key=lambda r: r["shard"])
+        total = sum(r["n"] for r in parts)
         if not total:
             break
-        added = sum(np.frombuffer(r["weights"], np.float64) for r in sums)
-        mean = (added / total).astype(np.float32)
+        mean = (sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * r["n"]
+                    for r in parts) / total).astype(np.float32)
         net.weights, at = [], 0
         for w in start:
             net.weights.append(mean[at:at + w.size].reshape(w.shape).copy())
             at += w.size
+        loss = sum(r["loss"] for r in parts) / total
+        if last is not None and loss > last * (1 - gain):
+            break
+        last = loss
     return net
 
 
 class _Memory:
     """Log-probabilities by window: a table with one place per hash value."""
 
-    def __init__(self, net: Network, alphabet: Alphabet):
-        self.net, self.alphabet = net, alphabet
+    def __init__(self, net: Network):
+        self.net = net
         self.code = np.full(1 << TABLE_BITS, -1, np.int64)
         self.log = np.zeros(1 << TABLE_BITS, np.float64)
 
@@ -258,7 +259,7 @@ class _Memory:
         missed = np.flatnonzero(self.code[place] != codes)
         if len(missed):
             new, which = np.unique(codes[missed], return_inverse=True)
-            logs = self.net.log_probs(self.alphabet.unpack(new))
+            logs = self.net.log_probs(unpack(new))
             out[missed] = logs[which]
             place = (mix64(new.view(np.uint64)) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
             self.code[place], self.log[place] = new, logs
@@ -266,15 +267,15 @@ class _Memory:
         return out
 
 
-def score(docs: DataFrame, net: Network, alphabet: Alphabet) -> DataFrame:
+def score(docs: DataFrame, net: Network) -> DataFrame:
     """doc_id, n_tokens, log_prob, mean_log_prob of every row."""
     def task(batches):
-        memory = _Memory(net, alphabet)
+        memory = _Memory(net)
         for part, texts in _texts(batches):
-            codes, row = alphabet.windows(texts)
+            codes, row, sizes = window_codes(texts)
             sums = np.bincount(row, memory.log_probs(codes), len(texts))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
+                [part.column("doc_id"), pa.array(sizes, pa.int64()),
                  pa.array(sums, pa.float64())], ["doc_id", "n_tokens", "log_prob"])
 
     scored = take(docs, "doc_id", "text").mapInArrow(
@@ -283,9 +284,10 @@ def score(docs: DataFrame, net: Network, alphabet: Alphabet) -> DataFrame:
         F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
 
 
-def pseudo_likelihood(docs: DataFrame, symbols: int = SYMBOLS, hidden: int = HIDDEN,
-                      rounds: int = ROUNDS, rate: float = RATE, seed: int = SEED) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, hidden: int = HIDDEN, rounds: int = ROUNDS,
+                      rate: float = RATE, seed: int = SEED, shards: int = SHARDS) -> DataFrame:
     """Train on all documents and score all documents."""
-    alphabet = learn_alphabet(docs, symbols)
-    net = train(count_windows(docs, alphabet), alphabet, hidden, rounds, rate, seed)
-    return score(docs, net, alphabet)
+    windows = count_windows(docs)
+    net = train(windows, hidden, rounds, rate, seed, shards)
+    forget(windows)
+    return score(docs, net)

@@ -1,7 +1,7 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document's set is its distinct word shingles (A-Z lower-cased).  Documents
-with equal sets form a class, held by its smallest doc_id, so exact copies
+with equal sets form a class, so exact copies
 never meet as pairs.  Each class has minwise tokens, which agree in two sets
 with probability equal to their Jaccard similarity.
 
@@ -19,9 +19,9 @@ The join is a recursion over nodes, one level at a time for all trees:
 * of the others, a node with at most ``limit`` members outside its leader's
   component is small: those are compared with all members of other
   components, by a join that emits close pairs only, and confirmed;
-* a node with more, but at most ``node_shingles`` shingles in all, is compared
-  exhaustively by one task on the full sets, which returns only links that
-  join components, fewer than it has members;
+* a node with more, but at most ``node_shingles`` shingles in all and ``node_work``
+  comparisons of them, is compared exhaustively by one task on the full sets,
+  which returns only links that join components, fewer than it has members;
 * a larger node branches again.  At the last level it counts as small, so no
   node is given up.
 
@@ -34,12 +34,18 @@ Where nodes branched more often, their members go through further trees, until
 there are as many as the depth reached needs (``trees_for``: 12 at depth 3, 36
 at 16).
 
+The first tree's leaders go before all others, so most copies are in one component
+before further trees are looked at.  A node's rows are dealt out where they are many, and
+every intermediate table is deleted once the next one is committed.
+
 Output, one row per input row: doc_id, n_shingles, component_id (smallest
-doc_id reachable, itself included), kept (doc_id = component_id).
+doc_id reachable, itself included), kept (doc_id = component_id), text_key
+(xxhash64 of the text) and group_id (a number for the component; null where the
+set is empty), which tell apart texts that share a doc_id.
 
 Null text, no words: an empty set, linked with nothing, kept.  Fewer words
-than a shingle: the whole sequence is the one shingle.  Repeated doc_ids are
-one document with several rows.  A null doc_id takes the component of an
+than a shingle: the whole sequence is the one shingle.  Repeated doc_ids: a row
+each, by its own text; equal ids alone link nothing.  A null doc_id takes the component of an
 equal text that has an id, else null; it is kept if that is null too.  An
 empty table gives no rows; other columns are ignored.
 """
@@ -55,9 +61,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (SOLID, flat, gram_hashes, mix64, seeds64, slices, take, word_hashes,
-                     word_spans, written)
-from .components import components
+from .common import (SOLID, by_key, flat, forget, gram_hashes, mix64, release_memory, seeds64,
+                     slices, take, word_hashes, word_spans, written)
+from .components import extended
 
 SHINGLE = 5
 THRESHOLD = 80      # percent
@@ -65,6 +71,8 @@ TREES = 10          # at least; see trees_for()
 MISS = 1e-5         # chance that a pair at the threshold meets in no tree
 LIMIT = 64          # members outside the leader's component, compared by a join
 NODE_SHINGLES = 2_000_000  # of a node compared in one task (16 MB)
+NODE_WORK = 1 << 30  # members outside the leader's component times shingles, likewise
+SALT_ROWS = 4096     # members of a node in one share of a join
 LEVELS = 16
 TOKENS = 128        # minwise tokens of a set, of which one bit is kept
 POSITIONS = 32      # columns of a table of tokens for children()
@@ -156,7 +164,8 @@ def trees_for(depth: int, threshold: int = THRESHOLD, miss: float = MISS) -> int
     return math.ceil(math.log(miss) / math.log(chance)) if chance > 0 else 1
 
 
-_SIGNED = "doc_id long, n_shingles long, digest binary, nodes array<long>, s1 long, s2 long"
+_SIGNED = ("doc_id long, text_key long, n_shingles long, digest binary, nodes array<long>, "
+           "s1 long, s2 long")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -184,72 +193,87 @@ def _signatures(docs: DataFrame, k: int, trees: int) -> DataFrame:
                 for b, h in zip(bits, halves):
                     b.append(h)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(nodes, pa.list_(pa.int64())), *(pa.array(b, pa.int64()) for b in bits)],
-                names=["doc_id", "n_shingles", "digest", "nodes", "s1", "s2"])
+                names=["doc_id", "text_key", "n_shingles", "digest", "nodes", "s1", "s2"])
+        release_memory()
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        task, _SIGNED)
+
 
-    return docs.mapInArrow(task, _SIGNED)
+_MEMBER = ("n", "s1", "s2")
 
 
-_MEMBER = ("doc", "n", "s1", "s2")
+def _texts_of(docs: DataFrame, classes: DataFrame, broadcast_ids: int) -> DataFrame:
+    """The texts of some classes: rows of ``docs`` with the doc_id that stands for
+    a class, and the class's columns.  Other texts with that doc_id come along; the
+    digest tells them apart."""
+    few = classes.count() <= broadcast_ids
+    return docs.join(F.broadcast(classes) if few else classes.hint("merge"), "doc_id")
 
 
-def _frontier(rows: DataFrame) -> DataFrame:
-    return rows.select(F.explode("nodes").alias("node"), *_MEMBER)
+def _own_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, set) of the rows whose text is the class's."""
+    digests = batch.column("digest").to_pylist()
+    for i, (s, digest) in enumerate(zip(shingle_sets(batch, k), digests)):
+        if len(s) and _digest(s) == digest:
+            yield i, s
 
 
-def _branch(lists: DataFrame, classes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """The next frontier, from the nodes (an array) of each document."""
-    own = classes.select(*_MEMBER, "digest").join(lists, "doc")
-    joined = texts.join(own.withColumnRenamed("doc", "doc_id"), "doc_id")
+def _branch(lists: DataFrame, classes: DataFrame, texts: DataFrame, k: int, broadcast_ids: int
+            ) -> DataFrame:
+    """The next frontier (node, doc), from the nodes (an array) of each class."""
+    own = classes.select("doc", "doc_id", "digest").join(lists, "doc")
+    own = written(own, "lists")
 
     def task(batches):
         for batch in batches:
-            # Of several texts with one doc_id, the one that stands for it.
             rows, nodes = [], []
-            for i, (s, digest) in enumerate(zip(shingle_sets(batch, k),
-                                                batch.column("digest").to_pylist())):
-                if len(s) and _digest(s) == digest:
-                    at = batch.column("nodes")[i].values.to_numpy().view(np.uint64)
-                    rows.append(i)
-                    nodes.append(grown(at, s).view(np.int64))
-            member = [batch.column(c).take(pa.array(rows, pa.int64()))
-                      for c in ("doc_id", "n", "s1", "s2")]
+            for i, s in _own_sets(batch, k):
+                rows.append(i)
+                nodes.append(grown(batch.column("nodes")[i].values.to_numpy().view(np.uint64), s)
+                             .view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.list_(pa.int64())), *member], names=["nodes", *_MEMBER])
+                [pa.array(nodes, pa.list_(pa.int64())),
+                 batch.column("doc").take(pa.array(rows, pa.int64()))], names=["nodes", "doc"])
 
-    found = joined.mapInArrow(task, "nodes array<long>, doc long, n long, s1 long, s2 long")
-    return _frontier(found.dropDuplicates(["doc"]))
+    found = _texts_of(texts, own, broadcast_ids).mapInArrow(task, "nodes array<long>, doc long")
+    frontier = written(found.select(F.explode("nodes").alias("node"), "doc"), "frontier")
+    forget(own)
+    return frontier
 
 
 def _close(a1, a2, b1, b2):
     return F.bit_count(a1.bitwiseXOR(b1)) + F.bit_count(a2.bitwiseXOR(b2)) <= MAX_DIFFERENT
 
 
-def _sets(ids: DataFrame, docs: DataFrame, k: int, broadcast_ids: int) -> DataFrame:
-    """(doc, shingles) of the documents with these ids (distinct doc_id)."""
-    ids = written(ids, "ids")
-    few = ids.count() <= broadcast_ids
-    texts = docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi")
+def _sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, k: int, broadcast_ids: int
+          ) -> DataFrame:
+    """(doc, shingles) of the classes with these ids (distinct doc)."""
+    own = written(ids.join(classes.select("doc", "doc_id", "digest"), "doc"), "ids")
 
     def task(batches):
         for batch in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(batch, k)]
+            found = list(_own_sets(batch, k))
+            rows, sets = zip(*found) if found else ((), ())
             at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(at), pa.array(values))],
+                [batch.column("doc").take(pa.array(rows, pa.int64())),
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(values))],
                 names=["doc", "shingles"])
+        release_memory()
 
-    return written(texts.mapInArrow(task, "doc long, shingles array<long>"), "sets")
+    sets = written(_texts_of(docs, own, broadcast_ids).mapInArrow(
+        task, "doc long, shingles array<long>"), "sets")
+    forget(own)
+    return sets
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, broadcast_ids: int
-               ) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _sets(ids, docs, k, broadcast_ids)
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b") \
+    both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a") \
         .select("a", "b", (F.size("sa") + F.size("sb")).alias("sizes"),
                 F.size(F.array_intersect("sa", "sb")).alias("same"))
     return both.where(F.col("same") * 100 >= (F.col("sizes") - F.col("same")) * threshold) \
@@ -292,11 +316,9 @@ def node_links(docs: list[int], states: list[int], sets: list[np.ndarray], thres
     return links
 
 
-def _node_links(rows: DataFrame, texts: DataFrame, k: int, threshold: int, broadcast_ids: int
-                ) -> DataFrame:
+def _node_links(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links inside whole nodes (node, doc, c), each compared by one task."""
-    sets = _sets(rows.select(F.col("doc").alias("doc_id")).distinct(), texts, k, broadcast_ids)
-    grouped = rows.join(sets.dropDuplicates(["doc"]), "doc") \
+    grouped = rows.join(sets, "doc") \
         .select("node", "doc", "c", "shingles").repartition("node") \
         .sortWithinPartitions("node", "doc")
 
@@ -329,28 +351,34 @@ def _node_links(rows: DataFrame, texts: DataFrame, k: int, threshold: int, broad
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
                     trees: int = TREES, limit: int = LIMIT, node_shingles: int = NODE_SHINGLES,
-                    levels: int = LEVELS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+                    levels: int = LEVELS, broadcast_ids: int = BROADCAST_IDS,
+                    node_work: int = NODE_WORK, salt_rows: int = SALT_ROWS) -> DataFrame:
     """One row per document with its component; see the module's text."""
     docs = take(docs, "doc_id", "text")
     trees = max(trees, trees_for(1, threshold))
     signed = written(_signatures(docs, shingle, trees), "signatures")
-    named = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"),
-        F.first("nodes").alias("nodes"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
-    named = written(named, "classes")
-    classes = named.where(F.col("doc").isNotNull()).dropDuplicates(["doc"])
+    # A class's own number (doc) stands for it: several texts may have one doc_id.
+    named = written(signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"),
+        F.first("n_shingles").alias("n"), F.first("nodes").alias("nodes"),
+        F.first("s1").alias("s1"), F.first("s2").alias("s2")).withColumn(
+        "doc", F.monotonically_increasing_id()), "classes")
+    classes = named.where(F.col("doc_id").isNotNull())
     texts = docs.where(F.col("doc_id").isNotNull())
 
-    links: DataFrame | None = None
     joined: DataFrame | None = None  # doc, component
     checked: DataFrame | None = None
 
     def link(found: DataFrame) -> None:
-        nonlocal links, joined
+        nonlocal joined
         found = written(found, "links")
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            joined = components(links)
+            before, joined = joined, written(extended(joined, found), "joined")
+            forget(before)
+        forget(found)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return _sets(ids.distinct(), classes, texts, shingle, broadcast_ids)
 
     def examine(pairs: DataFrame) -> None:
         """Confirm pairs that no level has looked at, and join their components."""
@@ -361,7 +389,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
             checked = pairs if checked is None else checked.unionByName(pairs)
-            link(_confirmed(pairs, texts, shingle, threshold, broadcast_ids))
+            sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc")))
+            link(_confirmed(pairs, sets, threshold))
+            forget(sets)
 
     def with_component(rows: DataFrame) -> DataFrame:
         if joined is None:
@@ -369,75 +399,111 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         return rows.join(joined, "doc", "left").withColumn(
             "c", F.coalesce("component", "doc")).drop("component")
 
-    frontier = _frontier(classes)
-    deep: DataFrame | None = None  # documents whose nodes branched
+    def members_of(frontier: DataFrame, pick) -> DataFrame:
+        """The members of nodes that hold several components, each with its
+        node's size, shingles and leader."""
+        rows = written(with_component(frontier), "rows")
+        nodes = written(rows.groupBy("node").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("c").alias("low"), F.max("c").alias("high"))
+            .where("low < high").select("node", "rows", F.col("rows").alias("size")), "nodes")
+        inside = written(by_key(rows, nodes, "node").join(
+            classes.select("doc", *_MEMBER), "doc"), "inside")
+        leads = written(inside.groupBy("node").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"),
+            pick(F.struct("doc", "s1", "s2", "c")).alias("lead")), "leads")
+        members = written(by_key(inside.drop("n"), leads, "node"), "members")
+        forget(rows, nodes, inside, leads)
+        return members
+
+    def meet_leaders(members: DataFrame) -> None:
+        examine(members.where(F.col("c") != F.col("lead.c")).where(
+            _close(F.col("s1"), F.col("s2"), F.col("lead.s1"), F.col("lead.s2"))).select(
+            F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b")))
+
+    # The first tree's leaders alone join most copies, which then meet no other tree's.
+    first = members_of(classes.select(F.col("nodes")[0].alias("node"), "doc"), F.min)
+    meet_leaders(first)
+    forget(first)
+
+    frontier = classes.select(F.explode("nodes").alias("node"), "doc")
+    deep: DataFrame | None = None  # classes whose nodes branched
     reached = 1  # depth of the deepest nodes
     while True:
         for level in range(levels):
             last = level == levels - 1
-            pick = F.min if level % 2 == 0 else F.max  # another leader than a level before
-            nodes = frontier.groupBy("node").agg(
-                F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
-                pick(F.struct("doc", "s1", "s2")).alias("lead")).where("members > 1").drop("members")
-            members = written(frontier.drop("n").join(nodes, "node"), "members")
-            examine(members.where("doc <> lead.doc").where(
-                _close(F.col("s1"), F.col("s2"), F.col("lead.s1"), F.col("lead.s2"))).select(
-                F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b")))
-
-            rows = with_component(members.withColumn("leads", F.col("doc") == F.col("lead.doc"))
-                                  .drop("lead"))
+            pick = F.max if level % 2 == 0 else F.min  # another leader than a level before
+            members = members_of(frontier, pick)
+            forget(frontier)
+            meet_leaders(members)
+
+            rows = with_component(members.drop("c").withColumn(
+                "leads", F.col("doc") == F.col("lead.doc")).drop("lead"))
             states = rows.groupBy("node").agg(
-                F.min("c").alias("low"), F.max("c").alias("high"),
-                F.max(F.when(F.col("leads"), F.col("c"))).alias("lead_c")).where("low < high")
-            open_rows = written(rows.join(states.select("node", "lead_c"), "node").select(
-                "node", "doc", "shingles", "s1", "s2", "c", (F.col("c") != F.col("lead_c")).alias("far")),
-                "open")
-            counts = open_rows.where("far").groupBy("node", "shingles").agg(
-                F.count(F.lit(1)).alias("outside"))
+                F.count(F.lit(1)).alias("rows"), F.min("c").alias("low"), F.max("c").alias("high"),
+                F.max(F.when(F.col("leads"), F.col("c"))).alias("lead_c"))
+            states = written(states.where("low < high").select("node", "rows", "lead_c"), "states")
+            open_rows = written(by_key(rows, states, "node").select(
+                "node", "doc", "size", "shingles", "s1", "s2", "c",
+                (F.col("c") != F.col("lead_c")).alias("far")), "open")
+            counts = written(open_rows.where("far").groupBy("node", "size", "shingles").agg(
+                F.count(F.lit(1)).alias("outside")), "counts")
             is_small = F.col("outside") <= limit
-            whole = ~is_small & (F.col("shingles") <= node_shingles)
+            whole = ~is_small & (F.col("shingles") <= node_shingles) & (
+                F.col("outside") * F.col("shingles") <= node_work)
             if last:
-                is_small = is_small | (F.col("shingles") > node_shingles)
+                is_small = is_small | ~whole
 
+            # A large node's members are dealt out; those outside go to every share.
+            shares = F.ceil(F.col("size") / salt_rows).cast("int")
+            salt = F.pmod(F.xxhash64("doc"), shares).cast("int").alias("salt")
             far = open_rows.where("far").join(counts.where(is_small).select("node"), "node",
                                               "left_semi").select(
                 "node", F.col("doc").alias("x"), F.col("c").alias("xc"),
-                F.col("s1").alias("x1"), F.col("s2").alias("x2"))
-            met = far.join(open_rows, "node").where(
+                F.col("s1").alias("x1"), F.col("s2").alias("x2"),
+                F.explode(F.sequence(F.lit(0), shares - 1)).alias("salt"))
+            met = far.join(open_rows.select("*", salt), ["node", "salt"]).where(
                 (F.col("c") != F.col("xc")) & (~F.col("far") | (F.col("doc") < F.col("x")))
                 & _close(F.col("s1"), F.col("s2"), F.col("x1"), F.col("x2")))
             examine(met.select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b")))
 
             rest = written(open_rows.select("node", "doc", "c").join(
                 counts.where(~is_small).select("node", whole.alias("whole")), "node"), "rest")
+            forget(members, states, open_rows, counts)
             if rest.isEmpty():
+                forget(rest)
                 break
             in_task = rest.where("whole").drop("whole")
             if not in_task.isEmpty():
-                link(_node_links(in_task, texts, shingle, threshold, broadcast_ids))
+                sets = sets_of(in_task.select("doc"))
+                link(_node_links(in_task, sets, threshold))
+                forget(sets)
             large = rest.where("not whole")
             if last or large.isEmpty():
+                forget(rest)
                 break
             branched = large.select("doc").distinct()
-            deep = branched if deep is None else deep.unionByName(branched)
+            deep = written(branched if deep is None else deep.unionByName(branched).distinct(), "deep")
             reached = max(reached, level + 2)
             lists = large.groupBy("doc").agg(F.collect_list("node").alias("nodes"))
-            frontier = written(_branch(lists, classes, texts, shingle), "frontier")
+            frontier = _branch(lists, classes, texts, shingle, broadcast_ids)
+            forget(rest)
         # A pair's nodes can only have branched where both of its documents were.
         more = trees_for(reached, threshold) - trees
         if deep is None or more <= 0:
             break
         roots = F.array(*[F.lit(int(r)) for r in seeds64(trees + more, 21)[trees:].view(np.int64)])
-        deep = written(deep.distinct(), "deep")
-        frontier = written(_branch(deep.withColumn("nodes", roots), classes, texts, shingle),
-                           "frontier")
+        frontier = _branch(deep.withColumn("nodes", roots), classes, texts, shingle, broadcast_ids)
         trees += more
 
-    class_of = with_component(named.select("digest", "doc")) if joined is not None \
-        else named.select("digest", "doc", F.col("doc").alias("c"))
-    plain = signed.select("doc_id", "n_shingles", "digest")
-    out = plain.join(class_of.select("digest", "c"), "digest", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("c"))
-        .alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of_class = with_component(named.select("doc", "doc_id", "digest", "rows"))
+    least = of_class.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    of_class = written(of_class.join(least, "c").select(
+        "digest", "rows", "component_id", F.col("c").alias("group_id")), "of-class")
+    plain = signed.select("doc_id", "n_shingles", "digest", "text_key")
+    empty = plain.where(F.col("digest").isNull()).withColumn(
+        "component_id", F.col("doc_id")).withColumn("group_id", F.lit(None).cast("long"))
+    out = by_key(plain.where(F.col("digest").isNotNull()), of_class, "digest").unionByName(empty)
+    forget(named, joined)
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+                      "text_key", "group_id")

@@ -26,7 +26,8 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(documents(spark, sf_dir), shingle=4)
+    return near_dup.near_duplicates(documents(spark, sf_dir), shingle=4).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from llm_hard import SF_SMALL, hard, nothing  # noqa: F401
+from llm_hard import SF_SMALL, edited, hard, nothing, prose  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import compare, duck
@@ -74,6 +74,22 @@ def test_near_duplicates_hard_rows(hard, nothing, shingle):
     assert near_dup.near_duplicates(nothing).count() == 0
 
 
+def test_texts_that_share_a_doc_id_keep_their_links(spark):
+    from corpus_pipeline import drop_near_duplicates
+    a, b = prose(1, 120), prose(2, 120)
+    rows = [(1, a), (1, b), (2, edited(b, 3, 0.01)), (3, edited(a, 4, 0.01)), (4, prose(5, 60)),
+            (5, a + " one more"), (5, prose(6, 80)), (6, ""), (6, ""), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["text_key"]): r["component_id"]
+           for r in near_dup.near_duplicates(df, shingle=4).collect()}
+    key = {r["text"]: r["k"] for r in df.selectExpr("text", "xxhash64(text) AS k").collect()}
+    want = [1, 1, 1, 1, 4, 1, 5, 6, 6, 6]
+    assert got == {(d, key[t]): c for (d, t), c in zip(rows, want)}
+    kept = sorted((r["doc_id"], r["text"] or "") for r in drop_near_duplicates(spark, df, "").collect())
+    # Both texts of 1 and the unlinked one of 5 stay; equal rows are one.
+    assert kept == sorted([(1, a), (1, b), (4, prose(5, 60)), (5, prose(6, 80)), (6, ""), (6, "")])
+
+
 def _copies(n: int, share: float):
     from random import Random
     rnd = Random(5)
@@ -235,7 +251,7 @@ def test_line_dedup_without_room_to_broadcast(hard):
                    for r in got.collect()) == line_brute(rows, 10, 2)
 
 
-def test_runs_are_levelled_sorted_and_tell_fresh_keys(spark):
+def test_runs_are_levelled_sorted_and_hold_a_key_once(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
     assert runs.totals() is None
     for b in range(5):
@@ -246,8 +262,13 @@ def test_runs_are_levelled_sorted_and_tell_fresh_keys(spark):
     total = {r["h"][0]: (r["docs"], r["last"]) for r in runs.totals().collect()}
     assert total == {k: (sum(b <= k < b + 4 for b in range(5)), max(b for b in range(5) if b <= k < b + 4))
                      for k in range(8)}
-    fresh = runs._rows(runs.paths()).where("fresh")
-    assert fresh.count() == 8  # every key is new in one batch only
+    # The anti-join keeps a key out of all later runs; what it kept out was added.
+    rows = runs._rows(runs.paths())
+    assert rows.count() == rows.select("h").distinct().count() == 8
+    assert len(runs.later) == 1 and runs._rows(runs.later).count() == 6
+    for path in runs.paths():
+        for part in spark.read.parquet(path).rdd.mapPartitions(lambda it: [[r["h"] for r in it]]).collect():
+            assert part == sorted(part)
 
 
 # -- quality rules -----------------------------------------------------------

@@ -109,31 +109,29 @@ def test_gradients_equal_differences():
 
 
 def test_windows_see_both_sides_and_never_other_texts():
-    alphabet = lm_score.Alphabet([ord(c) for c in "abc"])
-    codes, row = alphabet.windows(["ab", "", "c\U0001f600"])
-    e = alphabet.edge
-    assert alphabet.unpack(codes).tolist() == [
-        [e, e, 1, 2, e], [e, 1, 2, e, e], [e, e, 3, 0, e], [e, 3, 0, e, e]]
-    assert row.tolist() == [0, 0, 2, 2]
-
-
-def test_counts_cover_every_character(spark, hard):
-    alphabet = lm_score.learn_alphabet(hard)
-    counted = {r["code"]: r["n"] for r in lm_score.count_windows(hard, alphabet).collect()}
-    want = Counter(alphabet.windows([r["text"] or "" for r in hard.collect()])[0].tolist())
+    codes, row, sizes = lm_score.window_codes(["ab", "", "cé"])
+    e, a = lm_score.EDGE, 97
+    assert lm_score.unpack(codes).tolist() == [
+        [e, e, a, a + 1, e], [e, a, a + 1, e, e],
+        [e, e, a + 2, 0xC3, 0xA9], [e, a + 2, 0xC3, 0xA9, e], [a + 2, 0xC3, 0xA9, e, e]]
+    assert row.tolist() == [0, 0, 2, 2, 2] and sizes == [2, 0, 3]
+
+
+def test_counts_cover_every_byte(spark, hard):
+    counted = {r["code"]: r["n"] for r in lm_score.count_windows(hard).collect()}
+    want = Counter(lm_score.window_codes([r["text"] or "" for r in hard.collect()])[0].tolist())
     assert counted == want
 
 
 def test_scores_are_the_networks_sums(spark, hard, nothing):
-    alphabet = lm_score.learn_alphabet(hard)
-    net = lm_score.train(lm_score.count_windows(hard, alphabet), alphabet)
+    net = lm_score.train(lm_score.count_windows(hard))
     texts = [(r["doc_id"], r["text"] or "") for r in hard.collect()]
     want = []
     for doc, t in texts:
-        logs = net.log_probs(alphabet.unpack(alphabet.windows([t])[0]))
-        want.append((doc is not None, doc, len(t), float(logs.sum())))
+        logs = net.log_probs(lm_score.unpack(lm_score.window_codes([t])[0]))
+        want.append((doc is not None, doc, len(t.encode()), float(logs.sum())))
     got = [(r["doc_id"] is not None, r["doc_id"], r["n_tokens"], r["log_prob"])
-           for r in lm_score.score(hard, net, alphabet).collect()]
+           for r in lm_score.score(hard, net).collect()]
     key = lambda r: (r[0], r[1] or 0, r[2], round(r[3], 3))
     for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
         assert a[:3] == b[:3] and np.isclose(a[3], b[3], rtol=1e-6, atol=1e-6)
@@ -141,20 +139,43 @@ def test_scores_are_the_networks_sums(spark, hard, nothing):
     assert blank.columns == ["doc_id", "n_tokens", "log_prob", "mean_log_prob"] and blank.count() == 0
 
 
+def _means(spark, train, judged):
+    df = spark.createDataFrame(train, "doc_id long, text string")
+    net = lm_score.train(lm_score.count_windows(df))
+    rows = lm_score.score(spark.createDataFrame(judged, "doc_id long, text string"), net).collect()
+    return {r["doc_id"]: r["mean_log_prob"] for r in rows}
+
+
 def test_real_text_scores_above_shuffled_text(spark):
-    docs = [(i, prose(i, 150)) for i in range(60)]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
     rnd = random.Random(9)
     held = [(i, prose(1000 + i, 150)) for i in range(20)]
     mixed = [(100 + i, "".join(rnd.sample(t, len(t)))) for i, t in held]
-    alphabet = lm_score.learn_alphabet(df)
-    net = lm_score.train(lm_score.count_windows(df, alphabet), alphabet)
-    rows = lm_score.score(spark.createDataFrame(held + mixed, "doc_id long, text string"),
-                          net, alphabet).collect()
-    mean = {r["doc_id"]: r["mean_log_prob"] for r in rows}
+    mean = _means(spark, [(i, prose(i, 150)) for i in range(60)], held + mixed)
     assert max(mean[100 + i] for i in range(20)) < min(mean[i] for i in range(20))
-    flat = -np.log(alphabet.size)
-    assert min(mean[i] for i in range(20)) > flat / 2
+    assert min(mean[i] for i in range(20)) > -np.log(lm_score.SIZE) / 2
+
+
+def test_noise_in_rare_scripts_scores_below_real_text(spark):
+    rnd = random.Random(4)
+    real = [(i, prose(i, 150)) for i in range(60)]
+    noise = [(100 + i, "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(300))) for i in range(10)]
+    noise += [(200 + i, "".join(chr(rnd.randint(0x400, 0x4FF)) for _ in range(300))) for i in range(10)]
+    mean = _means(spark, real + noise, real + noise)
+    assert max(m for d, m in mean.items() if d >= 100) < min(mean[i] for i in range(60))
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([(i, prose(i, 120)) for i in range(50)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in (1, 8, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            rows = lm_score.pseudo_likelihood(df.repartition(n)).orderBy("doc_id").collect()
+            found.append(np.array([r["mean_log_prob"] for r in rows]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert np.allclose(found[0], found[1], atol=1e-6) and np.allclose(found[0], found[2], atol=1e-6)
 
 
 # -- preference formatting ---------------------------------------------------
@@ -347,7 +368,7 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
     code = "import __spark_entry__ as e; print(sorted(e.queries())[0], len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                          check=True)
-    assert out.stdout.split() == ["business_key_tests", "16"]
+    assert out.stdout.split() == ["business_key_tests", "18"]
 
 
 @pytest.mark.parametrize("name", ["op2_lm_score", "op7_language_id"])
