@@ -27,13 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, take
+from .common import release_memory, slices, take
 from .tokens import encoder, tokenizer_path
 
 CAPACITY = 2048
 END_ID = 1
 WINDOWS = 128     # windows in a block
 MAX_PIECE = 256   # a remainder is cut into pieces of at most this many ids
+SLICE = 1 << 18   # bytes of text encoded at once
 SLACK = 8         # ids a window that a block leaves free, for uneven slots
 
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -154,7 +155,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         packer = Packer(TaskContext.get().partitionId(), capacity, windows, max_piece, slack)
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 texts = part.column("text").to_pylist()
                 flat, at = encoder(path).encode(texts)
                 for i, doc in enumerate(part.column("doc_id").to_pylist()):
@@ -164,5 +165,6 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         packer.close()
         if packer.rows:
             yield packer.drain()
+        release_memory()
 
     return take(docs, "doc_id", "text").mapInArrow(task, SCHEMA)

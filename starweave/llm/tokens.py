@@ -15,8 +15,9 @@ import re
 
 import numpy as np
 
-# Distinct chunks remembered by a Python worker; then it starts afresh.
-CACHE_CHUNKS = 1_000_000
+# Distinct chunks remembered by a Python worker (about 70 MB); beyond, it
+# forgets all but the half that was asked for most.
+CACHE_CHUNKS = 300_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # White space next to a space, the plain cases; any other white space at all.
@@ -95,6 +96,21 @@ class ChunkEncoder:
     def _reset(self) -> None:
         self.known = _Numbers()
         self.ids = _Ids()
+        self.asked = np.zeros(1 << 14, np.int64)  # by number, since the last forgetting
+
+    def _forget(self) -> None:
+        known, ids, asked = self.known, self.ids, self.asked[:self.ids.n]
+        keep = np.sort(np.argsort(-asked, kind="stable")[:self.cache // 2])
+        keep = keep[asked[keep] > 1]
+        chunks = list(known)
+        self._reset()
+        for i in keep.tolist():
+            self.known[chunks[i]]
+        self.known.new = []
+        start, size = ids.at[keep], ids.at[keep + 1] - ids.at[keep]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        self.ids.add(ids.flat[np.arange(total) + np.repeat(start - (ends - size), size)], size)
 
     def _each(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -129,7 +145,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > self.cache:
-            self._reset()
+            self._forget()
         pieces: list[str] = []
         heads: list[str] = []
         counts = np.zeros(len(texts) + 1, np.int64)
@@ -144,6 +160,9 @@ class ChunkEncoder:
         if known.new:
             self._learn(known.new)
             known.new = []
+        while len(self.asked) < self.ids.n:
+            self.asked = np.concatenate([self.asked, np.zeros_like(self.asked)])
+        self.asked[:self.ids.n] += np.bincount(which, minlength=self.ids.n)
         at, flat = self.ids.at, self.ids.flat
         start, size = at[which], at[which + 1] - at[which]
         if heads:  # the first chunk of a text has no space before it
