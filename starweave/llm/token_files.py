@@ -207,7 +207,9 @@ def read(spark: SparkSession, files: DataFrame, doc_ids: Iterable[int] | None =
                     if held:
                         yield _documents(held)
 
-    spread = files.repartition("file")
+    # A file is one small row here and a task's work there: each goes to a task of its own.
+    place = (F.row_number().over(Window.orderBy("file")) - 1).alias("place")
+    spread = files.select("file", "base", place).repartitionById(max(1, files.count()), "place")
     return spread.select("file", "base").mapInArrow(task, DOCUMENT_SCHEMA)
 
 
