@@ -32,8 +32,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ MIN_COUNT = 3
 RATIO = 2
 SLIP = 97       # a run is cut short where this divides its hash
 TILE = 1024     # words on one side of a tile
-CELLS = 1 << 22  # code points compared at once
+CELLS = 1 << 19  # code points (or rows of up to 8) compared at once
 FLUSH = 200_000  # distinct words held by a task
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -67,7 +68,7 @@ def word_counts(docs: DataFrame, slip: int = SLIP, flush: int = FLUSH) -> DataFr
     """(word, n) of all runs of all texts."""
 
     def task(batches):
-        counts = defaultdict(int)
+        counts = Counter()
 
         def send():
             out = pa.RecordBatch.from_arrays(
@@ -81,23 +82,23 @@ def word_counts(docs: DataFrame, slip: int = SLIP, flush: int = FLUSH) -> DataFr
                 text = text.as_py()
                 if not text:
                     continue
-                own = defaultdict(int)
-                for run in RUN.findall(text.encode().lower().decode()):  # bytes: A-Z only
-                    own[run] += 1
-                seed = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-                for run, n in own.items():
-                    if slip:
-                        h = zlib.crc32(run.encode(), seed)
-                        if h % slip == 0:
-                            run = slips(doc_id, run, slip)
-                    counts[run] += n
+                runs = RUN.findall(text.encode().lower().decode())  # bytes: A-Z only
+                counts.update(runs)
+                if slip:
+                    seed = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+                    own = list(set(runs))
+                    hashes = map(zlib.crc32, map(str.encode, own), repeat(seed))
+                    for run in [r for r, h in zip(own, hashes) if not h % slip]:
+                        n = runs.count(run)
+                        counts[run] -= n
+                        counts[slips(doc_id, run, slip)] += n
                 if len(counts) >= flush:
                     yield send()
         if counts:
             yield send()
 
     return take(docs, "doc_id", "text").mapInArrow(task, "word string, n long") \
-        .where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
+        .where("word <> ''").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def _blocks(words: DataFrame, min_chars: int, tile: int) -> DataFrame:
@@ -126,32 +127,41 @@ def _blocks(words: DataFrame, min_chars: int, tile: int) -> DataFrame:
             (F.col("own") > F.col("other")).cast("int")).alias("side"), "word", "n")
 
 
-def _matrix(words: list[str], width: int, right: bool, pad: int) -> np.ndarray:
-    """Code points (all below 256; the paddings 0 and 1 are no letters) as rows."""
-    fill = bytes([pad])
-    return np.frombuffer(b"".join(
-        [(w.rjust if right else w.ljust)(width, fill) for w in (x.encode("latin-1") for x in words)]),
-        np.uint8).reshape(len(words), width)
+def _matrix(words: list[bytes], width: int, pad: bytes) -> np.ndarray:
+    """The code points (all below 256; the paddings 0 and 1 are no letters) as rows."""
+    return np.frombuffer(b"".join([w.ljust(width, pad) for w in words]), np.uint8) \
+        .reshape(len(words), width)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common start of each row of ``a`` with each of ``b``."""
+    if a.shape[1] == 8:  # a row is one number, its first code point the lowest byte
+        x = a.view("<u8")[:, 0][:, None] ^ b.view("<u8")[:, 0][None, :]
+        return np.bitwise_count((x & -x) - np.uint64(1)) >> 3
+    same = a[:, None] == b[None]
+    return np.where(same.all(axis=2), a.shape[1], same.argmin(axis=2))
 
 
 def one_edit(a: list[str], b: list[str], skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Indexes (i, j) of the pairs one edit apart.  Pairs that share their
     first ``skip`` code points are left out."""
     la, lb = (np.array([len(w) for w in x]) for x in (a, b))
-    width = int(max(la.max(), lb.max())) + 1  # the last column always differs
-    left, right = (_matrix(a, width, r, 0) for r in (False, True))
-    left_b, right_b = (_matrix(b, width, r, 1) for r in (False, True))
-    cols = max(1, min(len(b), CELLS // width))
-    rows = max(1, CELLS // (width * cols))
+    longest = int(max(la.max(), lb.max()))
+    width = 8 if longest <= 8 else longest
+    plain = [[w.encode("latin-1") for w in x] for x in (a, b)]
+    left, left_b = (_matrix(x, width, p) for x, p in zip(plain, (b"\0", b"\1")))
+    right, right_b = (_matrix([w[::-1] for w in x], width, p) for x, p in zip(plain, (b"\0", b"\1")))
+    each = 1 if width == 8 else width
+    cols = max(1, min(len(b), CELLS // each))
+    rows = max(1, CELLS // (each * cols))
     found = []
     for i in range(0, len(a), rows):
         for j in range(0, len(b), cols):
             x, y = np.s_[i:i + rows], np.s_[j:j + cols]
-            prefix = (left[x, None] != left_b[None, y]).argmax(axis=2)
-            suffix = (right[x, None, ::-1] != right_b[None, y, ::-1]).argmax(axis=2)
+            prefix = _common(left[x], left_b[y])
             longer = np.maximum(la[x, None], lb[None, y])
             # The common prefix of equal words is all of them.
-            near = (prefix + suffix >= longer - 1) & (prefix < longer)
+            near = (prefix + _common(right[x], right_b[y]) >= longer - 1) & (prefix < longer)
             if skip:
                 near &= prefix < skip
             p, q = np.nonzero(near)
@@ -163,13 +173,15 @@ def _tile(kind: str, short: int, words: list[str], n: np.ndarray, side: np.ndarr
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place of a word, number of near words, place of the best), for the words with any."""
     order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))  # the best come first
-    skip = short // 2 if kind == "s" else 0
     same = side[0] == 2
     a = [i for i in order if side[i] != 1]
     b = a if same else [i for i in order if side[i] == 1]
     if not a or not b:
         return (np.zeros(0, np.int64),) * 3
-    i, j = one_edit([words[x] for x in a], [words[x] for x in b], skip)
+    # What the block has in common is left out.
+    half = short // 2
+    rest = [w[half:] if kind == "p" else w[:len(w) - (short - half)] for w in words]
+    i, j = one_edit([rest[x] for x in a], [rest[x] for x in b], half if kind == "s" else 0)
     # Pairs of two longer words belong to another block.
     size = np.array([len(w) for w in words])
     a, b = np.array(a), np.array(b)
