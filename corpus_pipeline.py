@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starweave.llm import decontaminate, line_dedup, near_dup, packing, quality
-from starweave.llm.common import documents, free_name, named_again, plain_names, written
+from starweave.llm.common import (
+    documents, forget, free_name, named_again, plain_names, shared_path, written,
+)
+from starweave.session import owned_scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,22 +38,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, unchanged: the one with
-    the smallest doc_id, and of several rows with that doc_id the one whose
-    hash is least.  Rows without a doc_id stay."""
+    the smallest doc_id; of several rows with that doc_id in the group, the
+    one whose hash is least.  Texts that share a doc_id but are in no common group
+    are different documents.  Rows without a doc_id stay."""
     docs, old = plain_names(docs, "doc_id", "text")
-    found = near_dup.near_duplicates(docs)
-    lost = found.where(~F.col("kept") & F.col("doc_id").isNotNull())
-    name = free_name(docs, "lost_id")
-    kept = docs.join(lost.select(F.col("doc_id").alias(name)).distinct(),
-                     F.col("doc_id") == F.col(name), "left_anti")
-    repeated = found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(name)) \
-        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
-    if not repeated.isEmpty():
-        again = F.col("doc_id") == F.col(name)
-        rows = kept.join(repeated, again, "left_semi")
-        one = rows.groupBy(F.col("doc_id").alias(name)).agg(
-            F.min_by(F.struct(*rows.columns), F.xxhash64(*rows.columns)).alias("row"))
-        kept = kept.join(repeated, again, "left_anti").unionAll(one.select("row.*"))
+    found = written(near_dup.near_duplicates(docs).where(F.col("doc_id").isNotNull()), "found")
+    name, key = free_name(docs, "found_id"), free_name(docs, "found_key")
+    same = (F.col("doc_id") == F.col(name)) & (F.xxhash64("text") == F.col(key))
+    lost = found.where(~F.col("kept")).select(
+        F.col("doc_id").alias(name), F.col("text_key").alias(key)).distinct()
+    kept = docs.join(lost, same, "left_anti")
+    repeated = found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = written(found.where("kept").join(repeated, "doc_id").select(
+        F.col("doc_id").alias(name), F.col("text_key").alias(key),
+        F.coalesce(F.col("group_id").cast("string"), F.concat(F.lit("text "), F.col("text_key")))
+        .alias(free_name(docs, "found_group"))).distinct(), "again")
+    if not again.isEmpty():
+        rows = kept.join(again, same)
+        one = rows.groupBy(*again.columns[::2]).agg(F.min_by(
+            F.struct(*docs.columns), F.struct(F.col(key), F.xxhash64(*docs.columns))).alias("row"))
+        kept = kept.join(again, same, "left_anti").unionAll(one.select("row.*"))
     return named_again(kept, old)
 
 
@@ -78,8 +85,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written and reread."""
+    """All stages over ``documents``; each but the last is written and reread, and
+    what it wrote on the way is deleted then, as is its input."""
     docs = documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "stage")
+        path, before = shared_path(spark, "stage"), docs
+        with owned_scratch(spark):
+            step = stage(spark, docs, sf_dir)
+            step.write.parquet(path)
+        docs = spark.read.schema(step.schema).parquet(path)
+        docs.written_to = path
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
