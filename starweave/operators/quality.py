@@ -32,6 +32,7 @@ from ..session import stored
 from .joins import (
     DEFAULT_BROADCAST_BYTES, fits_broadcast, fitting_together, hot_keys, lookup_join,
 )
+from .ranges import possible_repeats
 
 REPORT_COLUMNS = ("test", "relation", "column_name", "failures")
 
@@ -69,6 +70,13 @@ def unique(df: DataFrame, relation: str, column: str) -> DataFrame:
     return _row(unique_violations(df, column).agg(F.count(F.lit(1))), "unique", relation, column)
 
 
+def unique_by_ranges(df: DataFrame, relation: str, column: str) -> DataFrame:
+    """``unique`` for a written table: only keys where sorted ranges overlap
+    are grouped, none if it was written in key order and is clean."""
+    rows = possible_repeats(df, column)
+    return unique(df.where(F.lit(False)) if rows is None else rows, relation, column)
+
+
 def not_null(df: DataFrame, relation: str, column: str) -> DataFrame:
     return _row(df.agg(F.count_if(F.col(column).isNull())), "not_null", relation, column)
 
@@ -152,11 +160,15 @@ def orphan_rows(child: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, key: str) -> int:
-    """How many non-NULL values of ``key`` occur more than once.
-
-    Whole numbers are counted as bitmaps: where a bucket has as many bits as
-    rows, its keys are unique.  Only other buckets are grouped key by key;
-    other types are grouped at once."""
+    """How many non-NULL values of ``key`` occur more than once in a written table.
+
+    Keys written in order need no more than their ranges (``possible_repeats``).
+    Where ranges overlap, whole numbers are counted as bitmaps: where a bucket
+    has as many bits as rows, its keys are unique.  Only other buckets are
+    grouped key by key; other types are grouped at once."""
+    df = possible_repeats(df, key)
+    if df is None:
+        return 0
     if df.schema[key].dataType.typeName() in ("integer", "long"):
         df = df.select(F.col(key).cast("long"))
         bad = stored(key_bitmaps(df, key).where(F.bitmap_count("_bits") < F.col("_rows"))
@@ -224,12 +236,15 @@ class Check:
 
 
 def run_checks(relations: dict[str, DataFrame], checks: Iterable[Check],
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               in_key_order: bool = False) -> DataFrame:
     """Evaluate ``checks`` over named relations; one report row per check.
 
     A column tested for both ``unique`` and ``not_null`` is profiled once:
     both report rows read the same grouped count, whose shuffle Spark then
-    runs a single time (exchange reuse).
+    runs a single time (exchange reuse).  With ``in_key_order`` the relations
+    are written tables, mostly in key order: ``unique`` then reads the key's
+    ranges here and groups only keys where they overlap.
     """
     checks = list(checks)
     tested = {}
@@ -240,7 +255,10 @@ def run_checks(relations: dict[str, DataFrame], checks: Iterable[Check],
     for ch in checks:
         df = relations[ch.relation]
         key = (ch.relation, ch.column)
-        if ch.test in ("unique", "not_null") and {"unique", "not_null"} <= tested[key]:
+        if ch.test == "unique" and in_key_order:
+            rows.append(unique_by_ranges(df, ch.relation, ch.column))
+        elif ch.test in ("unique", "not_null") and not in_key_order \
+                and {"unique", "not_null"} <= tested[key]:
             if key not in profiles:
                 profiles[key] = key_profile(df, ch.column)
             field = "duplicated" if ch.test == "unique" else "nulls"

@@ -34,9 +34,10 @@ BUSINESS_KEY_TESTS = (
 
 
 def declared_tests(relations: dict[str, DataFrame],
-                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                   in_key_order: bool = False) -> DataFrame:
     """One row per declared test: test, relation, column_name, failures."""
-    return run_checks(relations, DECLARED_TESTS, max_broadcast_bytes)
+    return run_checks(relations, DECLARED_TESTS, max_broadcast_bytes, in_key_order)
 
 
 def business_key_tests(relations: dict[str, DataFrame]) -> DataFrame:

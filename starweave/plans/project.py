@@ -101,6 +101,8 @@ def build(spark: SparkSession, raw: DataFrame, people: DataFrame | None = None,
 
 
 def run_tests(wh: Warehouse, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """The declared tests over the written tables (one row per test)."""
+    """The declared tests over the written tables (one row per test).  The dimensions
+    were written in key order, so a clean key is proved by its ranges."""
     names = ("shipping_dim", "customer_dim", "geo_dim", "product_dim", "sales_fact")
-    return declared_tests({n: wh.table(n) for n in names}, max_broadcast_bytes)
+    return declared_tests({n: wh.table(n) for n in names}, max_broadcast_bytes,
+                          in_key_order=True)
