@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import release_memory, slices, take
-from .tokens import encoder, tokenizer_path
+from .tokens import CACHE_CHUNKS, encoder, tokenizer_path
 
 CAPACITY = 2048
 END_ID = 1
@@ -141,10 +141,11 @@ class Packer:
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
          end_id: int = END_ID, windows: int = WINDOWS, max_piece: int = MAX_PIECE,
-         slack: int = SLACK) -> DataFrame:
+         slack: int = SLACK, chunks: int = CACHE_CHUNKS) -> DataFrame:
     """One row per packed piece: doc_id, start and length in the document's
     ids, the ids (little-endian unsigned 32-bit), the document's id count,
-    sequence_id and the offset in that sequence."""
+    sequence_id and the offset in that sequence.  ``chunks`` is how many distinct
+    chunks a worker remembers: memory against CPU seconds, the same rows."""
     if not 0 <= slack < capacity or max_piece < 1 or windows < 1:
         raise ValueError("slack must be below capacity; max_piece and windows at least 1")
     path = tokenizer or tokenizer_path()
@@ -157,7 +158,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         for batch in batches:
             for part in slices(batch, limit=SLICE):
                 texts = part.column("text").to_pylist()
-                flat, at = encoder(path).encode(texts)
+                flat, at = encoder(path, chunks).encode(texts)
                 for i, doc in enumerate(part.column("doc_id").to_pylist()):
                     packer.add(doc, np.concatenate([flat[at[i]:at[i + 1]], end]))
                 if packer.rows:

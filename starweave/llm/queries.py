@@ -16,7 +16,7 @@ from .oracles import oracle_sql  # noqa: F401  (part of this module's interface)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir)).select(
+    return packing.pack(documents(spark, sf_dir), chunks=1_000_000).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
 

@@ -177,11 +177,11 @@ class ChunkEncoder:
         return out, np.concatenate([[0], ends])[counts]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder per Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, cache: int = CACHE_CHUNKS) -> ChunkEncoder:
+    """One encoder per Python worker, file and size of its memory."""
+    if (path, cache) not in _ENCODERS:
+        _ENCODERS[path, cache] = ChunkEncoder(path, cache)
+    return _ENCODERS[path, cache]
