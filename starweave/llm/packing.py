@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -63,17 +64,13 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
             at = len(a) - len(rest)
             merged[at:len(a)] = [(x[0] + y[0], (x[1], y[1]))
                                  for x, y in zip(a[at:], reversed(rest))]
-        merged.sort(key=_sum, reverse=True)
+        merged.sort(key=itemgetter(0), reverse=True)
         low = merged[-1][0] if len(merged) == k else 0
         heapq.heappush(heap, (low - merged[0][0], n, merged))
         n += 1
     return [_members(tree) for _, tree in heap[0][2]] if heap else []
 
 
-def _sum(slot) -> int:
-    return slot[0]
-
-
 def _members(tree) -> list[int]:
     out, stack = [], [tree]
     while stack:

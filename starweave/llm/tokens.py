@@ -11,6 +11,7 @@ the whole text (tested), at a fraction of the time, since words repeat.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -18,6 +19,7 @@ import numpy as np
 # Distinct chunks remembered by a Python worker (about 70 MB); beyond, it
 # forgets all but the half that was asked for most.
 CACHE_CHUNKS = 300_000
+JOINT = 200  # new chunks encoded as one text
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # White space next to a space, the plain cases; any other white space at all.
@@ -85,6 +87,8 @@ class ChunkEncoder:
     """``encode(texts)`` gives the ids of all texts, flat, and row offsets."""
 
     def __init__(self, path: str, cache: int = CACHE_CHUNKS):
+        # A task has one core: threads of the library only take it from other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -122,7 +126,10 @@ class ChunkEncoder:
         are encoded as one text and told apart by the bytes behind each id."""
         for at in range(0, len(chunks), 20_000):
             group = chunks[at:at + 20_000]
-            odd = np.array([not c or " " in c or c[-1].isspace() or c[0].isspace() for c in group])
+            odd = np.array([not c or " " in c or c.strip() != c for c in group])
+            if not odd.any():
+                self.ids.add(*self._joint(group))
+                continue
             plain = self._joint([c for c, o in zip(group, odd) if not o])
             apart = self._each([" " + c for c, o in zip(group, odd) if o])
             sizes = np.zeros(len(group), np.int64)
@@ -135,10 +142,10 @@ class ChunkEncoder:
     def _joint(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not chunks:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        text = " " + " ".join(chunks)
-        ids = np.array(self.tokenizer.encode_batch_fast(
-            [text], add_special_tokens=False)[0].ids, np.uint32)
-        raw = np.frombuffer(text.encode(), np.uint8)
+        texts = [" " + " ".join(chunks[i:i + JOINT]) for i in range(0, len(chunks), JOINT)]
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(
+            texts, add_special_tokens=False)])
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
         ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
         place = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
         return ids, np.diff(place, prepend=0)
@@ -162,18 +169,23 @@ class ChunkEncoder:
             known.new = []
         while len(self.asked) < self.ids.n:
             self.asked = np.concatenate([self.asked, np.zeros_like(self.asked)])
-        self.asked[:self.ids.n] += np.bincount(which, minlength=self.ids.n)
-        at, flat = self.ids.at, self.ids.flat
+        np.add.at(self.asked, which, 1)  # nothing here grows with what is remembered
+        at = self.ids.at
         start, size = at[which], at[which + 1] - at[which]
         if heads:  # the first chunk of a text has no space before it
             ids, sizes = self._each(heads)
-            first = counts[:-1][np.diff(counts) > 0]
-            flat = np.concatenate([flat[:at[self.ids.n]], ids])
-            start[first] = at[self.ids.n] + np.cumsum(sizes) - sizes
+            first = np.zeros(len(which), bool)
+            first[counts[:-1][np.diff(counts) > 0]] = True
             size[first] = sizes
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        out = flat[np.arange(total) + np.repeat(start - (ends - size), size)]
+        place = np.arange(total) + np.repeat(start - (ends - size), size)
+        if heads:
+            own = np.repeat(first, size)
+            place[own] = 0
+        out = self.ids.flat[place]
+        if heads:
+            out[own] = ids
         return out, np.concatenate([[0], ends])[counts]
 
 
