@@ -43,11 +43,17 @@ def _byte_lengths(tokenizer) -> np.ndarray:
     return out
 
 
-def _pieces(text: str) -> list[str]:
-    """The chunks of a text, without the space that starts each but the first."""
+def _rare(text: str) -> bool:
+    """Has it white space other than spaces and line feeds?"""
+    return any(x in text for x in _RARE) or (
+        not text.isascii() and any(x in text for x in _RARE_WIDE))
+
+
+def _pieces(text: str, rare: bool = True) -> list[str]:
+    """The chunks of a text, without the space that starts each but the first.
+    ``rare``: it may hold rare white space."""
     plain = text[0] != " " and text[-1] != " " and not any(x in text for x in _PAIRS) \
-        and not any(x in text for x in _RARE) \
-        and (text.isascii() or not any(x in text for x in _RARE_WIDE))
+        and not (rare and _rare(text))
     return text.split(" ") if plain else _CUT.split(text)
 
 
@@ -156,10 +162,12 @@ class ChunkEncoder:
         pieces: list[str] = []
         heads: list[str] = []
         counts = np.zeros(len(texts) + 1, np.int64)
+        rare = _rare("".join(x for x in texts if x))
         for i, text in enumerate(texts):
             if text:
-                own = _pieces(text)
+                own = _pieces(text, rare)
                 heads.append(own[0])
+                own[0] = ""  # holds the place: no space before it, so encoded below
                 pieces += own
             counts[i + 1] = len(pieces)
         known = self.known
