@@ -78,7 +78,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = token_files.write(documents(spark, sf_dir))
+    files = token_files.write(documents(spark, sf_dir), chunks=1_000_000)
     return token_files.read(spark, files).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shared_path, slices, take, written
-from .tokens import encoder, tokenizer_path
+from .tokens import CACHE_CHUNKS, encoder, tokenizer_path
 
 END_ID = 2
 LEVEL = 3
@@ -58,7 +58,8 @@ def _check(data: bytes) -> int:
 
 
 class TokenFileWriter:
-    """Writes documents to a binary stream."""
+    """Writes documents to a binary stream.  ``chunks``: distinct
+    chunks of text that a worker remembers."""
 
     def __init__(self, sink, level: int = LEVEL, frame_ids: int = FRAME_IDS):
         import zstandard
@@ -139,7 +140,8 @@ class TokenFileReader:
 
 
 def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None,
-          end_id: int = END_ID, level: int = LEVEL, frame_ids: int = FRAME_IDS) -> DataFrame:
+          end_id: int = END_ID, level: int = LEVEL, frame_ids: int = FRAME_IDS,
+          chunks: int = CACHE_CHUNKS) -> DataFrame:
     """Write the token files under ``path`` (default: a new shared folder) and
     return one row per file: part, file, documents, ids and ``base``, the
     number of ids in all files before it."""
@@ -163,7 +165,7 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
                     draft = f"{folder}/_{name}.{uuid.uuid4().hex}"
                     sink = store.open_output_stream(draft)
                     writer = TokenFileWriter(sink, level, frame_ids)
-                flat, at = encoder(vocabulary).encode(piece.column("text").to_pylist())
+                flat, at = encoder(vocabulary, chunks).encode(piece.column("text").to_pylist())
                 total += len(flat) + piece.num_rows
                 for i, doc in enumerate(piece.column("doc_id").to_pylist()):
                     writer.add(doc, np.concatenate([flat[at[i]:at[i + 1]], end]))
