@@ -58,8 +58,7 @@ def _check(data: bytes) -> int:
 
 
 class TokenFileWriter:
-    """Writes documents to a binary stream.  ``chunks``: distinct
-    chunks of text that a worker remembers."""
+    """Writes documents to a binary stream."""
 
     def __init__(self, sink, level: int = LEVEL, frame_ids: int = FRAME_IDS):
         import zstandard
@@ -144,7 +143,8 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
           chunks: int = CACHE_CHUNKS) -> DataFrame:
     """Write the token files under ``path`` (default: a new shared folder) and
     return one row per file: part, file, documents, ids and ``base``, the
-    number of ids in all files before it."""
+    number of ids in all files before it.  ``chunks`` is how
+    many distinct chunks of text a worker remembers."""
     path = path or shared_path(docs.sparkSession, "tokens")
     vocabulary = tokenizer or tokenizer_path()
 
