@@ -80,9 +80,13 @@ def fitting_together(dims: Sequence[DataFrame], max_bytes: int = DEFAULT_BROADCA
                      ) -> list[bool]:
     """Which of ``dims`` to broadcast so that all of them together stay
     within ``max_bytes``: the smallest first, as many as fit."""
-    sizes = [s.bytes for s in measure_all(dims)]
-    fits, total = [False] * len(dims), 0
-    for i in sorted(range(len(dims)), key=lambda i: sizes[i]):
+    return first_to_fit([s.bytes for s in measure_all(dims)], max_bytes)
+
+
+def first_to_fit(sizes: Sequence[int], max_bytes: int) -> list[bool]:
+    """Which of ``sizes`` stay within ``max_bytes`` together, the smallest first."""
+    fits, total = [False] * len(sizes), 0
+    for i in sorted(range(len(sizes)), key=lambda i: sizes[i]):
         total += sizes[i]
         fits[i] = total <= max_bytes
     return fits

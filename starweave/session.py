@@ -90,11 +90,12 @@ def stored(df: DataFrame) -> DataFrame:
 
     A lineage cut that survives lost executors (the files are on shared
     storage and committed atomically) and, unlike an RDD checkpoint, a
-    columnar table later passes can prune to the columns they read.
+    columnar table later passes can prune to the columns they read.  It is
+    compressed with zstd, smaller than the default.
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # no job to infer what is known
 
 
