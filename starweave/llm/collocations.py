@@ -23,7 +23,9 @@ tasks as a bitmap (two hash functions, at most ``MAX_BITS`` bits): a false hit
 costs a needless count, nothing else, at any size of the corpus.
 
 The last pass counts exactly: occurrences whose key and parts survived are
-summed as strings per language, and what is below the threshold goes.  Scores
+summed as strings per language, and what is below the threshold goes.  A task
+sends its sums dealt to the same hash partitions, many to a row, and each
+partition adds up what it gets.  Scores
 and containment are joins over the frequent phrases.
 
 Output: lang, rank, phrase, a, l, r, n, score; see the query's contract.
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -256,18 +259,24 @@ def _bitmap(survivors: DataFrame):
     return survivors.sparkSession.sparkContext.broadcast(table)
 
 
-def _counted(docs: DataFrame, bitmap, longest: int, flush: int) -> DataFrame:
-    """(lang, phrase, c), summed per task; with a null phrase: all words."""
+def _partial_sums(docs: DataFrame, bitmap, longest: int, flush: int, partitions: int
+                  ) -> DataFrame:
+    """(p, lang, phrases, counts): what each task counted, by hash partition and
+    language; with a null phrase: all words."""
 
     def task(batches):
-        counts, words, seeds = defaultdict(int), defaultdict(int), {}
+        # By partition and language; a phrase always has the same key, so the same partition.
+        counts, words, seeds, held = defaultdict(lambda: defaultdict(int)), defaultdict(int), {}, 0
 
-        def send(found):
-            langs, phrases = zip(*found) if found else ((), ())
+        def send():
+            p, langs = zip(*counts)
             return pa.RecordBatch.from_arrays(
-                [pa.array(["und" if x is None else x for x in langs], pa.string()),
-                 pa.array([None if x is None else x.decode() for x in phrases], pa.string()),
-                 pa.array(found.values(), pa.int64())], names=["lang", "phrase", "c"])
+                [pa.array(p, pa.int32()),
+                 pa.array(["und" if x is None else x for x in langs], pa.string()),
+                 pa.array([[None if x is None else x.decode() for x in found]
+                           for found in counts.values()], pa.list_(pa.string())),
+                 pa.array([list(found.values()) for found in counts.values()],
+                          pa.list_(pa.int64()))], names=["p", "lang", "phrases", "counts"])
 
         for batch in batches:
             for part in slices(batch):
@@ -276,7 +285,7 @@ def _counted(docs: DataFrame, bitmap, longest: int, flush: int) -> DataFrame:
                     continue
                 per_row = np.bincount(s.row, minlength=part.num_rows)
                 for lang, c in zip(s.langs, per_row.tolist()):
-                    words[lang, None] += c
+                    words[lang] += c
                 raw = _PLAIN[s.data].tobytes()
                 size = np.concatenate([[0], np.cumsum(s.end - s.start)])
                 for m, at, keys, alive in s.phrases(bitmap.value, longest, longest):
@@ -293,21 +302,57 @@ def _counted(docs: DataFrame, bitmap, longest: int, flush: int) -> DataFrame:
                         [[True], (k[1:] != k[:-1]) | (g[1:] != g[:-1])]))
                     c = np.diff(np.append(first, len(k))).tolist()
                     one = at[order[first]]
+                    to = ((k[first] >> np.uint64(32)) * np.uint64(partitions)
+                          >> np.uint64(32)).tolist()
                     a, b = s.start[one], s.end[one + m - 1]
                     plain = (b - a == size[one + m] - size[one] + m - 1).tolist()
-                    for x, y, ok, row, z in zip(a.tolist(), b.tolist(), plain,
-                                                s.row[one].tolist(), c):
+                    for x, y, ok, row, z, p in zip(a.tolist(), b.tolist(), plain,
+                                                   s.row[one].tolist(), c, to):
                         phrase = raw[x:y] if ok else b" ".join(raw[x:y].split())
-                        counts[s.langs[row], phrase] += z
-                if len(counts) >= flush:
-                    yield send(counts)
+                        found = counts[p, s.langs[row]]
+                        held += phrase not in found
+                        found[phrase] += z
+                if held >= flush:
+                    yield send()
                     counts.clear()
+                    held = 0
+        for lang, c in words.items():
+            if c:
+                counts[0, lang][None] += c
         if counts:
-            yield send(counts)
-        if words:
-            yield send({k: c for k, c in words.items() if c})
+            yield send()
+
+    return docs.mapInArrow(task, "p int, lang string, phrases array<string>, counts array<bigint>")
+
 
-    return docs.mapInArrow(task, "lang string, phrase string, c long")
+def _counted(docs: DataFrame, bitmap, longest: int, threshold: int, flush: int, partitions: int
+             ) -> DataFrame:
+    """(lang, phrase, a): the sums of at least ``threshold``; with a null phrase, all words."""
+
+    def task(batches):
+        new, held = [], 0
+
+        def folded():
+            total = pa.concat_tables(new).group_by(["lang", "phrase"], use_threads=False) \
+                .aggregate([("a", "sum")])
+            return total.select(["lang", "phrase", "a_sum"]).rename_columns(["lang", "phrase", "a"])
+
+        for batch in batches:
+            lists = batch.column("phrases")
+            new.append(pa.table({
+                "lang": batch.column("lang").take(pc.list_parent_indices(lists)),
+                "phrase": lists.flatten(), "a": batch.column("counts").flatten()}))
+            held += new[-1].num_rows
+            if held >= 4 * flush + new[0].num_rows:
+                new, held = [folded()], 0
+        if new:
+            total = folded()
+            kept = pc.or_(pc.is_null(total["phrase"]), pc.greater_equal(total["a"], threshold))
+            yield from total.filter(kept).combine_chunks().to_batches()
+
+    sent = _partial_sums(docs, bitmap, longest, flush, partitions)
+    return sent.repartitionById(partitions, "p").mapInArrow(
+        task, "lang string, phrase string, a long")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
@@ -329,9 +374,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
         if bitmap is not None:
             bitmap.unpersist()
         bitmap = _bitmap(found)
-    counted = _counted(docs, bitmap, longest, FLUSH_PHRASES).groupBy("lang", "phrase").agg(
-        F.sum("c").alias("a"))
-    return written(counted.where(F.col("phrase").isNull() | (F.col("a") >= threshold)), "phrases")
+    return written(_counted(docs, bitmap, longest, threshold, FLUSH_PHRASES, partitions), "phrases")
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,

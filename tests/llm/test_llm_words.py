@@ -245,3 +245,27 @@ def test_one_edit_of_any_length():
             ("a" * 9, "a" * 8 + "b"), ("a" * 10, "a" * 8 + "b"), ("", "b")}
     want.discard(("a" * 10, "a" * 8 + "b"))
     assert found == want | {(b, a) for a, b in want}
+
+
+def test_collocation_sums_are_sent_many_to_a_row(spark):
+    rows = [(x, " ".join(f"w{(7 * i + j) % 211}" for j in range(60))) for i in range(40)
+            for x in ("en", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    every = spark.sparkContext.broadcast(np.full(1024, 2 ** 64 - 1, np.uint64))
+    sent = collocations._partial_sums(docs, every, 3, 10 ** 6, 4).collect()
+    # At most one row for each task, partition and language.
+    assert len(sent) <= 2 * 4 * 2
+    assert all(len(r["phrases"]) == len(r["counts"]) == len(set(r["phrases"])) for r in sent)
+    counted = collocations._counted(docs, every, 3, 1, 10, 4).collect()
+    got = {(r["lang"], r["phrase"]): r["a"] for r in counted}
+    assert len(got) == len(counted)
+    want = Counter()
+    for lang, text in rows:
+        words, lang = text.split(" "), lang or "und"
+        want[lang, None] += len(words)
+        for m in (1, 2, 3):
+            want.update((lang, " ".join(words[i:i + m])) for i in range(len(words) - m + 1))
+    assert got == want
+    few = collocations._counted(docs, every, 3, 30, 10, 4).collect()
+    assert {(r["lang"], r["phrase"]) for r in few} == {
+        k for k, c in want.items() if c >= 30 or k[1] is None}
