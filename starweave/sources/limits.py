@@ -12,12 +12,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import PRIMARY_KEYS, columns
 
 
-def numeric_misfit(c: Column, precision: int, scale: int) -> Column:
-    """True when a value does not fit NUMERIC(p, s) once rounded to s digits."""
+def numeric_misfit(c: Column, precision: int, scale: int,
+                   kind: T.DataType | None = None) -> Column:
+    """True when a value does not fit NUMERIC(p, s) once rounded to s digits.
+    ``kind`` is the column's type, if known: a decimal with no more than s
+    digits after the point needs no rounding and is compared as it is."""
+    if isinstance(kind, T.DecimalType) and kind.scale <= scale:
+        whole = precision - scale
+        bound = F.lit(str(10 ** whole)).cast(T.DecimalType(min(38, whole + 1), 0))
+        # Of another number of digits it could lose some in the comparison.
+        if max(kind.precision - kind.scale, whole + 1) + kind.scale <= 38:
+            return c.isNotNull() & (F.abs(c) >= bound)
     # The bound carries the value's scale: compared with a decimal(38,0)
     # Spark would widen to scale 0 and round 99999.9999 up to 100000.
     limit = F.lit(str(10 ** (precision - scale))).cast(f"decimal(38,{scale})")
@@ -51,5 +61,6 @@ def limit_counts(df: DataFrame, declared: str) -> tuple[list[tuple[str, str]], l
             aggs.append(F.count_if(F.char_length(col) > c.max_length))
         if c.precision is not None:
             labels.append(("numeric_range", c.name))
-            aggs.append(F.count_if(numeric_misfit(col, c.precision, c.scale)))
+            aggs.append(F.count_if(numeric_misfit(col, c.precision, c.scale,
+                                                   df.schema[c.name].dataType)))
     return labels, aggs
