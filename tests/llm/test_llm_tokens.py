@@ -30,6 +30,43 @@ def test_chunks_encode_like_whole_texts(texts):
     assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [plain_ids(t) for t in texts]
 
 
+LINES = st.text(st.sampled_from("ab ab \n .,'s-_(é×÷\u0280ªΩд漢1\t\x00\xa0\u2009\u3000“”"), max_size=40)
+
+
+@pytest.mark.parametrize("finer", [True, False])
+@settings(max_examples=150, deadline=None)
+@given(st.lists(LINES, max_size=6))
+def test_marks_and_lines_encode_like_whole_texts(finer, texts):
+    encoder = ENCODERS[finer]
+    encoder.finer = finer
+    flat, at = encoder.encode(texts)
+    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [plain_ids(t) for t in texts]
+
+
+ENCODERS = {True: ChunkEncoder(tokenizer_path(), cache=50), False: ChunkEncoder(tokenizer_path(), cache=50)}
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows():
+    encoder, learnt = ChunkEncoder(tokenizer_path()), []
+    learn = encoder._learn
+    encoder._learn = lambda chunks: (learnt.extend(chunks), learn(chunks))
+    text = "x alpha, alpha. (alpha) alpha; alpha!\nalpha alpha? été: été"
+    flat, _ = encoder.encode([text, text])
+    assert flat.tolist() == 2 * plain_ids(text)
+    assert sum("alpha" in c for c in learnt) <= 3 and sum("été" in c for c in learnt) == 1
+
+
+def test_many_chunks_outgrow_and_leave_the_memory():
+    encoder = ChunkEncoder(tokenizer_path(), cache=600)
+    rnd = random.Random(3)
+    for _ in range(12):
+        texts = [" ".join("w" * rnd.randint(0, 12) + str(int(rnd.expovariate(0.01))) + rnd.choice(["", ".", "é"])
+                          for _ in range(rnd.randint(0, 400))) for _ in range(5)]
+        flat, at = encoder.encode([*texts, None])
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [
+            plain_ids(t) for t in [*texts, None]]
+
+
 def test_special_token_strings_are_ordinary_text():
     assert 50256 not in plain_ids("a <|endoftext|> b")
     flat, _ = ENCODER.encode(["a <|endoftext|> b"])
