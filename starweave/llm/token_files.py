@@ -41,6 +41,7 @@ from .tokens import CACHE_CHUNKS, encoder, tokenizer_path
 END_ID = 2
 LEVEL = 3
 FRAME_IDS = 1 << 18  # ids in one frame at most
+SLICE = 1 << 18      # bytes of text encoded at once
 
 _INDEX_MAGIC, _TABLE_MAGIC, _SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _RECORD = np.dtype([("doc_id", "<i8"), ("set", "u1"), ("ids", "<u8"),
@@ -157,7 +158,7 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
         sink = writer = None
         total = 0
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 if writer is None:
                     store, folder = fs.FileSystem.from_uri(path)
                     store.create_dir(folder, recursive=True)

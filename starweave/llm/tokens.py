@@ -114,21 +114,21 @@ def _keys(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.nda
 class _Numbers:
     """Numbers chunks in the order in which they are first asked for."""
 
-    def __init__(self, room: int):
+    def __init__(self, room: int = 0):
         self.n = 0
         self.long: dict[bytes, int] = {}
         self.low = self.high = np.zeros(0, np.uint64)  # by number; zero: in ``long``
         self._grow(room)
 
     def _grow(self, room: int) -> None:
-        """An empty table with places for twice ``room`` chunks, then the old ones again."""
-        cells = 1 << max(10, (2 * room - 1).bit_length())
+        """A table with places for ``room`` chunks or more, filled to 5/8 at most."""
+        cells = 1 << max(10, (room * 8 // 5).bit_length())
         self.mask = np.uint64(cells - 1)
         self.number = np.full(cells, -1, np.int32)
         self.cell_low, self.cell_high = np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
         for name in ("low", "high"):
             old = getattr(self, name)[:self.n]
-            setattr(self, name, np.concatenate([old, np.zeros(cells // 2 - len(old), np.uint64)]))
+            setattr(self, name, np.concatenate([old, np.zeros(cells * 5 // 8 - len(old), np.uint64)]))
         short = np.flatnonzero(self.high[:self.n])
         self._place(self.low[short], self.high[short], short)
 
@@ -162,7 +162,7 @@ class _Numbers:
     def ask(self, data: np.ndarray, start: np.ndarray, size: np.ndarray
             ) -> tuple[np.ndarray, list[bytes]]:
         """The number of every chunk, and the new chunks in the order of their numbers."""
-        if 2 * (self.n + len(start)) > len(self.number):
+        if self.n + len(start) > len(self.low):
             self._grow(self.n + len(start))
         out = np.zeros(len(start), np.int64)
         todo = np.flatnonzero(size <= SHORT)
@@ -242,7 +242,7 @@ class ChunkEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known = _Numbers(self.cache)
+        self.known = _Numbers()
         self.ids = _Ids()
         self.asked = np.zeros(1 << 14, np.int64)  # by number, since the last forgetting
 
