@@ -353,7 +353,7 @@ def test_stage_order_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "near_dedup", "decontamination", "packing"]
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
 
 
