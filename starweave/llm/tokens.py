@@ -122,7 +122,7 @@ class _Numbers:
 
     def _grow(self, room: int) -> None:
         """A table with places for ``room`` chunks or more, filled to 5/8 at most."""
-        cells = 1 << max(10, (room * 8 // 5).bit_length())
+        cells = 1 << max(10, (-(-room * 8 // 5) - 1).bit_length())
         self.mask = np.uint64(cells - 1)
         self.number = np.full(cells, -1, np.int32)
         self.cell_low, self.cell_high = np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
@@ -148,8 +148,9 @@ class _Numbers:
             cell = (cell[left] + 1) & int(self.mask)
 
     def keep(self, which: np.ndarray) -> "_Numbers":
-        """Only the chunks of these numbers (ascending), numbered anew in this order."""
-        out = _Numbers(len(self.low))
+        """Only the chunks of these numbers (ascending), numbered anew in this order,
+        in a table with room for as many new ones: its size follows what is kept."""
+        out = _Numbers(2 * len(which))
         out.n = len(which)
         out.low[:out.n], out.high[:out.n] = self.low[which], self.high[which]
         short = np.flatnonzero(out.high[:out.n])

@@ -67,6 +67,15 @@ def test_many_chunks_outgrow_and_leave_the_memory():
             plain_ids(t) for t in [*texts, None]]
 
 
+def test_the_memory_stays_as_large_however_often_it_forgets():
+    encoder = ChunkEncoder(tokenizer_path(), cache=2000)
+    for i in range(20):  # every second slice or so makes the encoder forget
+        texts = [" ".join(f"{w}x{i}" for w in range(1200) for _ in range(2)), None]
+        flat, at = encoder.encode(texts)
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [plain_ids(t) for t in texts]
+        assert encoder.known.n <= 2000 + 2400 and len(encoder.known.number) <= 1 << 13
+
+
 def test_special_token_strings_are_ordinary_text():
     assert 50256 not in plain_ids("a <|endoftext|> b")
     flat, _ = ENCODER.encode(["a <|endoftext|> b"])
